@@ -193,3 +193,109 @@ def q_degrees_agg(spark: SparkSession, sf: str) -> DataFrame:
 def q_work_agg(spark: SparkSession, sf: str) -> DataFrame:
     from ..plans.scorecard import work_summary
     return work_summary(derive(spark, sf, I.WORK, ("orders", "lineitem"), I.WORK_HEADERS))
+
+
+# --------------------------------------------------------------------------- reconcile
+
+def _recon_inputs(spark, sf):
+    m = derive(spark, sf, I.MASTER, ("customer", "orders"), I.MASTER_HEADERS)
+    s = derive(spark, sf, I.SYSTEM, ("customer", "orders"), I.SYSTEM_HEADERS)
+    return m, s
+
+
+def _recon_params():
+    from ..plans.reconcile import ReconcileParams
+    return ReconcileParams(as_of=I.RECONCILE_AS_OF)
+
+
+def _key(prefix: str = "") -> str:
+    f, l, d = f"{prefix}first_name", f"{prefix}last_name", f"{prefix}dob"
+    nf, nl = X.norm_name(f), X.norm_name(l)
+    return (f"CASE WHEN {nf} <> '' OR {nl} <> '' THEN {nf} || '|' || {nl} || '|' || "
+            f"coalesce(CAST({X.date_text(d)} AS VARCHAR), 'None') END")
+
+
+_RECON_CTE = cte(master=I.MASTER, system=I.SYSTEM) + f""",
+sk AS (SELECT DISTINCT {_key()} AS k FROM system),
+se AS (SELECT DISTINCT {X.email_key('e')} AS e FROM (SELECT email AS e FROM system
+        UNION ALL SELECT mentor_email FROM system) t),
+flag AS (
+  SELECT master.*,
+         EXISTS (SELECT 1 FROM sk WHERE sk.k = {_key('master.')}) AS in_name,
+         EXISTS (SELECT 1 FROM se WHERE se.e = {X.email_key('master.email')}) AS in_email,
+         coalesce(lower(trim({X.status('master.status')})) IN ('current', 'no mentor'), false) AS allowed,
+         {X.date_text('master.application_date')} AS app
+  FROM master),
+new_rows AS (SELECT * FROM flag WHERE NOT in_name AND NOT in_email AND allowed)"""
+
+_MASTER_OUT = ", ".join(["_ordinal"] + [f'{k} AS "{v}"' for k, v in I.MASTER_HEADERS.items()])
+
+
+@query("q_new_rows", _RECON_CTE + f"\nSELECT {_MASTER_OUT} FROM new_rows")
+def q_new_rows(spark: SparkSession, sf: str) -> DataFrame:
+    from ..plans.reconcile import reconcile
+    return reconcile(*_recon_inputs(spark, sf), _recon_params()).new_rows
+
+
+@query("q_recent_suppressed", _RECON_CTE + f"""
+SELECT trim(trim(coalesce(first_name, '')) || ' ' || trim(coalesce(last_name, ''))) AS "Name",
+       trim(email) AS "Email", {X.mdy('app')} AS "Application Date",
+       CASE WHEN in_email AND in_name THEN 'Email match; Name+DOB match'
+            WHEN in_email THEN 'Email match' ELSE 'Name+DOB match' END AS "Suppression Reason"
+FROM flag WHERE (in_name OR in_email) AND app >= DATE '{I.RECONCILE_AS_OF}' - 21""")
+def q_recent_suppressed(spark: SparkSession, sf: str) -> DataFrame:
+    from ..plans.reconcile import reconcile
+    return reconcile(*_recon_inputs(spark, sf), _recon_params()).suppressed_recent
+
+
+def _template_sql() -> str:
+    from ..functions.text import NO_WORDS, VERTICAL_CONTAINS, VERTICAL_EXACT, GENDER_EXACT, YES_WORDS
+    from ..plans.reconcile import TEMPLATE_COLUMNS, TEMPLATE_FIXED
+    yes = ", ".join(X.lit(w) for w in YES_WORDS)
+    no = ", ".join(X.lit(w) for w in NO_WORDS)
+    m = {
+        "firstName": "first_name", "lastName": "last_name", "email": "email",
+        "middleName": "middle_name", "preferredNameOrTitle": "preferred_name",
+        "vertical": X.translate("technical_area", VERTICAL_EXACT, VERTICAL_CONTAINS),
+        "linkedInPage": "linkedin",
+        "isCitizen": f"CAST(CASE WHEN lower(citizen) IN ({yes}) THEN 1 WHEN lower(citizen) IN ({no}) "
+                     f"THEN 0 END AS INTEGER)",
+        "race": "race", "gender": X.translate("gender", GENDER_EXACT, ()),
+        "scaleApplicationDate": "app", "scaleppApplicationDate": "app",
+        "studentScaleSemester": "'Spring 2026'", "studentCurrentStatus": X.status("status"),
+        "organization": "university",
+    }
+    for k, v in TEMPLATE_FIXED.items():
+        m[k] = X.lit(v) if isinstance(v, str) else f"CAST({v} AS INTEGER)"
+    sel = ", ".join(f'{m.get(c, "CAST(NULL AS VARCHAR)")} AS "{c}"' for c in TEMPLATE_COLUMNS)
+    return _RECON_CTE + f"\nSELECT {sel} FROM new_rows"
+
+
+@query("q_template", _template_sql())
+def q_template(spark: SparkSession, sf: str) -> DataFrame:
+    from ..plans.reconcile import import_template, reconcile
+    p = _recon_params()
+    return import_template(reconcile(*_recon_inputs(spark, sf), p).new_rows, p)
+
+
+def _degrees_tab_sql() -> str:
+    from ..functions.classify import DOCTORAL_PATTERNS, MASTERS_PATTERNS
+    grad = f"coalesce({X.term_date('expected_graduation', 'end', 'loose')}, {X.date_text('expected_graduation')})"
+    masters = X.contains_any("educational_status", MASTERS_PATTERNS)
+    doctoral = X.contains_any("educational_status", DOCTORAL_PATTERNS)
+    yp = f"(CASE WHEN {masters} THEN 2 ELSE 4 END)"
+    back = (f"CASE WHEN g IS NOT NULL THEN make_date(year(g) - {yp}, "
+            f"CASE WHEN month(g) = 8 THEN 5 ELSE 8 END, 15) END")
+    return _RECON_CTE + f""",
+dg AS (SELECT *, {grad} AS g FROM new_rows WHERE email IS NOT NULL AND email <> '')
+SELECT email AS studentEmail, university,
+       CASE WHEN {doctoral} OR {masters} THEN 'PHD' ELSE 'BS' END AS degreeType, major,
+       coalesce({back}, {X.date_text('program_start')}) AS startDate, g AS graduationDate
+FROM dg"""
+
+
+@query("q_degrees_tab", _degrees_tab_sql())
+def q_degrees_tab(spark: SparkSession, sf: str) -> DataFrame:
+    from ..plans.reconcile import degrees_tab, reconcile
+    p = _recon_params()
+    return degrees_tab(reconcile(*_recon_inputs(spark, sf), p).new_rows, p)

@@ -94,3 +94,96 @@ STUDENT_HEADERS = {"email": "Student Email", "first_name": "First Name", "last_n
 DEGREE_HEADERS = {"student_email": "studentEmail", "degree_type": "Degree Type",
                   "grad_date": "Grad Date"}
 WORK_HEADERS = {"student_email": "Student Email", "defense_related": "Is Defense Related"}
+
+
+# Master list: every customer, names with case/space noise, DOB from the
+# key (missing for some), email (missing for some), status variants, the
+# application date = the customer's latest order date, and the columns
+# the import template reads.
+MASTER = f"""
+SELECT c_custkey AS _ordinal,
+       CASE WHEN c_custkey % 9 = 0 THEN '  ' || upper(c_mktsegment) || '  '
+            WHEN c_custkey % 9 = 1 THEN lower(c_mktsegment)
+            ELSE c_mktsegment END AS first_name,
+       CASE WHEN c_custkey % 10 = 0 THEN 'Lee   ' || cast(c_nationkey AS string)
+            ELSE 'Lee ' || cast(c_nationkey AS string) END AS last_name,
+       CASE WHEN c_custkey % 7 = 0 THEN NULL
+            WHEN c_custkey % 2 = 0 THEN cast(DATE '1990-01-01' + cast(c_custkey % 4000 AS int) AS string)
+            ELSE cast(month(DATE '1990-01-01' + cast(c_custkey % 4000 AS int)) AS string) || '/'
+                 || cast(day(DATE '1990-01-01' + cast(c_custkey % 4000 AS int)) AS string) || '/'
+                 || cast(year(DATE '1990-01-01' + cast(c_custkey % 4000 AS int)) AS string) END AS dob,
+       CASE WHEN c_custkey % 11 = 0 THEN NULL
+            WHEN c_custkey % 3 = 0 THEN ' ' || upper({_email('c_custkey')})
+            ELSE {_email('c_custkey')} END AS email,
+       CASE c_custkey % 6 WHEN 0 THEN 'Current' WHEN 1 THEN 'current ' WHEN 2 THEN 'No Mentor'
+            WHEN 3 THEN 'Current - No Mentor' WHEN 4 THEN 'Graduated' ELSE NULL END AS status,
+       cast(cast(lo.last_order AS date) AS string) AS application_date,
+       CASE c_custkey % 5 WHEN 0 THEN 'M' ELSE NULL END AS middle_name,
+       CASE WHEN c_custkey % 4 = 0 THEN 'Dr' ELSE NULL END AS preferred_name,
+       CASE c_custkey % 8
+            WHEN 0 THEN 'System-on-Chip (SoC)' WHEN 1 THEN 'CSME (Graduate Students Only)'
+            WHEN 2 THEN 'Radiation Hardening (RH)' WHEN 3 THEN 'Embedded Security Systems/Trusted AI (ESS/TAI)'
+            WHEN 4 THEN 'Heterogeneous Integration and Advanced Packaging (HI/AP)'
+            WHEN 5 THEN 'Associate track' WHEN 6 THEN 'Overhead' ELSE NULL END AS technical_area,
+       'https://example.org/in/' || cast(c_custkey AS string) AS linkedin,
+       CASE c_custkey % 7 WHEN 0 THEN 'Yes' WHEN 1 THEN 'n' WHEN 2 THEN '1' WHEN 3 THEN '1.0'
+            WHEN 4 THEN ' yes ' WHEN 5 THEN 'FALSE' ELSE NULL END AS citizen,
+       CASE c_nationkey % 5 WHEN 0 THEN 'White' WHEN 1 THEN 'Asian' ELSE NULL END AS race,
+       CASE c_custkey % 6 WHEN 0 THEN 'Man' WHEN 1 THEN 'woman' WHEN 2 THEN 'Female'
+            WHEN 3 THEN ' male ' WHEN 4 THEN 'Non-binary' ELSE NULL END AS gender,
+       'State University ' || cast(c_nationkey AS string) AS university,
+       CASE c_custkey % 6 WHEN 0 THEN 'Masters Graduate Student' WHEN 1 THEN 'PhD Graduate Student'
+            WHEN 2 THEN 'First Year Undergraduate Student' WHEN 3 THEN 'Systems Engineering BS'
+            WHEN 4 THEN 'Doctorate' ELSE NULL END AS educational_status,
+       c_mktsegment AS major,
+       CASE c_custkey % 9
+            WHEN 0 THEN 'Spring ' || chr(39) || cast(20 + c_nationkey % 8 AS string)
+            WHEN 1 THEN 'Fall ' || cast(2020 + c_nationkey % 8 AS string)
+            WHEN 2 THEN cast(20 + c_nationkey % 8 AS string) || ' Summer'
+            WHEN 3 THEN 'Fall ' || cast(2020 + c_nationkey % 8 AS string) || '5'
+            WHEN 4 THEN '1' || cast(2020 + c_nationkey % 8 AS string) || ' Fall'
+            WHEN 5 THEN cast(DATE '2024-05-15' + cast(c_custkey % 700 AS int) AS string)
+            WHEN 6 THEN 'Sp, ' || cast(2021 + c_nationkey % 5 AS string)
+            WHEN 7 THEN 'sometime'
+            ELSE NULL END AS expected_graduation,
+       CASE WHEN c_custkey % 2 = 0 THEN cast(DATE '2019-08-15' + cast(c_custkey % 300 AS int) AS string)
+            ELSE NULL END AS program_start
+FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey) lo
+  ON lo.o_custkey = c_custkey
+"""
+
+MASTER_HEADERS = {
+    "first_name": "First Name", "last_name": "Last Name", "dob": "Date of Birth",
+    "email": "Email Address", "status": "Application Status", "application_date": "Application Date",
+    "middle_name": "Middle Name", "preferred_name": "Preferred Name",
+    "technical_area": "NEW Technical Area", "linkedin": "LinkedIn Profile", "citizen": "US Citizen",
+    "race": "Race/Ethnicity", "gender": "Gender", "university": "University",
+    "educational_status": "Educational Status", "major": "Major",
+    "expected_graduation": "Expected Graduation", "program_start": "Program Start Date",
+}
+
+# System export: people already in the system, one row per order of two
+# kinds: urgent open orders carry the customer's name (+ a DOB that is
+# off by a day for some), high-priority finished orders carry the email
+# (with noise) in one of two email columns under a different name.
+SYSTEM = f"""
+SELECT lower(c_mktsegment) || '  ' AS first_name,
+       ' lee ' || cast(c_nationkey AS string) AS last_name,
+       CASE WHEN c_custkey % 7 = 0 THEN NULL
+            ELSE cast(DATE '1990-01-01' + cast(c_custkey % 4000 + CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END AS int)
+                      AS string) END AS dob,
+       NULL AS email,
+       'mentor' || cast(o_orderkey AS string) || '@example.org' AS mentor_email
+FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'
+UNION ALL
+SELECT 'Other' AS first_name, 'Person' || cast(o_orderkey AS string) AS last_name,
+       NULL AS dob,
+       CASE WHEN o_orderkey % 2 = 0 THEN '  ' || upper({_email('o_custkey')}) ELSE NULL END AS email,
+       CASE WHEN o_orderkey % 2 = 1 THEN {_email('o_custkey')} ELSE NULL END AS mentor_email
+FROM orders
+WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'F'
+"""
+SYSTEM_HEADERS = {"first_name": "firstName", "last_name": "lastName", "dob": "DOB",
+                  "email": "Email", "mentor_email": "Mentor Email"}
+RECONCILE_AS_OF = "2001-08-01"

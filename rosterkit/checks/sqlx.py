@@ -76,3 +76,34 @@ def graduate_degree(x: str) -> str:
 
 def years_between(a: str, b: str) -> str:
     return f"round(CAST(datediff('day', {a}, {b}) AS DOUBLE) / 365.25, 2)"
+
+
+def norm_name(x: str) -> str:
+    return f"regexp_replace(lower(trim(coalesce({x}, ''))), '\\s+', ' ', 'g')"
+
+
+def date_text(x: str) -> str:
+    """ISO date or M/D/YYYY (the formats present in the check data)."""
+    return (f"coalesce(try_cast(trim({x}) AS DATE), "
+            f"CAST(try_strptime(trim({x}), '%m/%d/%Y') AS DATE))")
+
+
+def status(x: str) -> str:
+    low = f"regexp_replace(lower(trim({x})), '\\s+', ' ', 'g')"
+    return (f"(CASE WHEN {low} = 'current' THEN 'Current' "
+            f"WHEN {low} = 'no mentor' OR regexp_full_match({low}, 'current\\s*-\\s*no mentor') "
+            f"THEN 'No Mentor' ELSE trim({x}) END)")
+
+
+def translate(x: str, exact, contains) -> str:
+    low = f"lower(trim({x}))"
+    parts = [f"WHEN {low} = {lit(k.lower())} THEN {lit(v)}" for k, v in exact]
+    for needles, v in contains:
+        cond = " OR ".join(f"contains({low}, {lit(n)})" for n in needles)
+        parts.append(f"WHEN {cond} THEN {lit(v)}")
+    return f"(CASE {' '.join(parts)} ELSE trim({x}) END)"
+
+
+def contains_any(x: str, pats) -> str:
+    low = f"lower(trim({x}))"
+    return "coalesce(" + " OR ".join(f"contains({low}, {lit(p)})" for p in pats) + ", false)"
