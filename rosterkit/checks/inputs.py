@@ -187,3 +187,50 @@ WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'F'
 SYSTEM_HEADERS = {"first_name": "firstName", "last_name": "lastName", "dob": "DOB",
                   "email": "Email", "mentor_email": "Mentor Email"}
 RECONCILE_AS_OF = "2001-08-01"
+
+
+# Employer-report inputs: every order is a message (received = order
+# date, employer = the customer's nation named in the body), every line
+# item a row of its data workbook (person from the part name). Some rows
+# have no identity, some a blank email; rows with a résumé file name get
+# a résumé attachment on odd lines (name case varies), and each message
+# has one attachment that is not a résumé.
+REPORT_BASE = """
+SELECT cast(o_orderkey AS string) AS message_id, 0 AS att_pos,
+       row_number() OVER (PARTITION BY l_orderkey
+                          ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS _ordinal,
+       o_orderdate AS received,
+       CASE WHEN o_orderkey % 29 = 0 THEN 'Weekly digest'
+            ELSE 'A student sent an application to ' || n_name || ' through the portal' END AS body,
+       CASE WHEN p_size < 4 THEN NULL ELSE split_part(p_name, ' ', 1) END AS first_name,
+       CASE WHEN p_size < 4 THEN NULL ELSE split_part(p_name, ' ', 2) END AS last_name,
+       CASE WHEN p_size < 4 THEN NULL
+            WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN '  '
+            WHEN l_linenumber % 2 = 0 THEN upper(replace(p_name, ' ', '.')) || '@uni.edu'
+            ELSE replace(p_name, ' ', '.') || '@uni.edu' END AS email,
+       CASE WHEN p_size % 3 = 0 THEN replace(p_name, ' ', '_') || '.pdf' END AS resume_file_name,
+       CASE WHEN l_linenumber = 1 THEN cast(cast(o_orderdate AS date) AS string) END AS uploaded,
+       l_returnflag AS security_clearance, cast(l_discount AS string) AS total_percentage,
+       p_type AS major, l_linenumber, l_partkey
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+     JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey"""
+
+REPORT_ROWS = f"""
+SELECT message_id, att_pos, _ordinal, received, body, first_name, last_name, email, resume_file_name,
+       uploaded, security_clearance, total_percentage, major
+FROM ({REPORT_BASE}) b"""
+
+REPORT_ATTS = f"""
+SELECT message_id, _ordinal + 1 AS att_pos, received,
+       CASE WHEN l_partkey % 5 = 0 THEN upper(resume_file_name) ELSE resume_file_name END AS att_name
+FROM ({REPORT_BASE}) b WHERE resume_file_name IS NOT NULL AND l_linenumber % 2 = 1
+UNION ALL
+SELECT message_id, 100000 AS att_pos, received, 'notes_' || message_id || '.txt' AS att_name
+FROM ({REPORT_BASE}) b WHERE _ordinal = 0"""
+
+REPORT_HEADERS = {"first_name": "First Name", "last_name": "Last Name", "email": "Email",
+                  "resume_file_name": "Resume File Name", "uploaded": "Date Database Uploaded",
+                  "security_clearance": "Security Clearance", "total_percentage": " Total  Percentage ",
+                  "major": "Major"}
+REPORT_TABLES = ("lineitem", "orders", "customer", "nation", "part")
+REPORT_FILE_BASE = "https://files.example.org/resumes"
