@@ -33,8 +33,9 @@ def query(name: str, oracle: str | None = None):
 
 def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
     """Register the named driver tables as temp views."""
+    from ..session import read_table
     for n in names:
-        spark.read.parquet(f"{sf_dir}/{n}.parquet").createOrReplaceTempView(n)
+        read_table(spark, f"{sf_dir}/{n}.parquet").createOrReplaceTempView(n)
 
 
 def derive(spark: SparkSession, sf_dir: str, sql: str, tables: tuple[str, ...],

@@ -215,18 +215,21 @@ SELECT cast(o_orderkey AS string) AS message_id, 0 AS att_pos,
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
      JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey"""
 
-REPORT_ROWS = f"""
+REPORT_ROWS_FROM = """
 SELECT message_id, att_pos, _ordinal, received, body, first_name, last_name, email, resume_file_name,
        uploaded, security_clearance, total_percentage, major
-FROM ({REPORT_BASE}) b"""
+FROM {base} b"""
 
-REPORT_ATTS = f"""
+REPORT_ATTS_FROM = """
 SELECT message_id, _ordinal + 1 AS att_pos, received,
        CASE WHEN l_partkey % 5 = 0 THEN upper(resume_file_name) ELSE resume_file_name END AS att_name
-FROM ({REPORT_BASE}) b WHERE resume_file_name IS NOT NULL AND l_linenumber % 2 = 1
+FROM {base} b WHERE resume_file_name IS NOT NULL AND l_linenumber % 2 = 1
 UNION ALL
 SELECT message_id, 100000 AS att_pos, received, 'notes_' || message_id || '.txt' AS att_name
-FROM ({REPORT_BASE}) b WHERE _ordinal = 0"""
+FROM {base} b WHERE _ordinal = 0"""
+
+REPORT_ROWS = REPORT_ROWS_FROM.format(base=f"({REPORT_BASE})")
+REPORT_ATTS = REPORT_ATTS_FROM.format(base=f"({REPORT_BASE})")
 
 REPORT_HEADERS = {"first_name": "First Name", "last_name": "Last Name", "email": "Email",
                   "resume_file_name": "Resume File Name", "uploaded": "Date Database Uploaded",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir, materialize
 from . import inputs as I
 from . import sqlx as X
 from .catalog import cte, derive, query, views
@@ -13,12 +14,17 @@ from .catalog import cte, derive, query, views
 def _report_frames(spark: SparkSession, sf: str):
     from ..functions.text import extract_employer, file_extension
     from ..operators.dedupe import fill_from_first
-    rows = derive(spark, sf, I.REPORT_ROWS, I.REPORT_TABLES, I.REPORT_HEADERS)
+    # The job reads decoded rows from a checkpoint; the derived stand-in
+    # is built once and cut the same way.
+    ensure_checkpoint_dir(spark)
+    base = materialize(derive(spark, sf, I.REPORT_BASE, I.REPORT_TABLES), "report_base")
+    base.createOrReplaceTempView("report_base")
+    rows = spark.sql(I.REPORT_ROWS_FROM.format(base="report_base")).withColumnsRenamed(I.REPORT_HEADERS)
     rows = rows.withColumn("employer", extract_employer("body")).drop("body")
     rows = fill_from_first(rows, "Date Database Uploaded", ["message_id", "att_pos"], [F.col("_ordinal")])
-    atts = derive(spark, sf, I.REPORT_ATTS, I.REPORT_TABLES)
+    atts = spark.sql(I.REPORT_ATTS_FROM.format(base="report_base"))
     atts = atts.withColumns({"ext": file_extension("att_name"), "is_data": F.lit(False)})
-    return rows, atts
+    return materialize(rows, "report_rows"), atts
 
 
 def _report_params():
@@ -119,7 +125,7 @@ def q_employer_report(spark: SparkSession, sf: str) -> DataFrame:
     rows, atts = _report_frames(spark, sf)
     p = _report_params()
     events, _ = resume_events(rows, atts, p)
-    return employer_reports(rows, events, p)
+    return employer_reports(rows, materialize(events, "link_events"), p)
 
 
 @query("q_report_counts", _report_cte() + """

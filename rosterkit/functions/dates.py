@@ -35,19 +35,17 @@ JOINED_DIRECT_LOOSE = rf"(?iU)\b({_TERMS})(?:\b|(?=[0-9]))\s*['\s]*([0-9]{{2,4}}
 TERM_START = {"spring": (1, 15), "summer": (5, 15), "fall": (8, 15)}
 TERM_END = {"spring": (5, 15), "summer": (8, 15), "fall": (12, 15)}
 
-# Closed list of fallback formats tried after ISO dates.
-DATE_FORMATS = (
-    "M/d/yyyy",
-    "M/d/yy",
-    "d/M/yyyy",
-    "yyyy/M/d",
-    "MMMM yyyy",
-    "MMM yyyy",
-    "MMMM d, yyyy",
-    "MMM d, yyyy",
-    "d MMMM yyyy",
-    "d MMM yyyy",
+# Closed list of fallback formats tried after ISO dates (D2), grouped by
+# the shape of text they can parse. A format is only tried on text of its
+# shape: a failed parse is costly, a shape test is one regex.
+DATE_SHAPES = (
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2,4}$", ("M/d/yyyy", "M/d/yy", "d/M/yyyy")),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", ("yyyy/M/d",)),
+    (r"^[A-Za-z]+ [0-9]{4}$", ("MMMM yyyy", "MMM yyyy")),
+    (r"^[A-Za-z]+ [0-9]{1,2}, [0-9]{4}$", ("MMMM d, yyyy", "MMM d, yyyy")),
+    (r"^[0-9]{1,2} [A-Za-z]+ [0-9]{4}$", ("d MMMM yyyy", "d MMM yyyy")),
 )
+DATE_FORMATS = tuple(f for _, fmts in DATE_SHAPES for f in fmts)
 
 
 def _term_name(t: Column) -> Column:
@@ -75,15 +73,14 @@ def term_parts(x: ColumnOrName, grammar: str = "strict", allow_joined: bool = Fa
         reverse = LOOSE_REVERSE
     else:
         raise ValueError(f"unknown term grammar {grammar!r}")
-    d_term = F.regexp_extract(s, direct, 1)
-    d_year = F.regexp_extract(s, direct, 2)
-    r_year = F.regexp_extract(s, reverse, 1)
-    r_term = F.regexp_extract(s, reverse, 2)
-    use_direct = d_term != ""
-    term = F.when(use_direct, d_term).otherwise(F.nullif(r_term, F.lit("")))
-    year_txt = F.when(use_direct, d_year).otherwise(F.nullif(r_year, F.lit("")))
+    # A match always fills both groups, so "direct matched" is the same
+    # as "its group is non-empty": each regex is evaluated once per row.
+    term = F.coalesce(F.nullif(F.regexp_extract(s, direct, 1), F.lit("")),
+                      F.nullif(F.regexp_extract(s, reverse, 2), F.lit("")))
+    year_txt = F.coalesce(F.nullif(F.regexp_extract(s, direct, 2), F.lit("")),
+                          F.nullif(F.regexp_extract(s, reverse, 1), F.lit("")))
     year = year_txt.try_cast("int")
-    year = F.when(year < 100, year + 2000).otherwise(year)
+    year = year + F.when(year < 100, F.lit(2000)).otherwise(F.lit(0))
     return F.struct(_term_name(term).alias("term"), year.alias("year"))
 
 
@@ -92,15 +89,12 @@ def term_to_date(x: ColumnOrName, mode: str = "start", grammar: str = "strict",
     """L1/L3: term string -> DATE at the start or end of the term."""
     table = {"start": TERM_START, "end": TERM_END}[mode]
     p = term_parts(x, grammar, allow_joined)
-    month = (F.when(p["term"] == "spring", F.lit(table["spring"][0]))
-             .when(p["term"] == "summer", F.lit(table["summer"][0]))
-             .when(p["term"] == "fall", F.lit(table["fall"][0])))
-    day = (F.when(p["term"] == "spring", F.lit(table["spring"][1]))
-           .when(p["term"] == "summer", F.lit(table["summer"][1]))
-           .when(p["term"] == "fall", F.lit(table["fall"][1])))
-    # make_date only ever sees a matched term, so it cannot raise.
-    return F.when(p["year"].isNotNull() & month.isNotNull(),
-                  F.make_date(p["year"], month, day))
+    months = F.create_map(*[F.lit(v) for t in ("spring", "summer", "fall") for v in (t, table[t][0])])
+    days = {table[t][1] for t in table}
+    if len(days) != 1:
+        raise ValueError("term tables with different days need a day map")
+    # make_date only ever sees a matched term (else a NULL input), so it cannot raise.
+    return F.make_date(p["year"], F.element_at(months, p["term"]), F.lit(days.pop()))
 
 
 def parse_date_text(x: ColumnOrName) -> Column:
@@ -111,10 +105,14 @@ def parse_date_text(x: ColumnOrName) -> Column:
     and dates pass through unchanged.
     """
     c = _c(x)
-    s = trim_u(c.cast("string"))
-    s = F.nullif(s, F.lit(""))
-    tries = [s.try_cast("date")] + [F.try_to_date(s, fmt) for fmt in DATE_FORMATS]
-    return F.coalesce(*tries)
+    s = F.nullif(trim_u(c.cast("string")), F.lit(""))
+    by_shape = None
+    for shape, fmts in DATE_SHAPES:
+        parsed = F.coalesce(*[F.try_to_date(s, f) for f in fmts]) if len(fmts) > 1 \
+            else F.try_to_date(s, fmts[0])
+        cond = s.rlike(shape)
+        by_shape = F.when(cond, parsed) if by_shape is None else by_shape.when(cond, parsed)
+    return F.coalesce(s.try_cast("date"), by_shape)
 
 
 def flexible_date(x: ColumnOrName, mode: str = "start", grammar: str = "strict",

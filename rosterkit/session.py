@@ -62,3 +62,31 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base.removeprefix("file:"), f"{name}-{uuid.uuid4().hex[:12]}") \
         if base.startswith("file:") or base.startswith("/") \
         else f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet"):
+    """Read a table so that CPU-heavy row work has enough parallelism.
+
+    A scan normally yields one task per file split; a small table stored
+    as one row group gives ONE task, leaving the other cores idle. Only
+    then (fewer splits than the default parallelism) the rows are dealt
+    round-robin to that many partitions. Inputs large enough to matter
+    already have many splits and are returned untouched (no shuffle)."""
+    df = spark.read.format(fmt).load(path)
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as a Parquet table in the shared
+    checkpoint folder and reading it back.
+
+    Preferred over ``Dataset.checkpoint()`` for data that is read again:
+    later scans prune columns and push filters into the files, and the
+    stage is never recomputed after an executor is lost."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -53,9 +53,10 @@ def read_workbooks(spark: SparkSession, path: str, *, sheet: str | None = None,
     column per header (union by name across files: C11). The decoded
     cells are checkpointed once, then the header list (distinct names,
     first-appearance order) is read and the rows are projected."""
-    from ..session import ensure_checkpoint_dir
+    from ..session import ensure_checkpoint_dir, materialize
     ensure_checkpoint_dir(spark)
-    cells = read_workbook_cells(spark, path, sheet=sheet, candidates=candidates, glob=glob).checkpoint()
+    cells = materialize(read_workbook_cells(spark, path, sheet=sheet, candidates=candidates, glob=glob),
+                        "workbook_cells")
     errors = cells.where(F.col("_error").isNotNull()).select("_file", "_error").limit(1).collect()
     if errors:
         raise ValueError(f"could not read {errors[0]['_file']}: {errors[0]['_error']}")
