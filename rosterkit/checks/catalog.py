@@ -31,11 +31,20 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+_REGISTERED: dict[tuple[int, str], str] = {}
+
+
 def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
-    """Register the named driver tables as temp views."""
+    """Register the named driver tables as temp views (once per session
+    and path; a different ``sf_dir`` replaces the view)."""
     from ..session import read_table
     for n in names:
-        read_table(spark, f"{sf_dir}/{n}.parquet").createOrReplaceTempView(n)
+        path = f"{sf_dir}/{n}.parquet"
+        key = (id(spark), n)
+        if _REGISTERED.get(key) == path and spark.catalog.tableExists(n):
+            continue
+        read_table(spark, path).createOrReplaceTempView(n)
+        _REGISTERED[key] = path
 
 
 def derive(spark: SparkSession, sf_dir: str, sql: str, tables: tuple[str, ...],

@@ -24,7 +24,7 @@ def _report_frames(spark: SparkSession, sf: str):
     rows = fill_from_first(rows, "Date Database Uploaded", ["message_id", "att_pos"], [F.col("_ordinal")])
     atts = spark.sql(I.REPORT_ATTS_FROM.format(base="report_base"))
     atts = atts.withColumns({"ext": file_extension("att_name"), "is_data": F.lit(False)})
-    return materialize(rows, "report_rows"), atts
+    return rows, atts
 
 
 def _report_params():
