@@ -128,6 +128,27 @@ def q_employer_report(spark: SparkSession, sf: str) -> DataFrame:
     return employer_reports(rows, materialize(events, "link_events"), p)
 
 
+def _manifest_sql() -> str:
+    full = "regexp_replace(trim(coalesce(first, '')) || '_' || trim(coalesce(last, '')), '^_+|_+$', '', 'g')"
+    target = (f"replace({_safe(f'nullif({full}, chr(39) || chr(39))', 'Unknown_Student')}, ' ', '_') "
+              f"|| '_Resume' || coalesce(nullif(lower(ext), ''), '.pdf')")
+    url = f"'{I.REPORT_FILE_BASE}/' || url_encode({target}) || '?web=1'"
+    return _report_cte() + f"""
+SELECT person_key, received, message_id, att_pos, {target} AS target_name, {url} AS url
+FROM ev WHERE is_save
+QUALIFY row_number() OVER (PARTITION BY person_key ORDER BY received DESC, message_id DESC, att_pos DESC) = 1"""
+
+
+@query("q_resume_manifest", _manifest_sql())
+def q_resume_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Per person the latest saved résumé, its file name and link."""
+    from ..plans.reports import resume_events, resume_manifest
+    rows, atts = _report_frames(spark, sf)
+    events, _ = resume_events(rows, atts, _report_params())
+    return resume_manifest(events).select("person_key", "received", "message_id", "att_pos",
+                                          "target_name", "url")
+
+
 @query("q_report_counts", _report_cte() + """
 SELECT metric, value FROM (
   SELECT 'resume_links_available' AS metric, CAST(count(DISTINCT name_key) AS BIGINT) AS value FROM ev
