@@ -14,14 +14,16 @@ from .catalog import cte, derive, query, views
 def _report_frames(spark: SparkSession, sf: str):
     from ..functions.text import extract_employer, file_extension
     from ..operators.dedupe import fill_from_first
-    # The job reads decoded rows from a checkpoint; the derived stand-in
-    # is built once and cut the same way.
+    # The job reads decoded rows from a written table; the derived
+    # stand-in (with the per-file upload-date fill the decoder does) is
+    # built once and written the same way.
     ensure_checkpoint_dir(spark)
-    base = materialize(derive(spark, sf, I.REPORT_BASE, I.REPORT_TABLES), "report_base")
+    base = derive(spark, sf, I.REPORT_BASE, I.REPORT_TABLES)
+    base = fill_from_first(base, "uploaded", ["message_id", "att_pos"], [F.col("_ordinal")])
+    base = materialize(base, "report_base")
     base.createOrReplaceTempView("report_base")
     rows = spark.sql(I.REPORT_ROWS_FROM.format(base="report_base")).withColumnsRenamed(I.REPORT_HEADERS)
     rows = rows.withColumn("employer", extract_employer("body")).drop("body")
-    rows = fill_from_first(rows, "Date Database Uploaded", ["message_id", "att_pos"], [F.col("_ordinal")])
     atts = spark.sql(I.REPORT_ATTS_FROM.format(base="report_base"))
     atts = atts.withColumns({"ext": file_extension("att_name"), "is_data": F.lit(False)})
     return rows, atts
