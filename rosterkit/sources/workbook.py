@@ -84,6 +84,21 @@ def latest_snapshot(spark: SparkSession, folder: str, pattern: str) -> str | Non
     return top[0]["path"] if top else None
 
 
+def load_system_export(spark: SparkSession, *, file: str | None = None, folder: str | None = None,
+                       pattern: str = "SCALE_Student_Data*.xlsx", sheet: str = "students") -> DataFrame:
+    """A3: the system export -- an explicitly given file wins, else the
+    newest file of ``folder`` matching ``pattern`` (A4). Raises when
+    neither yields a file or the sheet is missing."""
+    path = file
+    if path is None:
+        if folder is None:
+            raise ValueError("give the export file or the folder to search")
+        path = latest_snapshot(spark, folder, pattern)
+        if path is None:
+            raise ValueError(f"no file matching {pattern!r} in {folder}")
+    return read_workbooks(spark, path, sheet=sheet, glob="*")
+
+
 # --------------------------------------------------------------------------- Python data source
 
 class _FilePartition(InputPartition):

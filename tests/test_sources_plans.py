@@ -50,6 +50,18 @@ def test_read_workbooks_union_and_latest(spark, tmp_path):
     assert len(cells) == 1 and cells[0]._error is not None       # a bad file is reported, not fatal
 
 
+def test_load_system_export(spark, tmp_path):
+    folder = str(tmp_path / "exports")
+    _write_books(folder)
+    explicit = os.path.join(folder, "SCALE_Student_Data_1.xlsx")
+    got = W.load_system_export(spark, file=explicit, folder=folder, sheet="Students")
+    assert sorted(r.Email for r in got.collect()) == ["a@x", "b@x"]          # explicit file wins
+    latest = W.load_system_export(spark, folder=folder, sheet="student list")
+    assert [r.Email for r in latest.collect()] == ["c@x"]                    # newest file
+    with pytest.raises(ValueError):
+        W.load_system_export(spark, folder=folder, sheet="nope")
+
+
 def test_workbook_data_source(spark, tmp_path):
     folder = str(tmp_path / "ds")
     _write_books(folder)
@@ -72,7 +84,8 @@ def test_write_tables_guard(spark, tmp_path):
 # ------------------------------------------------------------------ plan shapes
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
-SKIP_PLAN = {"q_partition_write", "q_multi_write", "q_workbook_scan", "q_latest_snapshot"}
+SKIP_PLAN = {"q_partition_write", "q_multi_write", "q_workbook_scan", "q_latest_snapshot",
+             "q_mailbox_reports", "q_mailbox_stream"}
 
 
 def test_check_query_plans(spark):
