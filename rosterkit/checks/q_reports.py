@@ -127,7 +127,7 @@ def q_employer_report(spark: SparkSession, sf: str) -> DataFrame:
     rows, atts = _report_frames(spark, sf)
     p = _report_params()
     events, _ = resume_events(rows, atts, p)
-    return employer_reports(rows, materialize(events, "link_events"), p)
+    return employer_reports(rows, events.persist(), p)
 
 
 def _manifest_sql() -> str:
