@@ -41,8 +41,10 @@ def read_workbook_cells(spark: SparkSession, path: str, *, sheet: str | None = N
     ship(spark)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path).select("path", "content"))
-    # One file per Python task at most: workbooks are decoded whole.
-    files = files.repartition(F.col("path"))
+    # No repartition: binaryFile already packs whole files into splits of
+    # at most spark.sql.files.maxPartitionBytes, and moving file bytes
+    # through a shuffle would only cost; Arrow batches are byte-bounded
+    # (spark.sql.execution.arrow.maxBytesPerBatch).
     fn = functools.partial(xlsx_rows.decode_files, sheet=sheet, candidates=candidates)
     return files.mapInPandas(fn, CELLS_SCHEMA)
 
