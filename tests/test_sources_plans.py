@@ -144,3 +144,31 @@ def test_oracles_agree_small(spark, name):
         return sorted(tuple(repr(round(r[i], 6)) if isinstance(r[i], float) else repr(r[i]) for i in order)
                       for r in rows)
     assert norm(res.fetchall(), cols) == norm([tuple(r) for r in df.collect()], df.columns)
+
+
+def test_xlsx_shared_strings_and_dates():
+    """Spreadsheet-app style files: shared strings, a date number format, rich text."""
+    import io
+    import zipfile
+    buf = io.BytesIO()
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns} xmlns:r="http://schemas.openxmlformats.org/'
+                   'officeDocument/2006/relationships"><sheets><sheet name="Data" sheetId="1" r:id="rId1"/>'
+                   '</sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/'
+                   'package/2006/relationships"><Relationship Id="rId1" Target="worksheets/s1.xml" '
+                   'Type="x"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<sst {ns}><si><t>Name</t></si><si><t>Uploaded</t></si>'
+                   '<si><r><t>Ann </t></r><r><t>Lee</t></r></si></sst>')
+        z.writestr("xl/styles.xml", f'<styleSheet {ns}><numFmts><numFmt numFmtId="164" formatCode="m/d/yyyy"/>'
+                   '</numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="164"/><xf numFmtId="22"/></cellXfs>'
+                   '</styleSheet>')
+        z.writestr("xl/worksheets/s1.xml", f'<worksheet {ns}><sheetData>'
+                   '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c></row>'
+                   '<row r="2"><c r="A2" t="s"><v>2</v></c><c r="B2" s="1"><v>45292</v></c></row>'
+                   '<row r="3"><c r="B3" s="2"><v>45292.5</v></c><c r="C3"><v>7</v></c></row>'
+                   '</sheetData></worksheet>')
+    headers, rows = table(Workbook(buf.getvalue()).rows())
+    assert headers == ["Name", "Uploaded", "Unnamed: 2"]
+    assert rows == [["Ann Lee", "2024-01-01", None], [None, "2024-01-01 12:00:00", "7"]]
