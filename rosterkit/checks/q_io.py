@@ -175,3 +175,32 @@ def q_latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     local = path.removeprefix("file:")
     df = spark.read.format("workbook").option("sheet", "Students Export").load(local)
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("_file").alias("n_files"))
+
+
+def _import_set_sql() -> str:
+    from .catalog import _RECON_CTE
+    return _RECON_CTE + """
+SELECT table_name, n_rows FROM (
+  SELECT 'Users' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM new_rows
+  UNION ALL SELECT 'WorkExperience', CAST(0 AS BIGINT)
+  UNION ALL SELECT 'Degrees', CAST(count(*) AS BIGINT) FROM new_rows WHERE email IS NOT NULL AND email <> ''
+  UNION ALL SELECT 'Mentoring', CAST(0 AS BIGINT))"""
+
+
+@query("q_import_set", _import_set_sql())
+def q_import_set(spark: SparkSession, sf: str) -> DataFrame:
+    """B2 + A9: the four import tables (two are header-only templates)
+    written as one set, read back and counted per table."""
+    from ..plans.reconcile import reconcile, write_import_set
+    from ..session import shared_path
+    from .catalog import _recon_inputs, _recon_params
+    p = _recon_params()
+    base = shared_path(spark, "import_set")
+    write_import_set(spark, reconcile(*_recon_inputs(spark, sf), p).new_rows, base, p)
+    names = ("Users", "WorkExperience", "Degrees", "Mentoring")
+    parts = [spark.read.parquet(f"{base}/{n}").agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(n).alias("table_name"), "n_rows") for n in names]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out

@@ -276,3 +276,16 @@ def import_set(spark: SparkSession, new_rows: DataFrame,
         "Degrees": degrees_tab(new_rows, params),
         "Mentoring": empty_frame(spark, MENTORING_SCHEMA),
     }
+
+
+def write_import_set(spark: SparkSession, new_rows: DataFrame, base: str,
+                     params: ReconcileParams = ReconcileParams(), fmt: str = "parquet") -> list[str]:
+    """B2: write the four import tables; nothing when there are no new
+    rows. ``new_rows`` feeds two of them, so it is cached for the
+    duration of the writes (recomputed from its inputs if a block is lost)."""
+    from ..sources.sinks import write_tables
+    cached = new_rows.persist()
+    try:
+        return write_tables(import_set(spark, cached, params), base, fmt=fmt, require_rows="Users")
+    finally:
+        cached.unpersist()
