@@ -50,7 +50,7 @@ def _safe(x: str, default: str) -> str:
     return f"coalesce(nullif({s}, ''), {X.lit(default)})"
 
 
-def _report_cte() -> str:
+def _report_cte_text() -> str:
     full = (f"regexp_replace(trim(coalesce(first, '')) || '_' || trim(coalesce(last, '')), '^_+|_+$', '', 'g')")
     fname = (f"replace({_safe(f'nullif({full}, chr(39) || chr(39))', 'Unknown_Student')}, ' ', '_') "
              f"|| '_Resume' || coalesce(nullif(lower(ext), ''), '.pdf')")
@@ -85,12 +85,7 @@ ev AS (
 saves AS (SELECT person_key, received, message_id, att_pos, {url} AS url FROM ev WHERE is_save),
 bn AS (SELECT message_id, name_key, max(person_key) AS name_person FROM ev GROUP BY 1, 2),
 r2 AS (SELECT rows.*, bn.name_person FROM rows LEFT JOIN bn ON bn.message_id = rows.message_id AND bn.name_key = rows.nk),
-by_name AS (
-  SELECT r2.message_id, r2.att_pos, r2._ordinal, s.url,
-         row_number() OVER (PARTITION BY r2.message_id, r2.att_pos, r2._ordinal
-                            ORDER BY s.received DESC, s.message_id DESC, s.att_pos DESC) AS rn
-  FROM r2 JOIN saves s ON s.person_key = r2.name_person
-   AND (s.received < r2.received OR (s.received = r2.received AND s.message_id <= r2.message_id))),
+__BY_NAME__
 by_person AS (
   SELECT r2.message_id, r2.att_pos, r2._ordinal, s.url,
          row_number() OVER (PARTITION BY r2.message_id, r2.att_pos, r2._ordinal
@@ -111,6 +106,32 @@ kept AS (
   UNION ALL SELECT * FROM linked WHERE nullif(lower(trim(email)), '') IS NULL)"""
 
 
+def _report_cte(scope: str = "message") -> str:
+    text = _report_cte_text()
+    return text.replace("__BY_NAME__", _GLOBAL_BY_NAME if scope == "global" else _MESSAGE_BY_NAME)
+
+
+_MESSAGE_BY_NAME = """by_name AS (
+  SELECT r2.message_id, r2.att_pos, r2._ordinal, s.url,
+         row_number() OVER (PARTITION BY r2.message_id, r2.att_pos, r2._ordinal
+                            ORDER BY s.received DESC, s.message_id DESC, s.att_pos DESC) AS rn
+  FROM r2 JOIN saves s ON s.person_key = r2.name_person
+   AND (s.received < r2.received OR (s.received = r2.received AND s.message_id <= r2.message_id))),"""
+_GLOBAL_BY_NAME = """evl AS (
+  SELECT e.message_id, e.att_pos, e.received, e.name_key, s.url,
+         row_number() OVER (PARTITION BY e.message_id, e.att_pos, e.name_key
+                            ORDER BY s.received DESC, s.message_id DESC, s.att_pos DESC) AS rn
+  FROM ev e JOIN saves s ON s.person_key = e.person_key
+   AND (s.received < e.received OR (s.received = e.received AND (s.message_id < e.message_id
+        OR (s.message_id = e.message_id AND s.att_pos <= e.att_pos))))),
+by_name AS (
+  SELECT r2.message_id, r2.att_pos, r2._ordinal, el.url,
+         row_number() OVER (PARTITION BY r2.message_id, r2.att_pos, r2._ordinal
+                            ORDER BY el.received DESC, el.message_id DESC, el.att_pos DESC) AS rn
+  FROM r2 JOIN (SELECT * FROM evl WHERE rn = 1) el ON el.name_key = r2.nk
+   AND (el.received < r2.received OR (el.received = r2.received AND el.message_id <= r2.message_id))),"""
+
+
 _REPORT_SELECT = f"""
 SELECT {X.mdy('d')} AS "Date of Confirmed Application", first_name AS "First Name",
        last_name AS "Last Name", email AS "Email", uploaded AS "Date Database Uploaded", major AS "Major",
@@ -313,3 +334,14 @@ def q_mailbox_stream(spark: SparkSession, sf: str) -> DataFrame:
     q = start_decoding(stream, store, shared_path(spark, "stream_ckpt"), _report_params())
     q.awaitTermination()
     return reports_from_store(spark, store, _report_params()).reports
+
+
+@query("q_employer_report_global", _report_cte("global") + _REPORT_SELECT)
+def q_employer_report_global(spark: SparkSession, sf: str) -> DataFrame:
+    """M5 with D7's global résumé-name scope: a name keeps the link its
+    latest event gave it, from any message."""
+    from ..plans.reports import ReportParams, employer_reports, resume_events
+    rows, atts = _report_frames(spark, sf)
+    p = ReportParams(resume_file_base_url=I.REPORT_FILE_BASE, name_scope="global")
+    events, _ = resume_events(rows, atts, p)
+    return employer_reports(rows, events.persist(), p)
