@@ -63,3 +63,20 @@ def test_scorecard_invariants(spark, students, degrees, work):
             assert r.graduateDegreeCount >= 1 and r.totalWorkExperiences >= 2
             assert r.defenseWorkExperiences >= 1
         assert None not in (r.inScaleTwoPlusYears, r.meetsDegreeCriteria, r.meetsAllCriteria)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(EMAILS, st.sampled_from(["Fall 2018", "SP 19", None]),
+                          st.sampled_from(["20", "no", None])), min_size=1, max_size=15),
+       st.randoms(use_true_random=False))
+def test_scorecard_invariant_under_repartition(spark, students, rnd):
+    rows = [(i, *r) for i, r in enumerate(students)]
+    schema = "_ordinal long, email string, `scale semester` string, `defense experience` string"
+    d = spark.createDataFrame([("a@x", "MS", "Fall 2023"), ("a@x", "BS", "Spring 2020")],
+                              "studentEmail string, degreeType string, graduationDate string")
+    w = spark.createDataFrame([("a@x", "1"), ("b@x", "1")], "studentEmail string, defenseRelated string")
+    base = sorted(map(tuple, S.scorecard(spark.createDataFrame(rows, schema), d, w).collect()))
+    shuffled = rows[:]
+    rnd.shuffle(shuffled)
+    s2 = spark.createDataFrame(shuffled, schema).repartition(5)
+    assert sorted(map(tuple, S.scorecard(s2, d.repartition(3), w.repartition(2)).collect())) == base
