@@ -56,8 +56,8 @@ def test_gender_and_yes_no(spark):
 
 
 def test_safe_filename_and_resume_name(spark):
-    assert col1(spark, ['A/B: "C"?', "  Acme  Corp.. ", "", None, "..."], T.safe_filename) == \
-        ["A_B_ _C__", "Acme Corp", "Unknown_Employer", "Unknown_Employer", "Unknown_Employer"]
+    assert col1(spark, ['A/B: "C"?', "  Acme  Corp.. ", "", None, "...", ": ."], T.safe_filename) == \
+        ["A_B_ _C__", "Acme Corp", "Unknown_Employer", "Unknown_Employer", "Unknown_Employer", "_ "]
     df = spark.createDataFrame([("Ann ", " Lee", ".PDF"), (None, None, None), ("_x_", "", ".docx")],
                                "f string, l string, e string")
     got = [r[0] for r in df.select(T.resume_filename("f", "l", "e")).collect()]
