@@ -29,8 +29,7 @@ def _store_batch(base: str, params: P.ReportParams):
             atts = P.explode_attachments(msgs, params)
             P.decode_data_files(atts).write.mode("overwrite").parquet(f"{base}/decoded/batch={batch_id}")
             atts.drop("content").write.mode("overwrite").parquet(f"{base}/attachments/batch={batch_id}")
-            msgs.select("message_id", "received", F.size("attachments").alias("n_attachments")) \
-                .write.mode("overwrite").parquet(f"{base}/messages/batch={batch_id}")
+            P.message_counts(msgs, params).write.mode("overwrite").parquet(f"{base}/counts/batch={batch_id}")
         finally:
             batch.unpersist()
     return write
@@ -49,12 +48,12 @@ def reports_from_store(spark: SparkSession, base: str,
     """Employer reports and diagnostics from everything decoded so far."""
     decoded = spark.read.parquet(f"{base}/decoded").drop("batch")
     atts = spark.read.parquet(f"{base}/attachments").drop("batch")
-    msgs = spark.read.parquet(f"{base}/messages").drop("batch")
+    counts = spark.read.parquet(f"{base}/counts").drop("batch")
+    counts = counts.agg(*[F.sum(c).cast("long").alias(c) for c in counts.columns])
     headers = P.header_order(decoded)
     rows = P.widen(decoded, headers)
     events, unmatched = (P.resume_events(rows, atts, params) if P.RESUME_NAME_COLUMN in headers
                          else (None, atts.where(~F.col("is_data")).select("att_name")))
     reports = P.employer_reports(rows, events, params)
-    diag = P.diagnostics(msgs.withColumn("attachments", F.array_repeat(F.lit(0), F.col("n_attachments"))),
-                         atts, decoded, events, reports)
+    diag = P.diagnostics(counts, decoded, events)
     return P.ReportRun(reports, diag, unmatched.distinct().orderBy("att_name"), headers)

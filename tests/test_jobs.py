@@ -210,3 +210,22 @@ def test_reports_global_name_scope(spark):
     run = P.run_reports(_messages(spark), P.ReportParams(name_scope="global"))
     rows = {(r.employer, r["First Name"]): r["Resume Link"] for r in run.reports.collect()}
     assert "Ann_Lee_Resume.pdf" in rows[("Acme / Co", "Ann")]
+
+
+def test_streaming_store_matches_batch(spark):
+    """Incremental decoding (3 micro-batches) gives the batch job's reports and counters."""
+    from rosterkit.checks import q_reports as Q
+    from rosterkit.session import shared_path
+    from rosterkit.streaming import reports_from_store, start_decoding
+    mb = Q._mailbox(spark, "/root/testdata/sf0.001")
+    inbox = shared_path(spark, "inbox")
+    mb.repartition(3).write.parquet(inbox)
+    store = shared_path(spark, "store")
+    stream = spark.readStream.schema(P.MESSAGE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(inbox)
+    start_decoding(stream, store, shared_path(spark, "ckpt"), Q._report_params()).awaitTermination()
+    inc = reports_from_store(spark, store, Q._report_params())
+    full = P.run_reports(spark.read.parquet(inbox), Q._report_params())
+    assert {tuple(r) for r in inc.diagnostics.collect()} == {tuple(r) for r in full.diagnostics.collect()}
+    cols = sorted(full.reports.columns)
+    assert sorted(map(tuple, inc.reports.select(*cols).collect())) == \
+        sorted(map(tuple, full.reports.select(*cols).collect()))
