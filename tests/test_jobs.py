@@ -227,5 +227,5 @@ def test_streaming_store_matches_batch(spark):
     full = P.run_reports(spark.read.parquet(inbox), Q._report_params())
     assert {tuple(r) for r in inc.diagnostics.collect()} == {tuple(r) for r in full.diagnostics.collect()}
     cols = sorted(full.reports.columns)
-    assert sorted(map(tuple, inc.reports.select(*cols).collect())) == \
-        sorted(map(tuple, full.reports.select(*cols).collect()))
+    assert sorted(map(repr, map(tuple, inc.reports.select(*cols).collect()))) == \
+        sorted(map(repr, map(tuple, full.reports.select(*cols).collect())))
