@@ -193,7 +193,7 @@ RECONCILE_AS_OF = "2001-08-01"
 # date, employer = the customer's nation named in the body), every line
 # item a row of its data workbook (person from the part name). Some rows
 # have no identity, some a blank email; rows with a résumé file name get
-# a résumé attachment on odd lines (name case varies), and each message
+# a résumé attachment unless the line is flagged N (name case varies), and each message
 # has one attachment that is not a résumé.
 REPORT_BASE = """
 SELECT cast(o_orderkey AS string) AS message_id, 0 AS att_pos,
@@ -223,7 +223,7 @@ FROM {base} b"""
 REPORT_ATTS_FROM = """
 SELECT message_id, _ordinal + 1 AS att_pos, received,
        CASE WHEN l_partkey % 5 = 0 THEN upper(resume_file_name) ELSE resume_file_name END AS att_name
-FROM {base} b WHERE resume_file_name IS NOT NULL AND l_linenumber % 2 = 1
+FROM {base} b WHERE resume_file_name IS NOT NULL AND security_clearance <> 'N'
 UNION ALL
 SELECT message_id, 100000 AS att_pos, received, 'notes_' || message_id || '.txt' AS att_name
 FROM {base} b WHERE _ordinal = 0"""
