@@ -204,3 +204,23 @@ def q_import_set(spark: SparkSession, sf: str) -> DataFrame:
     for x in parts[1:]:
         out = out.unionByName(x)
     return out
+
+
+@query("q_sheet_resolve", """
+SELECT CAST(c_custkey AS VARCHAR) AS "Cust Key", c_name AS "Name",
+       CASE WHEN c_acctbal = floor(c_acctbal) THEN CAST(CAST(c_acctbal AS BIGINT) AS VARCHAR)
+            ELSE CAST(c_acctbal AS VARCHAR) END AS "Balance",
+       c_mktsegment AS "Segment"
+FROM customer""")
+def q_sheet_resolve(spark: SparkSession, sf: str) -> DataFrame:
+    """A1/A2 C2 through ``format("workbook")``: the sheet is picked by name
+    candidates ('students', 'student') among 'Notes' and 'Students Export';
+    one input partition per file."""
+    from ..session import shared_path
+    from ..sources.workbook import register_workbook_source
+    folder = shared_path(spark, "sheets")
+    write_customer_workbooks(spark, sf, folder)
+    register_workbook_source(spark)
+    df = (spark.read.format("workbook").option("candidates", "students, student")
+          .option("pattern", "SCALE_Student_Data*.xlsx").load(folder.removeprefix("file:")))
+    return df.select("Cust Key", "Name", "Balance", "Segment")
