@@ -85,7 +85,7 @@ def test_write_tables_guard(spark, tmp_path):
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 SKIP_PLAN = {"q_partition_write", "q_multi_write", "q_workbook_scan", "q_latest_snapshot", "q_sheet_resolve",
-             "q_import_set", "q_employer_report_global",
+             "q_import_set",
              "q_mailbox_reports", "q_mailbox_stream"}
 
 
