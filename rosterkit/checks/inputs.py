@@ -211,7 +211,7 @@ SELECT cast(o_orderkey AS string) AS message_id, 0 AS att_pos,
        CASE WHEN p_size % 3 = 0 THEN replace(p_name, ' ', '_') || '.pdf' END AS resume_file_name,
        CASE WHEN l_linenumber = 1 THEN cast(cast(o_orderdate AS date) AS string) END AS uploaded,
        l_returnflag AS security_clearance, cast(l_discount AS string) AS total_percentage,
-       p_type AS major, l_linenumber, l_partkey
+       p_type AS major, l_linenumber, l_partkey, l_orderkey
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
      JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey"""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, materialize
@@ -13,13 +13,18 @@ from .catalog import cte, derive, query, views
 
 def _report_frames(spark: SparkSession, sf: str):
     from ..functions.text import extract_employer, file_extension
-    from ..operators.dedupe import fill_from_first
     # The job reads decoded rows from a written table; the derived
     # stand-in (with the per-file upload-date fill the decoder does) is
     # built once and written the same way.
     ensure_checkpoint_dir(spark)
     base = derive(spark, sf, I.REPORT_BASE, I.REPORT_TABLES)
-    base = fill_from_first(base, "uploaded", ["message_id", "att_pos"], [F.col("_ordinal")])
+    # The decoder fills the upload date per file; here a second window over
+    # the derivation's own partitioning (by order = message) does it, so no
+    # further exchange is needed.
+    u = F.when(F.trim("uploaded") != "", F.col("uploaded"))
+    w = Window.partitionBy("l_orderkey").orderBy("_ordinal") \
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    base = base.withColumn("uploaded", F.coalesce(u, F.first(u, ignorenulls=True).over(w)))
     base = materialize(base, "report_base")
     base.createOrReplaceTempView("report_base")
     rows = spark.sql(I.REPORT_ROWS_FROM.format(base="report_base")).withColumnsRenamed(I.REPORT_HEADERS)
