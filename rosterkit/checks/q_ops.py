@@ -323,7 +323,7 @@ def q_clean_strings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("q_truncate", """
-SELECT doc_id, substr(trim(text), 1, 499) AS text_499, length(substr(trim(text), 1, 499)) AS n
+SELECT doc_id, substr(trim(text), 1, 499) AS text_499, CAST(length(substr(trim(text), 1, 499)) AS INTEGER) AS n
 FROM documents""")
 def q_truncate(spark: SparkSession, sf: str) -> DataFrame:
     """J7 on whole documents (characters, not bytes)."""

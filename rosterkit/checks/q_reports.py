@@ -162,7 +162,7 @@ def _manifest_sql() -> str:
               f"|| '_Resume' || coalesce(nullif(lower(ext), ''), '.pdf')")
     url = f"'{I.REPORT_FILE_BASE}/' || url_encode({target}) || '?web=1'"
     return _report_cte() + f"""
-SELECT person_key, received, message_id, att_pos, {target} AS target_name, {url} AS url
+SELECT person_key, received, message_id, CAST(att_pos AS INTEGER) AS att_pos, {target} AS target_name, {url} AS url
 FROM ev WHERE is_save
 QUALIFY row_number() OVER (PARTITION BY person_key ORDER BY received DESC, message_id DESC, att_pos DESC) = 1"""
 
