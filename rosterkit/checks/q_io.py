@@ -130,7 +130,7 @@ def write_customer_workbooks(spark: SparkSession, sf: str, folder: str) -> None:
             data = [head] + [[int(r.c_custkey), r.c_name, int(r.c_nationkey), float(r.c_acctbal),
                               r.c_mktsegment] for r in pdf.itertuples(index=False)]
             book = xlsx_rows.write_xlsx({"Notes": [["x"]], "Students Export": data})
-            path = os.path.join(folder, f"SCALE_Student_Data_{uuid.uuid4().hex}.xlsx")
+            path = os.path.join(folder, f"Student_Export_{uuid.uuid4().hex}.xlsx")
             with open(path, "wb") as fh:
                 fh.write(book)
             rows_out.append((path, len(pdf)))
@@ -157,7 +157,7 @@ def q_workbook_scan(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_path(spark, "workbooks")
     write_customer_workbooks(spark, sf, folder)
     wide = read_workbooks(spark, folder, candidates=["students", "student"],
-                          glob="SCALE_Student_Data*.xlsx")
+                          glob="Student_Export*.xlsx")
     nation = F.coalesce(F.col("Nation"), F.col("NATION ")) if "NATION " in wide.columns else F.col("Nation")
     return wide.select("Cust Key", "Name", nation.alias("nation"), "Balance", "Segment")
 
@@ -170,7 +170,7 @@ def q_latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     from ..sources.workbook import latest_snapshot, register_workbook_source
     folder = shared_path(spark, "snapshots")
     write_customer_workbooks(spark, sf, folder)
-    path = latest_snapshot(spark, folder, "SCALE_Student_Data*.xlsx")
+    path = latest_snapshot(spark, folder, "Student_Export*.xlsx")
     register_workbook_source(spark)
     local = path.removeprefix("file:")
     df = spark.read.format("workbook").option("sheet", "Students Export").load(local)
@@ -222,5 +222,5 @@ def q_sheet_resolve(spark: SparkSession, sf: str) -> DataFrame:
     write_customer_workbooks(spark, sf, folder)
     register_workbook_source(spark)
     df = (spark.read.format("workbook").option("candidates", "students, student")
-          .option("pattern", "SCALE_Student_Data*.xlsx").load(folder.removeprefix("file:")))
+          .option("pattern", "Student_Export*.xlsx").load(folder.removeprefix("file:")))
     return df.select("Cust Key", "Name", "Balance", "Segment")

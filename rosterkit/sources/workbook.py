@@ -86,8 +86,12 @@ def latest_snapshot(spark: SparkSession, folder: str, pattern: str) -> str | Non
     return top[0]["path"] if top else None
 
 
+# Fixed value: file-name pattern of the system's data exports (A4).
+EXPORT_PATTERN = "SCALE_Student_Data*.xlsx"
+
+
 def load_system_export(spark: SparkSession, *, file: str | None = None, folder: str | None = None,
-                       pattern: str = "SCALE_Student_Data*.xlsx", sheet: str = "students") -> DataFrame:
+                       pattern: str = EXPORT_PATTERN, sheet: str = "students") -> DataFrame:
     """A3: the system export -- an explicitly given file wins, else the
     newest file of ``folder`` matching ``pattern`` (A4). Raises when
     neither yields a file or the sheet is missing."""

@@ -27,10 +27,10 @@ def _write_books(folder):
     os.makedirs(folder, exist_ok=True)
     a = write_xlsx({"Intro": [["x"]], "Students": [["Email", "First Name"], ["a@x", "Ann"], ["b@x", "Bob"]]})
     b = write_xlsx({"student list": [["Email", "Last Name"], ["c@x", "Lee"]]})
-    with open(os.path.join(folder, "SCALE_Student_Data_1.xlsx"), "wb") as fh:
+    with open(os.path.join(folder, "Student_Export_1.xlsx"), "wb") as fh:
         fh.write(a)
     time.sleep(0.05)
-    with open(os.path.join(folder, "SCALE_Student_Data_2.xlsx"), "wb") as fh:
+    with open(os.path.join(folder, "Student_Export_2.xlsx"), "wb") as fh:
         fh.write(b)
     with open(os.path.join(folder, "other.xlsx"), "wb") as fh:
         fh.write(b"not a workbook")
@@ -44,8 +44,8 @@ def test_read_workbooks_union_and_latest(spark, tmp_path):
     assert set(wide.columns[3:]) == {"Email", "First Name", "Last Name"}
     got = sorted((r.Email, r["First Name"], r["Last Name"]) for r in wide.collect())
     assert got == [("a@x", "Ann", None), ("b@x", "Bob", None), ("c@x", None, "Lee")]
-    latest = W.latest_snapshot(spark, folder, "SCALE_Student_Data*.xlsx")
-    assert latest.endswith("SCALE_Student_Data_2.xlsx")
+    latest = W.latest_snapshot(spark, folder, "Student_Export*.xlsx")
+    assert latest.endswith("Student_Export_2.xlsx")
     cells = W.read_workbook_cells(spark, folder, glob="other.xlsx").collect()
     assert len(cells) == 1 and cells[0]._error is not None       # a bad file is reported, not fatal
 
@@ -53,13 +53,13 @@ def test_read_workbooks_union_and_latest(spark, tmp_path):
 def test_load_system_export(spark, tmp_path):
     folder = str(tmp_path / "exports")
     _write_books(folder)
-    explicit = os.path.join(folder, "SCALE_Student_Data_1.xlsx")
+    explicit = os.path.join(folder, "Student_Export_1.xlsx")
     got = W.load_system_export(spark, file=explicit, folder=folder, sheet="Students")
     assert sorted(r.Email for r in got.collect()) == ["a@x", "b@x"]          # explicit file wins
-    latest = W.load_system_export(spark, folder=folder, sheet="student list")
+    latest = W.load_system_export(spark, folder=folder, pattern="Student_Export*.xlsx", sheet="student list")
     assert [r.Email for r in latest.collect()] == ["c@x"]                    # newest file
     with pytest.raises(ValueError):
-        W.load_system_export(spark, folder=folder, sheet="nope")
+        W.load_system_export(spark, folder=folder, pattern="Student_Export*.xlsx", sheet="nope")
 
 
 def test_workbook_data_source(spark, tmp_path):
@@ -67,7 +67,7 @@ def test_workbook_data_source(spark, tmp_path):
     _write_books(folder)
     W.register_workbook_source(spark)
     df = (spark.read.format("workbook").option("candidates", "students")
-          .option("pattern", "SCALE_Student_Data_1.xlsx").load(folder))
+          .option("pattern", "Student_Export_1.xlsx").load(folder))
     assert df.columns == ["_file", "_sheet", "_ordinal", "Email", "First Name"]
     assert sorted(r.Email for r in df.collect()) == ["a@x", "b@x"]
 
