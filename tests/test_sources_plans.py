@@ -39,7 +39,7 @@ def _write_books(folder):
 def test_read_workbooks_union_and_latest(spark, tmp_path):
     folder = str(tmp_path / "books")
     _write_books(folder)
-    wide = W.read_workbooks(spark, folder, candidates=["students", "student"], glob="SCALE_*.xlsx")
+    wide = W.read_workbooks(spark, folder, candidates=["students", "student"], glob="Student_Export*.xlsx")
     assert wide.columns[:3] == ["_file", "_sheet", "_ordinal"]
     assert set(wide.columns[3:]) == {"Email", "First Name", "Last Name"}
     got = sorted((r.Email, r["First Name"], r["Last Name"]) for r in wide.collect())
