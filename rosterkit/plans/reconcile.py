@@ -179,42 +179,47 @@ def import_template(new_rows: DataFrame, params: ReconcileParams = ReconcilePara
     """
     cols = new_rows.columns
     mm = detect_columns(cols, overrides=params.master_overrides)
+    null_s = _null_s()          # one NULL column, aliased wherever a cell is blank
 
     def src(field_name: str) -> Column | None:
         c = first_containing(cols, TEMPLATE_PATTERNS[field_name])
         return qcol(c) if c is not None else None
 
     def copy(name: str) -> Column:
-        return qcol(mm[name]).cast("string") if name in mm else _null_s()
+        return qcol(mm[name]).cast("string") if name in mm else null_s
+
+    def mapped(field_name: str, fn=None) -> Column:
+        c = src(field_name)
+        if c is None:
+            return null_s
+        return fn(c) if fn is not None else c
 
     app_col = application_date_column(cols)
     app = parse_date_text(qcol(app_col)) if app_col else F.lit(None).cast(DateType())
-    vertical, citizen, gender = src("vertical"), src("isCitizen"), src("gender")
-    status = src("studentCurrentStatus")
+    citizen = src("isCitizen")
     exprs: dict[str, Column] = {
         "firstName": copy("first_name"),
         "lastName": copy("last_name"),
         "email": copy("email"),
-        "middleName": src("middleName") if src("middleName") is not None else _null_s(),
-        "preferredNameOrTitle": src("preferredNameOrTitle")
-        if src("preferredNameOrTitle") is not None else _null_s(),
-        "vertical": translate_vertical(vertical) if vertical is not None else _null_s(),
-        "linkedInPage": src("linkedInPage") if src("linkedInPage") is not None else _null_s(),
+        "middleName": mapped("middleName"),
+        "preferredNameOrTitle": mapped("preferredNameOrTitle"),
+        "vertical": mapped("vertical", translate_vertical),
+        "linkedInPage": mapped("linkedInPage"),
         "isCitizen": yes_no_flag(citizen) if citizen is not None else F.lit(None).cast(IntegerType()),
-        "race": src("race") if src("race") is not None else _null_s(),
-        "gender": translate_gender(gender) if gender is not None else _null_s(),
+        "race": mapped("race"),
+        "gender": mapped("gender", translate_gender),
         "scaleApplicationDate": app,
         "scaleppApplicationDate": app,
         "studentScaleSemester": F.lit(params.semester),
-        "studentCurrentStatus": normalize_status(status) if status is not None else _null_s(),
-        "organization": src("organization") if src("organization") is not None else _null_s(),
+        "studentCurrentStatus": mapped("studentCurrentStatus", normalize_status),
+        "organization": mapped("organization"),
     }
     for k, v in TEMPLATE_FIXED.items():
         exprs[k] = F.lit(v)
     out = []
     for name in TEMPLATE_COLUMNS:
-        e = exprs.get(name, _null_s())
-        if name in FREE_TEXT_FIELDS:
+        e = exprs.get(name, null_s)
+        if name in FREE_TEXT_FIELDS and e is not null_s:   # NULL stays NULL: nothing to cut
             e = truncate_text(e, 499)
         out.append(e.alias(name))
     return new_rows.select(*out)
