@@ -229,3 +229,24 @@ def test_streaming_store_matches_batch(spark):
     cols = sorted(full.reports.columns)
     assert sorted(map(repr, map(tuple, inc.reports.select(*cols).collect()))) == \
         sorted(map(repr, map(tuple, full.reports.select(*cols).collect())))
+
+
+def test_import_set_guard(spark, recon_tables, tmp_path):
+    master, _ = recon_tables
+    base = str(tmp_path / "import")
+    assert R.write_import_set(spark, master.limit(0), base) == []           # no new rows: nothing written
+    written = R.write_import_set(spark, master, base)
+    assert [w.rsplit("/", 1)[1] for w in written] == ["Users", "WorkExperience", "Degrees", "Mentoring"]
+    assert spark.read.parquet(f"{base}/WorkExperience").count() == 0
+
+
+def test_report_name_collisions(spark):
+    book = write_xlsx({"S": [["First Name", "Email"], ["Ann", "a@x"]]})
+    t = dt.datetime(2024, 1, 1)
+    msgs = spark.createDataFrame([
+        ("m1", "Archive", "s", t, "application to A/B through", [("student_data.xlsx", book)]),
+        ("m2", "Archive", "s", t, "application to A:B through", [("student_data.xlsx", book)]),
+    ], P.MESSAGE_SCHEMA)
+    diag = {r.metric: r.value for r in P.run_reports(msgs).diagnostics.collect()}
+    assert diag["employers_with_data"] == 2 and diag["reports_exported"] == 1     # D8: both map to A_B
+    assert diag["report_name_collisions"] == 1
