@@ -61,8 +61,15 @@ def q_links(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _partition_sql() -> str:
-    from .q_reports import _REPORT_SELECT, _report_cte
-    return _report_cte() + _REPORT_SELECT
+    from .q_reports import _report_cte
+    from .sqlx import mdy
+    return _report_cte() + f"""
+SELECT {mdy('d')} AS "Date of Confirmed Application", first_name AS "First Name",
+       last_name AS "Last Name", email AS "Email", uploaded AS "Date Database Uploaded", major AS "Major",
+       CASE WHEN link = '' THEN '' ELSE '=HYPERLINK("' || replace(link, '"', '""') || '","View Resume")' END
+         AS "Resume Link",
+       employer
+FROM kept"""
 
 
 def _multi_sql() -> str:
