@@ -89,16 +89,35 @@ SKIP_PLAN = {"q_partition_write", "q_multi_write", "q_workbook_scan", "q_latest_
              "q_mailbox_reports", "q_mailbox_stream"}
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def test_check_query_plans(spark):
+    """Plan shapes of every check query, and its column types equal its oracle's."""
+    import duckdb
+
     import __spark_entry__ as E
+    from rosterkit.checks.catalog import DRIVER_TABLES
+    con = duckdb.connect()
+    for t in DRIVER_TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    oracles = E.oracle_sql()
     for name, fn in E.queries().items():
         if name in SKIP_PLAN:
             continue
-        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        df = fn(spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
         for bad in FORBIDDEN:
             assert bad not in plan, f"{name} plans {bad}"
         if name in ("q_dedupe_first", "q_dedupe_latest", "q_students_base"):
             assert "WindowGroupLimit" in plan, name
+        if name in oracles:
+            rel = con.sql(oracles[name])
+            duck = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+            ours = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                    for f in df.schema.fields}
+            assert ours == duck, name
 
 
 def test_message_filter_pushed_down(spark, tmp_path):
