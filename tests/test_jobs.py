@@ -250,3 +250,17 @@ def test_report_name_collisions(spark):
     diag = {r.metric: r.value for r in P.run_reports(msgs).diagnostics.collect()}
     assert diag["employers_with_data"] == 2 and diag["reports_exported"] == 1     # D8: both map to A_B
     assert diag["report_name_collisions"] == 1
+
+
+def test_resume_manifest_bytes(spark):
+    """Each person's latest saved résumé, with its target name and bytes."""
+    msgs = P.scan_messages(_messages(spark))
+    atts = P.explode_attachments(msgs)
+    decoded = P.decode_data_files(atts)
+    rows = P.widen(decoded, P.header_order(decoded))
+    events, _ = P.resume_events(rows, atts, P.ReportParams(resume_file_base_url="https://f/r"))
+    got = {r.person_key: (r.target_name, bytes(r.content)) for r in P.resume_manifest(events, atts).collect()}
+    # Ann re-sent her résumé in a later message: the newer bytes win.
+    assert got == {"email:ann@x.edu": ("Ann_Lee_Resume.pdf", b"4"),
+                   "email:bob@x.edu": ("Bob_Ray_Resume.pdf", b"2"),
+                   "email:dan@x.edu": ("Dan_Orr_Resume.pdf", b"5")}
