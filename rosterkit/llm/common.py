@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, shared_path
 
-__all__ = ["WORD", "WHITE", "materialize", "shared_path", "table", "keep", "shard_count"]
+__all__ = ["WORD", "WHITE", "materialize", "shared_path", "table", "keep", "shard_count", "ship_package"]
 
 #: A word is a run of anything but ASCII white space (space, \t \n \v \f \r).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,3 +34,21 @@ def shard_count(rows: int, rows_per_shard: int) -> int:
     """Shards of about equal size: their number grows with the input,
     what one task holds does not."""
     return max(1, -(-int(rows) // int(rows_per_shard)))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application, as
+    ``--py-files`` would (Spark serves the archive from the driver)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = os.path.join(tempfile.mkdtemp(prefix="py-files-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

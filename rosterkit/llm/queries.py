@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import table
+from .common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,7 @@ def query(name: str, oracle: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_checkpoint_dir(spark)
+            ship_package(spark)
             return fn(spark, sf_dir)
         QUERIES[name] = run
         if oracle is not None:
@@ -96,3 +97,9 @@ def _op10(spark, sf_dir):
     from .quality import judge_quality
     judged = judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
+
+
+@query("op5_ngram_join")
+def _op5(spark, sf_dir):
+    from .ngram_join import ngram_jaccard_join
+    return ngram_jaccard_join(table(spark, sf_dir, "documents")).documents
