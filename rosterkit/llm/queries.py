@@ -103,3 +103,28 @@ def _op10(spark, sf_dir):
 def _op5(spark, sf_dir):
     from .ngram_join import ngram_jaccard_join
     return ngram_jaccard_join(table(spark, sf_dir, "documents")).documents
+
+
+_OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT q.vec_id AS query_id, c.vec_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[]) DESC, c.vec_id) AS rank,
+         list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+WHERE rank <= 20
+"""
+
+
+@query("op6_exact_topk", _OP6_SQL)
+def _op6(spark, sf_dir):
+    from .topk import top_k
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_line_dedup")
+def _op9(spark, sf_dir):
+    from .line_dedup import dedup_lines
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).withColumn("n_removed", F.size("removed_lines").cast("long"))
