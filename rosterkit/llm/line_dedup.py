@@ -48,7 +48,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _with_words(lines: DataFrame) -> DataFrame:
     blanks = F.translate("line", "\t\x0b\x0c\r", "    ")
-    return lines.withColumn("w", F.array_remove(F.split(blanks, " "), "")).where(F.size("w") > 0).drop("line")
+    return lines.where(F.trim(blanks) != "").withColumn("w", F.array_remove(F.split(blanks, " "), "")).drop("line")
 
 
 def _tokens(lines: DataFrame, k: int) -> DataFrame:
@@ -62,7 +62,9 @@ def _tokens(lines: DataFrame, k: int) -> DataFrame:
 def _rarity(tokens: DataFrame, params: LineParams) -> Column:
     """Bucket -> step of rarity, an array of fixed length made from counts
     over all lines: steps of equal numbers of buckets, the fullest last."""
-    rows = (tokens.select(F.explode("t").alias("t")).groupBy(F.pmod("t", F.lit(params.buckets)).cast("int").alias("b"))
+    # Not explode(): the filter that Spark infers for it is pushed below the
+    # projections and would compute the hashes anew for every gram.
+    rows = (tokens.select(F.explode_outer("t").alias("t")).groupBy(F.pmod("t", F.lit(params.buckets)).cast("int").alias("b"))
             .agg(F.count("*").alias("n")).collect())
     order = [0] * params.buckets
     for place, row in enumerate(sorted(rows, key=lambda r: (r["n"], r["b"]))):
