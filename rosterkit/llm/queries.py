@@ -128,3 +128,15 @@ def _op9(spark, sf_dir):
     from .line_dedup import dedup_lines
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).withColumn("n_removed", F.size("removed_lines").cast("long"))
+
+
+@query("op2_token_counts")
+def _op2(spark, sf_dir):
+    from .unigram import count_tokens
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op8_pseudonyms")
+def _op8(spark, sf_dir):
+    from .pseudonyms import pseudonymize
+    return pseudonymize(table(spark, sf_dir, "documents"))
