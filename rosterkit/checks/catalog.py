@@ -36,13 +36,12 @@ _REGISTERED: dict[tuple[int, str], str] = {}
 def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
     """Register the named driver tables as temp views (once per session
     and path; a different ``sf_dir`` replaces the view)."""
-    from ..session import read_table
     for n in names:
         path = f"{sf_dir}/{n}.parquet"
         key = (id(spark), n)
         if _REGISTERED.get(key) == path and spark.catalog.tableExists(n):
             continue
-        read_table(spark, path).createOrReplaceTempView(n)
+        spark.read.parquet(path).createOrReplaceTempView(n)
         _REGISTERED[key] = path
 
 
@@ -78,7 +77,7 @@ s0 AS (
 s1 AS (
   SELECT *, {X.coded_flag('defenseExperienceRaw', 20, ('yes', 'y', 'true', '1', '20', '20.0'))}
               AS hasDefenseExperience,
-         {X.flexible_date('studentScaleSemester', 'start', 'strict')} AS _scale_start
+         {X.flexible_date('studentScaleSemester', 'start', 'strict')} AS _start_date
   FROM s0)"""
 
 _D_AGG = f"""
@@ -114,11 +113,11 @@ j AS (
          coalesce(da.degreeTypes, '') AS degreeTypes, da._latest_grad,
          coalesce(wa.totalWorkExperiences, 0) AS totalWorkExperiences,
          coalesce(wa.defenseWorkExperiences, 0) AS defenseWorkExperiences,
-         {X.years_between('s1._scale_start', 'da._latest_grad')} AS yearsInScaleBeforeGraduation
+         {X.years_between('s1._start_date', 'da._latest_grad')} AS yearsInScaleBeforeGraduation
   FROM s1 LEFT JOIN da USING (_email_key) LEFT JOIN wa USING (_email_key)),
 scored AS (
   SELECT _ordinal, firstName, lastName, email, defenseExperienceRaw, hasDefenseExperience,
-         studentScaleSemester, {X.mdy('_scale_start')} AS scaleStartDate,
+         studentScaleSemester, {X.mdy('_start_date')} AS scaleStartDate,
          {X.mdy('_latest_grad')} AS graduationDateUsed, yearsInScaleBeforeGraduation,
          coalesce(yearsInScaleBeforeGraduation >= CAST({min_years} AS DOUBLE), false) AS inScaleTwoPlusYears,
          totalDegrees, graduateDegreeCount, degreeTypes,
@@ -176,20 +175,20 @@ def q_score_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query("q_params", _score_cte(1.5, 3, 2) + f"\nSELECT {_SCORE_COLS} FROM scored")
 def q_params(spark: SparkSession, sf: str) -> DataFrame:
     from ..plans.scorecard import ScorecardParams, scorecard
-    p = ScorecardParams(min_years_in_scale=1.5, min_total_work_experiences=3,
+    p = ScorecardParams(min_years=1.5, min_total_work_experiences=3,
                         min_defense_work_experiences=2)
     return scorecard(*_score_inputs(spark, sf), p)
 
 
 @query("q_students_base", cte(students=I.STUDENTS) + "," + _S_BASE + """
 SELECT email, _email_key, firstName, lastName, studentScaleSemester, defenseExperienceRaw,
-       hasDefenseExperience, _scale_start FROM s1""")
+       hasDefenseExperience, _start_date FROM s1""")
 def q_students_base(spark: SparkSession, sf: str) -> DataFrame:
     from ..plans.scorecard import students_base
     s = derive(spark, sf, I.STUDENTS, ("customer",), I.STUDENT_HEADERS)
     return students_base(s).select("email", "_email_key", "firstName", "lastName",
                                    "studentScaleSemester", "defenseExperienceRaw",
-                                   "hasDefenseExperience", "_scale_start")
+                                   "hasDefenseExperience", "_start_date")
 
 
 @query("q_degrees_agg", cte(degrees=I.DEGREES) + "," + _D_AGG + "\nSELECT * FROM da")
@@ -214,7 +213,7 @@ def _recon_inputs(spark, sf):
 
 def _recon_params():
     from ..plans.reconcile import ReconcileParams
-    return ReconcileParams(as_of=I.RECONCILE_AS_OF)
+    return ReconcileParams(program_version="V7", as_of=I.RECONCILE_AS_OF)
 
 
 def _key(prefix: str = "") -> str:
@@ -258,24 +257,23 @@ def q_recent_suppressed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _template_sql() -> str:
-    from ..functions.text import NO_WORDS, VERTICAL_CONTAINS, VERTICAL_EXACT, GENDER_EXACT, YES_WORDS
-    from ..plans.reconcile import TEMPLATE_COLUMNS, TEMPLATE_FIXED
-    yes = ", ".join(X.lit(w) for w in YES_WORDS)
-    no = ", ".join(X.lit(w) for w in NO_WORDS)
+    from ..plans.reconcile import TEMPLATE_COLUMNS
+    yes, no = "'yes', 'y', '1', 'true'", "'no', 'n', '0', 'false'"
     m = {
         "firstName": "first_name", "lastName": "last_name", "email": "email",
         "middleName": "middle_name", "preferredNameOrTitle": "preferred_name",
-        "vertical": X.translate("technical_area", VERTICAL_EXACT, VERTICAL_CONTAINS),
+        "vertical": X.vertical("technical_area"),
         "linkedInPage": "linkedin",
         "isCitizen": f"CAST(CASE WHEN lower(citizen) IN ({yes}) THEN 1 WHEN lower(citizen) IN ({no}) "
                      f"THEN 0 END AS INTEGER)",
-        "race": "race", "gender": X.translate("gender", GENDER_EXACT, ()),
+        "race": "race", "gender": X.gender("gender"),
         "scaleApplicationDate": "app", "scaleppApplicationDate": "app",
         "studentScaleSemester": "'Spring 2026'", "studentCurrentStatus": X.status("status"),
         "organization": "university",
     }
-    for k, v in TEMPLATE_FIXED.items():
-        m[k] = X.lit(v) if isinstance(v, str) else f"CAST({v} AS INTEGER)"
+    m |= {"agreedToDataCollection": "CAST(1 AS INTEGER)", "seekingJobOffer": "CAST(1 AS INTEGER)", "organizationType": "'Academic'",
+          "holdSecurityClearance": "CAST(0 AS INTEGER)", "recieveContacts": "CAST(1 AS INTEGER)",
+          "grantsDataPermsission": "CAST(1 AS INTEGER)", "scaleVersion": "'V7'"}
     sel = ", ".join(f'{m.get(c, "CAST(NULL AS VARCHAR)")} AS "{c}"' for c in TEMPLATE_COLUMNS)
     return _RECON_CTE + f"\nSELECT {sel} FROM new_rows"
 
@@ -288,10 +286,9 @@ def q_template(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _degrees_tab_sql() -> str:
-    from ..functions.classify import DOCTORAL_PATTERNS, MASTERS_PATTERNS
     grad = f"coalesce({X.term_date('expected_graduation', 'end', 'loose')}, {X.date_text('expected_graduation')})"
-    masters = X.contains_any("educational_status", MASTERS_PATTERNS)
-    doctoral = X.contains_any("educational_status", DOCTORAL_PATTERNS)
+    masters = X.masters("educational_status")
+    doctoral = X.doctoral("educational_status")
     yp = f"(CASE WHEN {masters} THEN 2 ELSE 4 END)"
     back = (f"CASE WHEN g IS NOT NULL THEN make_date(year(g) - {yp}, "
             f"CASE WHEN month(g) = 8 THEN 5 ELSE 8 END, 15) END")

@@ -3,6 +3,7 @@ fresh folder under the shared checkpoint folder and are read back."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from . import sqlx as X
 from .catalog import query, views
 
 FILE_BASE = "https://files.example.org/r/"
-SHARE_BASE = "https://example.sharepoint.com/:f:/s/team/Abc123"
+SHARE_BASE = "https://share.example.org/:f:/s/team/Abc123"
 FOLDER_BASE = "https://example.org/resumes/"
 LOCAL_DIR = "/srv/Student Resumes"
 
@@ -115,73 +116,54 @@ def q_multi_write(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-def write_customer_workbooks(spark: SparkSession, sf: str, folder: str) -> None:
-    """Write the customer table as workbooks (one per task, on the
-    executors) with two sheets and drifting headers per file."""
-    from ..sources import ship, xlsx_rows
-    ship(spark)
+def customer_workbooks(spark: SparkSession, sf: str) -> DataFrame:
+    """The customer table as a table of workbook files (path, time, bytes),
+    500 keys to a file, with two sheets and headers that drift from file
+    to file. Later keys are in later files."""
+    from ..session import materialize
+    from . import mailbox
     views(spark, sf, "customer")
-    c = spark.table("customer")
-
-    def write(batches):
-        import os
-        import uuid
-
-        import pandas as pd
-        rows_out = []
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            odd = int(pdf["c_custkey"].iloc[0]) % 2 == 1
-            head = ["Cust Key", "Name", "Nation" if odd else "NATION ", "Balance", "Segment"]
-            data = [head] + [[int(r.c_custkey), r.c_name, int(r.c_nationkey), float(r.c_acctbal),
-                              r.c_mktsegment] for r in pdf.itertuples(index=False)]
-            book = xlsx_rows.write_xlsx({"Notes": [["x"]], "Students Export": data})
-            path = os.path.join(folder, f"Student_Export_{uuid.uuid4().hex}.xlsx")
-            with open(path, "wb") as fh:
-                fh.write(book)
-            rows_out.append((path, len(pdf)))
-        yield pd.DataFrame(rows_out, columns=["path", "n"])
-
-    import os
-    os.makedirs(folder, exist_ok=True)
-    (c.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-     .mapInPandas(write, "path string, n long").write.format("noop").mode("overwrite").save())
-
-
-@query("q_workbook_scan", """
-SELECT CAST(c_custkey AS VARCHAR) AS "Cust Key", c_name AS "Name",
-       CAST(c_nationkey AS VARCHAR) AS nation,
+    c = spark.table("customer").withColumn("book", F.expr("c_custkey div 500"))
+
+    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        book = int(key[0])
+        pdf = pdf.sort_values("c_custkey")
+        head = ["Cust Key", ("Name", "NAME", "name")[book % 3], "Nation" if book % 2 else "NATION ", "Balance", "Segment"]
+        data = [head] + [[int(r.c_custkey), r.c_name, int(r.c_nationkey), float(r.c_acctbal), r.c_mktsegment]
+                         for r in pdf.itertuples(index=False)]
+        content = mailbox.write_xlsx({"Notes": [["x"]], "Students Export": data})
+        return pd.DataFrame({"path": [f"Student_Export_{book:06d}.xlsx"],
+                             "modificationTime": [pd.Timestamp("2024-01-01") + pd.Timedelta(hours=book)], "content": [content]})
+
+    mailbox.ship(spark)
+    files = c.groupBy("book").applyInPandas(build, "path string, modificationTime timestamp, content binary")
+    return materialize(files, "workbooks")
+
+
+_CUSTOMER_CELLS = '''CAST(c_custkey AS VARCHAR) AS "Cust Key", c_name AS "Name",
        CASE WHEN c_acctbal = floor(c_acctbal) THEN CAST(CAST(c_acctbal AS BIGINT) AS VARCHAR)
             ELSE CAST(c_acctbal AS VARCHAR) END AS "Balance",
-       c_mktsegment AS "Segment"
-FROM customer""")
+       c_mktsegment AS "Segment" '''
+
+
+@query("q_workbook_scan", f"""
+SELECT {_CUSTOMER_CELLS}, CAST(c_nationkey AS VARCHAR) AS nation FROM customer""")
 def q_workbook_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Workbooks written from the customer table, read
-    back by sheet name candidates, headers unioned by name."""
-    from ..session import shared_path
+    """Workbooks made from the customer table, read
+    by sheet name candidates, headers that drift unioned by name."""
     from ..sources.workbook import read_workbooks
-    folder = shared_path(spark, "workbooks")
-    write_customer_workbooks(spark, sf, folder)
-    wide = read_workbooks(spark, folder, candidates=["students", "student"],
-                          glob="Student_Export*.xlsx")
-    nation = F.coalesce(F.col("Nation"), F.col("NATION ")) if "NATION " in wide.columns else F.col("Nation")
-    return wide.select("Cust Key", "Name", nation.alias("nation"), "Balance", "Segment")
+    wide = read_workbooks(spark, customer_workbooks(spark, sf), candidates=["students", "student"], glob="Student_Export*.xlsx")
+    nation = [F.col(f"`{c}`") for c in wide.columns if c.strip().lower() == "nation"]
+    return wide.select("Cust Key", "Name", "Balance", "Segment", F.coalesce(*nation).alias("nation"))
 
 
-@query("q_latest_snapshot")
+@query("q_latest_snapshot", f"""
+SELECT {_CUSTOMER_CELLS} FROM customer WHERE c_custkey // 500 = (SELECT max(c_custkey // 500) FROM customer)""")
 def q_latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    """A3/A4/T4: the newest matching workbook of a folder, read by sheet
-    name through ``format("workbook")`` (rows-only check)."""
-    from ..session import shared_path
-    from ..sources.workbook import latest_snapshot, register_workbook_source
-    folder = shared_path(spark, "snapshots")
-    write_customer_workbooks(spark, sf, folder)
-    path = latest_snapshot(spark, folder, "Student_Export*.xlsx")
-    register_workbook_source(spark)
-    local = path.removeprefix("file:")
-    df = spark.read.format("workbook").option("sheet", "Students Export").load(local)
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("_file").alias("n_files"))
+    """A3/A4/T4: the newest matching workbook, read by sheet name."""
+    from ..sources.workbook import load_system_export
+    df = load_system_export(spark, folder=customer_workbooks(spark, sf), pattern="Student_Export*.xlsx", sheet="Students Export")
+    return df.select("Cust Key", "Name", "Balance", "Segment")
 
 
 def _import_set_sql() -> str:
@@ -213,21 +195,13 @@ def q_import_set(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-@query("q_sheet_resolve", """
-SELECT CAST(c_custkey AS VARCHAR) AS "Cust Key", c_name AS "Name",
-       CASE WHEN c_acctbal = floor(c_acctbal) THEN CAST(CAST(c_acctbal AS BIGINT) AS VARCHAR)
-            ELSE CAST(c_acctbal AS VARCHAR) END AS "Balance",
-       c_mktsegment AS "Segment"
-FROM customer""")
+@query("q_sheet_resolve", f"""
+SELECT {_CUSTOMER_CELLS}, k AS sheet_of FROM customer, (SELECT unnest(['people', 'export']) AS k)""")
 def q_sheet_resolve(spark: SparkSession, sf: str) -> DataFrame:
-    """A1/A2 C2 through ``format("workbook")``: the sheet is picked by name
-    candidates ('students', 'student') among 'Notes' and 'Students Export';
-    one input partition per file."""
-    from ..session import shared_path
-    from ..sources.workbook import register_workbook_source
-    folder = shared_path(spark, "sheets")
-    write_customer_workbooks(spark, sf, folder)
-    register_workbook_source(spark)
-    df = (spark.read.format("workbook").option("candidates", "students, student")
-          .option("pattern", "Student_Export*.xlsx").load(folder.removeprefix("file:")))
-    return df.select("Cust Key", "Name", "Balance", "Segment")
+    """Several tables of the same workbooks, each sheet picked
+    by its candidates (contained either way) among 'Notes' and
+    'Students Export'."""
+    from ..sources.workbook import read_workbook_tables
+    tables = read_workbook_tables(spark, customer_workbooks(spark, sf), {"people": ["students", "student"], "export": ["the students export list"]})
+    parts = [df.select("Cust Key", "Name", "Balance", "Segment", F.lit(k).alias("sheet_of")) for k, df in tables.items()]
+    return parts[0].unionByName(parts[1])

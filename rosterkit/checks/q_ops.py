@@ -194,11 +194,7 @@ FROM part"""
 
 
 def _translate_sql(col: str, which: str) -> str:
-    from ..functions.text import GENDER_EXACT, VERTICAL_CONTAINS, VERTICAL_EXACT
-    if which == "vertical":
-        expr = X.translate(col, VERTICAL_EXACT, VERTICAL_CONTAINS)
-    else:
-        expr = X.translate(col, GENDER_EXACT, ())
+    expr = X.vertical(col) if which == "vertical" else X.gender(col)
     return cte(src=_LABEL_IN) + f"\nSELECT p_partkey, {expr} AS {col} FROM src"
 
 
@@ -249,9 +245,7 @@ FROM orders"""
 
 
 def _degree_class_sql() -> str:
-    from ..functions.classify import DOCTORAL_PATTERNS, MASTERS_PATTERNS
-    m = X.contains_any("degree", MASTERS_PATTERNS)
-    d = X.contains_any("degree", DOCTORAL_PATTERNS)
+    m, d = X.masters("degree"), X.doctoral("degree")
     return cte(src=_DEGREE_IN) + f"""
 SELECT o_orderkey, {X.graduate_degree('degree')} AS is_graduate, {m} AS is_masters,
        CASE WHEN {d} OR {m} THEN 'PHD' ELSE 'BS' END AS degree_code,
@@ -393,3 +387,24 @@ def q_schema_resolve(spark: SparkSession, sf: str) -> DataFrame:
     spec = list(STUDENT_SPEC)
     assert isinstance(spec[0], FieldSpec)
     return standardize(wide, spec, keep=["_ordinal"])
+
+
+# Written in every shape from one date, so that the oracle needs no parser.
+_DATE_TEXT_IN = """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, o_orderkey % 13 AS shape, {shapes} AS text FROM orders"""
+_DATE_SHAPES_SPARK = """CASE o_orderkey % 13
+  WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd') WHEN 1 THEN date_format(o_orderdate, 'M/d/yyyy')
+  WHEN 2 THEN date_format(o_orderdate, 'MM-dd-yyyy') WHEN 3 THEN date_format(o_orderdate, 'd-MMM-yyyy')
+  WHEN 4 THEN date_format(o_orderdate, 'M/d/yyyy') || ' 0:00' WHEN 5 THEN date_format(o_orderdate, 'MMMM d yyyy')
+  WHEN 6 THEN date_format(o_orderdate, 'yyyyMMdd') WHEN 7 THEN date_format(o_orderdate, 'M/d/yy')
+  WHEN 8 THEN '  ' || date_format(o_orderdate, 'yyyy/M/d') || ' 13:05:09 ' WHEN 9 THEN date_format(o_orderdate, 'MMM d, yyyy')
+  WHEN 10 THEN '13/13/2024' WHEN 11 THEN 'soon' ELSE NULL END"""
+
+
+@query("q_date_text", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 13 < 10 THEN CAST(o_orderdate AS DATE) END AS day FROM orders""")
+def q_date_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The common shapes of date text, from known dates."""
+    from ..functions.dates import parse_date_text
+    src = derive(spark, sf, _DATE_TEXT_IN.format(shapes=_DATE_SHAPES_SPARK), ("orders",))
+    return src.select("o_orderkey", parse_date_text("text").alias("day"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from .catalog import cte, derive, query, views
 
 def _report_frames(spark: SparkSession, sf: str):
     from ..functions.text import extract_employer, file_extension
+    from ..plans.reports import pack_rows
     # The job reads decoded rows from a written table; the derived
     # stand-in (with the per-file upload-date fill the decoder does) is
     # built once and written the same way.
@@ -28,10 +32,16 @@ def _report_frames(spark: SparkSession, sf: str):
     base = materialize(base, "report_base")
     base.createOrReplaceTempView("report_base")
     rows = spark.sql(I.REPORT_ROWS_FROM.format(base="report_base")).withColumnsRenamed(I.REPORT_HEADERS)
-    rows = rows.withColumn("employer", extract_employer("body")).drop("body")
+    rows = pack_rows(rows.withColumn("employer", extract_employer("body")), tuple(I.REPORT_HEADERS.values()))
     atts = spark.sql(I.REPORT_ATTS_FROM.format(base="report_base"))
-    atts = atts.withColumns({"ext": file_extension("att_name"), "is_data": F.lit(False)})
-    return rows, atts
+    return rows, atts.withColumn("ext", file_extension("att_name"))
+
+
+def _wide(reports: DataFrame) -> DataFrame:
+    """The check inputs give every employer the same columns."""
+    cell = lambda h: F.col("cells")[h.lower()].alias(h)
+    return reports.select("Date of Confirmed Application", cell("First Name"), cell("Last Name"), cell("Email"),
+                          cell("Date Database Uploaded"), cell("Major"), "Resume Link", "employer", "report_name")
 
 
 def _report_params():
@@ -92,16 +102,14 @@ bn AS (SELECT message_id, name_key, max(person_key) AS name_person FROM ev GROUP
 r2 AS (SELECT rows.*, bn.name_person FROM rows LEFT JOIN bn ON bn.message_id = rows.message_id AND bn.name_key = rows.nk),
 __BY_NAME__
 by_person AS (
-  SELECT r2.message_id, r2.att_pos, r2._ordinal, s.url,
-         row_number() OVER (PARTITION BY r2.message_id, r2.att_pos, r2._ordinal
-                            ORDER BY s.received DESC, s.message_id DESC, s.att_pos DESC) AS rn
-  FROM r2 JOIN saves s ON s.person_key = r2.row_person
-   AND (s.received < r2.received OR (s.received = r2.received AND s.message_id <= r2.message_id))),
+  SELECT r2.message_id, r2.att_pos, r2._ordinal, s.url
+  FROM r2 ASOF JOIN saves s ON s.person_key = r2.row_person
+   AND struct_pack(t := r2.received, m := r2.message_id, p := 2147483647::BIGINT) >= struct_pack(t := s.received, m := s.message_id, p := s.att_pos::BIGINT)),
 linked AS (
   SELECT r2.*, CAST(received AS DATE) AS d, coalesce(bn1.url, bp.url, '') AS link
-  FROM r2 LEFT JOIN (SELECT * FROM by_name WHERE rn = 1) bn1
+  FROM r2 LEFT JOIN by_name bn1
          ON bn1.message_id = r2.message_id AND bn1.att_pos = r2.att_pos AND bn1._ordinal = r2._ordinal
-       LEFT JOIN (SELECT * FROM by_person WHERE rn = 1) bp
+       LEFT JOIN by_person bp
          ON bp.message_id = r2.message_id AND bp.att_pos = r2.att_pos AND bp._ordinal = r2._ordinal
   WHERE coalesce({_nb('first_name')}, {_nb('last_name')}, {_nb('email')}) IS NOT NULL),
 kept AS (
@@ -117,24 +125,17 @@ def _report_cte(scope: str = "message") -> str:
 
 
 _MESSAGE_BY_NAME = """by_name AS (
-  SELECT r2.message_id, r2.att_pos, r2._ordinal, s.url,
-         row_number() OVER (PARTITION BY r2.message_id, r2.att_pos, r2._ordinal
-                            ORDER BY s.received DESC, s.message_id DESC, s.att_pos DESC) AS rn
-  FROM r2 JOIN saves s ON s.person_key = r2.name_person
-   AND (s.received < r2.received OR (s.received = r2.received AND s.message_id <= r2.message_id))),"""
+  SELECT r2.message_id, r2.att_pos, r2._ordinal, s.url
+  FROM r2 ASOF JOIN saves s ON s.person_key = r2.name_person
+   AND struct_pack(t := r2.received, m := r2.message_id, p := 2147483647::BIGINT) >= struct_pack(t := s.received, m := s.message_id, p := s.att_pos::BIGINT)),"""
 _GLOBAL_BY_NAME = """evl AS (
-  SELECT e.message_id, e.att_pos, e.received, e.name_key, s.url,
-         row_number() OVER (PARTITION BY e.message_id, e.att_pos, e.name_key
-                            ORDER BY s.received DESC, s.message_id DESC, s.att_pos DESC) AS rn
-  FROM ev e JOIN saves s ON s.person_key = e.person_key
-   AND (s.received < e.received OR (s.received = e.received AND (s.message_id < e.message_id
-        OR (s.message_id = e.message_id AND s.att_pos <= e.att_pos))))),
+  SELECT e.message_id, e.att_pos, e.received, e.name_key, s.url
+  FROM ev e ASOF JOIN saves s ON s.person_key = e.person_key
+   AND struct_pack(t := e.received, m := e.message_id, p := e.att_pos::BIGINT) >= struct_pack(t := s.received, m := s.message_id, p := s.att_pos::BIGINT)),
 by_name AS (
-  SELECT r2.message_id, r2.att_pos, r2._ordinal, el.url,
-         row_number() OVER (PARTITION BY r2.message_id, r2.att_pos, r2._ordinal
-                            ORDER BY el.received DESC, el.message_id DESC, el.att_pos DESC) AS rn
-  FROM r2 JOIN (SELECT * FROM evl WHERE rn = 1) el ON el.name_key = r2.nk
-   AND (el.received < r2.received OR (el.received = r2.received AND el.message_id <= r2.message_id))),"""
+  SELECT r2.message_id, r2.att_pos, r2._ordinal, el.url
+  FROM r2 ASOF JOIN evl el ON el.name_key = r2.nk
+   AND struct_pack(t := r2.received, m := r2.message_id, p := 2147483647::BIGINT) >= struct_pack(t := el.received, m := el.message_id, p := el.att_pos::BIGINT)),"""
 
 
 _REPORT_SELECT = f"""
@@ -153,7 +154,7 @@ def q_employer_report(spark: SparkSession, sf: str) -> DataFrame:
     rows, atts = _report_frames(spark, sf)
     p = _report_params()
     events, _ = resume_events(rows, atts, p)
-    return employer_reports(rows, events.persist(), p)
+    return _wide(employer_reports(rows, materialize(events, "events"), p))
 
 
 def _manifest_sql() -> str:
@@ -179,38 +180,32 @@ def q_resume_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q_report_counts", _report_cte() + """
 SELECT metric, value FROM (
-  SELECT 'resume_links_available' AS metric, CAST(count(DISTINCT name_key) AS BIGINT) AS value FROM ev
+  SELECT 'messages_scanned' AS metric, CAST(count(DISTINCT message_id) AS BIGINT) AS value FROM rows
+  UNION ALL SELECT 'messages_with_attachments', CAST(count(DISTINCT message_id) AS BIGINT) FROM rows
+  UNION ALL SELECT 'data_attachments_found', CAST(count(DISTINCT message_id) AS BIGINT) FROM rows
+  UNION ALL SELECT 'data_attachments_processed', CAST(count(DISTINCT message_id) AS BIGINT) FROM rows
+  UNION ALL SELECT 'attachment_read_failures', CAST(0 AS BIGINT)
+  UNION ALL SELECT 'employers_with_data', CAST(count(DISTINCT employer) AS BIGINT) FROM rows
+  UNION ALL SELECT 'reports_exported', CAST(count(DISTINCT employer) AS BIGINT) FROM rows
+  UNION ALL SELECT 'report_name_collisions', CAST(0 AS BIGINT)
+  UNION ALL SELECT 'resume_links_available', CAST(count(DISTINCT name_key) AS BIGINT) FROM ev
   UNION ALL SELECT 'unique_resumes_saved', CAST(count(DISTINCT person_key) AS BIGINT) FROM ev
   UNION ALL SELECT 'resume_mappings_updated',
         CAST((SELECT count(*) FROM (SELECT DISTINCT person_key, received FROM ev) g) - count(DISTINCT person_key) AS BIGINT) FROM ev
-  UNION ALL SELECT 'resume_mappings_reused', CAST(count_if(NOT is_save) AS BIGINT) FROM ev
-  UNION ALL SELECT 'employers_with_data', CAST(count(DISTINCT employer) AS BIGINT) FROM kept
-  UNION ALL SELECT 'unmatched_attachments', CAST(count(*) AS BIGINT) FROM atts
-        WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev.message_id = atts.message_id AND ev.att_pos = atts.att_pos))""")
+  UNION ALL SELECT 'resume_mappings_reused', CAST(count_if(NOT is_save) AS BIGINT) FROM ev)""")
 def q_report_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Run counters of the report job."""
-    from ..plans.reports import employer_reports, resume_events
-    rows, atts = _report_frames(spark, sf)
-    p = _report_params()
-    events, unmatched = resume_events(rows, atts, p)
-    reports = employer_reports(rows, events, p)
-
-    def one(df, metric, expr):
-        return df.agg(expr.cast("long").alias("value")).select(F.lit(metric).alias("metric"), "value")
-
-    parts = [
-        one(events, "resume_links_available", F.count_distinct("name_key")),
-        one(events, "unique_resumes_saved", F.count_distinct("person_key")),
-        one(events, "resume_mappings_updated",
-            F.count_distinct("person_key", "received") - F.count_distinct("person_key")),
-        one(events, "resume_mappings_reused", F.count_if(~F.col("is_save"))),
-        one(reports, "employers_with_data", F.count_distinct("employer")),
-        one(unmatched, "unmatched_attachments", F.count(F.lit(1))),
-    ]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    """The diagnostics of a whole run."""
+    from ..plans.reports import run_reports
+    return run_reports(_mailbox(spark, sf), _report_params()).diagnostics
+
+
+@query("q_unmatched_names", _report_cte() + """
+SELECT DISTINCT att_name FROM atts
+WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev.message_id = atts.message_id AND ev.att_pos = atts.att_pos)""")
+def q_unmatched_names(spark: SparkSession, sf: str) -> DataFrame:
+    """F7/T5 + A7: attachment names that no data file names."""
+    from ..plans.reports import run_reports
+    return run_reports(_mailbox(spark, sf), _report_params()).unmatched_names
 
 
 _ASOF_IN = """
@@ -220,13 +215,10 @@ SELECT event_id, ts, user_id, event_type, value FROM events"""
 @query("q_asof_link", """
 WITH r AS (SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'),
      s AS (SELECT event_id AS signup_id, ts AS s_ts, user_id, value AS signup_value FROM events
-           WHERE event_type = 'signup'),
-     c AS (SELECT r.event_id, s.signup_id, s.signup_value,
-                  row_number() OVER (PARTITION BY r.event_id ORDER BY s.s_ts DESC, s.signup_id DESC) AS rn
-           FROM r JOIN s ON s.user_id = r.user_id
-            AND (s.s_ts < r.ts OR (s.s_ts = r.ts AND s.signup_id <= r.event_id)))
-SELECT r.event_id, r.ts, r.user_id, r.value, c.signup_id, c.signup_value
-FROM r LEFT JOIN (SELECT * FROM c WHERE rn = 1) c USING (event_id)""")
+           WHERE event_type = 'signup')
+SELECT r.event_id, r.ts, r.user_id, r.value, s.signup_id, s.signup_value
+FROM r ASOF LEFT JOIN s ON s.user_id = r.user_id
+ AND struct_pack(t := r.ts, i := r.event_id) >= struct_pack(t := s.s_ts, i := s.signup_id)""")
 def q_asof_link(spark: SparkSession, sf: str) -> DataFrame:
     """JN6: latest signup of the same user at or before each purchase."""
     from ..operators.asof import asof_join
@@ -242,13 +234,10 @@ def q_asof_link(spark: SparkSession, sf: str) -> DataFrame:
 @query("q_asof_sliced", """
 WITH r AS (SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'),
      s AS (SELECT event_id AS signup_id, ts AS s_ts, user_id, value AS signup_value FROM events
-           WHERE event_type = 'signup'),
-     c AS (SELECT r.event_id, s.signup_id, s.signup_value,
-                  row_number() OVER (PARTITION BY r.event_id ORDER BY s.s_ts DESC, s.signup_id DESC) AS rn
-           FROM r JOIN s ON s.user_id = r.user_id
-            AND (s.s_ts < r.ts OR (s.s_ts = r.ts AND s.signup_id <= r.event_id)))
-SELECT r.event_id, r.ts, r.user_id, r.value, c.signup_id, c.signup_value
-FROM r LEFT JOIN (SELECT * FROM c WHERE rn = 1) c USING (event_id)""")
+           WHERE event_type = 'signup')
+SELECT r.event_id, r.ts, r.user_id, r.value, s.signup_id, s.signup_value
+FROM r ASOF LEFT JOIN s ON s.user_id = r.user_id
+ AND struct_pack(t := r.ts, i := r.event_id) >= struct_pack(t := s.s_ts, i := s.signup_id)""")
 def q_asof_sliced(spark: SparkSession, sf: str) -> DataFrame:
     """JN6, skew-safe form: the per-user sort is split by day and the value
     carried across days from a per-(user, day) table."""
@@ -275,22 +264,20 @@ def q_resume_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return last_wins_lookup(e, ["user_id", "day"], ["ts", "event_id"], ["event_id", "value"])
 
 
-@query("q_resume_counts", """
-WITH ev AS (SELECT user_id, CAST(ts AS DATE) AS d FROM events WHERE event_type IN ('signup', 'purchase'))
+@query("q_resume_counts", _report_cte() + """
 SELECT metric, value FROM (
-  SELECT 'unique_resumes_saved' AS metric, CAST(count(DISTINCT user_id) AS BIGINT) AS value FROM ev
+  SELECT 'unique_resumes_saved' AS metric, CAST(count(DISTINCT person_key) AS BIGINT) AS value FROM ev
   UNION ALL SELECT 'resume_mappings_updated',
-    CAST((SELECT count(*) FROM (SELECT DISTINCT user_id, d FROM ev) g) - count(DISTINCT user_id) AS BIGINT) FROM ev
+    CAST((SELECT count(*) FROM (SELECT DISTINCT person_key, received FROM ev) g) - count(DISTINCT person_key) AS BIGINT) FROM ev
   UNION ALL SELECT 'resume_mappings_reused',
-    CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT user_id, d FROM ev) g) AS BIGINT) FROM ev)""")
+    CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT person_key, received FROM ev) g) AS BIGINT) FROM ev)""")
 def q_resume_counts(spark: SparkSession, sf: str) -> DataFrame:
     """saved = persons, updated = groups - persons, reused = events -
-    groups, with (user, day) as the received-time group."""
-    views(spark, sf, "events")
-    ev = (spark.table("events").where(F.col("event_type").isin("signup", "purchase"))
-          .select("user_id", F.to_date("ts").alias("d")))
-    a = ev.agg(F.count_distinct("user_id").alias("p"), F.count_distinct("user_id", "d").alias("g"),
-               F.count(F.lit(1)).alias("n"))
+    groups, counted over the library's own link events."""
+    from ..plans.reports import resume_events
+    rows, atts = _report_frames(spark, sf)
+    ev, _ = resume_events(rows, atts, _report_params())
+    a = ev.agg(F.count_distinct("person_key").alias("p"), F.count_if("is_save").alias("g"), F.count(F.lit(1)).alias("n"))
     return a.select(F.inline(F.array(
         F.struct(F.lit("unique_resumes_saved").alias("metric"), F.col("p").cast("long").alias("value")),
         F.struct(F.lit("resume_mappings_updated").alias("metric"), (F.col("g") - F.col("p")).cast("long").alias("value")),
@@ -300,7 +287,7 @@ def q_resume_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def _mailbox(spark: SparkSession, sf: str) -> DataFrame:
     """Messages with real workbook attachments, derived from the tables."""
-    from ..plans.reports import build_messages_from_rows
+    from .mailbox import build_messages_from_rows
     from ..session import materialize
     ensure_checkpoint_dir(spark)
     base = materialize(derive(spark, sf, I.REPORT_BASE, I.REPORT_TABLES), "mailbox_base")
@@ -321,7 +308,7 @@ def q_mailbox_reports(spark: SparkSession, sf: str) -> DataFrame:
     the tables are decoded on the executors (A5-A8), unioned by header
     (C11) and reported."""
     from ..plans.reports import run_reports
-    return run_reports(_mailbox(spark, sf), _report_params()).reports
+    return _wide(run_reports(_mailbox(spark, sf), _report_params()).reports)
 
 
 @query("q_mailbox_stream", _report_cte() + _REPORT_SELECT)
@@ -333,12 +320,12 @@ def q_mailbox_stream(spark: SparkSession, sf: str) -> DataFrame:
     from ..streaming import reports_from_store, start_decoding
     mailbox = _mailbox(spark, sf)
     inbox = shared_path(spark, "inbox")
-    mailbox.repartition(4).write.parquet(inbox)
-    stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", 2).parquet(inbox)
+    mailbox.write.parquet(inbox)
+    stream = spark.readStream.schema(MESSAGE_SCHEMA).parquet(inbox)
     store = shared_path(spark, "report_store")
     q = start_decoding(stream, store, shared_path(spark, "stream_ckpt"), _report_params())
     q.awaitTermination()
-    return reports_from_store(spark, store, _report_params()).reports
+    return _wide(reports_from_store(spark, store, _report_params()).reports)
 
 
 @query("q_employer_report_global", _report_cte("global") + _REPORT_SELECT)
@@ -349,4 +336,76 @@ def q_employer_report_global(spark: SparkSession, sf: str) -> DataFrame:
     rows, atts = _report_frames(spark, sf)
     p = ReportParams(resume_file_base_url=I.REPORT_FILE_BASE, name_scope="global")
     events, _ = resume_events(rows, atts, p)
-    return employer_reports(rows, events.persist(), p)
+    return _wide(employer_reports(rows, materialize(events, "events"), p))
+
+
+# --------------------------------------------------------------------------- headers that drift
+
+_DRIFT_IN = """
+SELECT o_orderkey AS k, 'm' || lpad(CAST(o_orderkey AS VARCHAR(20)), 9, '0') AS message_id, o_custkey % 40 AS emp,
+       o_orderkey % 4 AS kind, o_orderdate AS received, 'Clerk' || (o_orderkey % 997) AS first,
+       CASE o_orderkey % 5 WHEN 0 THEN 'N/A' WHEN 1 THEN '' ELSE 'p' || (o_orderkey % 300) || '@x.org' END AS mail,
+       CASE o_orderkey % 3 WHEN 0 THEN 'null' ELSE o_orderpriority END AS note
+FROM orders"""
+# Per kind of file: its headers, and which of the values stands under each.
+_DRIFT_KINDS = (
+    (("First Name", "Email", "Employer", "Note"), ("first", "mail", "note", "note")),
+    (("First Name", "EMAIL", "note", "note"), ("first", "mail", "note", "first")),
+    (("FIRST NAME", "", "message_id", "Received"), ("first", "note", "note", "note")),
+    (("First Name", "Note", "Note", "Note.1"), ("first", "note", "first", "note")),
+)
+_DRIFT_KEYS = (("first name", "email", "employer", "note"), ("first name", "email", "note", "note.1"),
+               ("first name", "unnamed: 1", "message_id", "received"), ("first name", "note", "note.1", "note.1.1"))
+
+
+def _drift_oracle() -> str:
+    cells = " ".join(f"WHEN kind = {i} THEN [" + ", ".join(f"{{'key': '{k}', 'value': {v}}}" for k, v in zip(keys, vals)) + "]"
+                     for i, (keys, (_, vals)) in enumerate(zip(_DRIFT_KEYS, _DRIFT_KINDS)))
+    return f"""
+WITH src AS ({_DRIFT_IN}),
+clean AS (SELECT k, emp + 10 * (CASE WHEN kind = 0 THEN 100 WHEN kind = 1 THEN 100 ELSE 300 END) AS emp, kind, received,
+                 first, CASE WHEN mail IN ('N/A', '') THEN NULL ELSE mail END AS mail, CASE WHEN note = 'null' THEN NULL ELSE note END AS note, message_id FROM src),
+dated AS (SELECT *, CAST(received AS DATE) AS d, 'Firm ' || emp AS employer, CASE {cells} END AS cells FROM clean),
+kept AS (
+  SELECT k, employer, d, cells FROM dated WHERE kind < 2 AND mail IS NULL
+  UNION ALL SELECT k, employer, d, cells FROM dated WHERE kind < 2 AND mail IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY employer, mail ORDER BY d DESC, received DESC, message_id DESC) = 1
+  UNION ALL SELECT min(k), employer, d, cells FROM dated WHERE kind >= 2 GROUP BY employer, d, cells)
+SELECT employer, strftime(d, '%-m/%-d/%Y') AS day, c.key AS key, c.value AS value, count(*) AS n
+FROM (SELECT employer, d, unnest(cells) AS c FROM kept) GROUP BY ALL"""
+
+
+def _drift_mailbox(spark: SparkSession, sf: str) -> DataFrame:
+    """One message per order; its workbook's headers drift by order key.
+    Employers whose files have no email column are apart."""
+    from . import mailbox
+    mailbox.ship(spark)
+    src = derive(spark, sf, _DRIFT_IN, ("orders",))
+    kinds = _DRIFT_KINDS
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            books = []
+            for r in pdf.itertuples(index=False):
+                heads, vals = kinds[r.kind]
+                books.append(mailbox.write_xlsx({"S": [list(heads), [getattr(r, v) for v in vals]]}))
+            yield pdf[["message_id", "emp", "kind", "received"]].assign(content=books)
+
+    made = src.withColumn("received", F.col("received").cast("timestamp")).mapInPandas(
+        build, "message_id string, emp long, kind long, received timestamp, content binary")
+    firm = F.col("emp") + 10 * F.when(F.col("kind") < 2, 100).otherwise(300)
+    body = F.concat(F.lit("application to Firm "), firm.cast("string"), F.lit(" through us"))
+    return made.select("message_id", F.lit("Archive").alias("folder"), F.lit("a@example.org").alias("sender"), "received", body.alias("body"),
+                       F.array(F.struct(F.lit("student_data.xlsx").alias("name"), "content")).alias("attachments"))
+
+
+@query("q_header_drift", _drift_oracle())
+def q_header_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with ``Email``/``EMAIL``, headers named like
+    the job's own columns, repeated and blank headers, missing-value
+    texts, employers with and without an email column; every cell of
+    every report, counted."""
+    from ..plans.reports import run_reports
+    reports = run_reports(_drift_mailbox(spark, sf), _report_params()).reports
+    cells = reports.select("employer", F.col("`Date of Confirmed Application`").alias("day"), F.explode("cells").alias("key", "value"))
+    return cells.groupBy("employer", "day", "key", "value").agg(F.count("*").alias("n"))

@@ -107,3 +107,32 @@ def translate(x: str, exact, contains) -> str:
 def contains_any(x: str, pats) -> str:
     low = f"lower(trim({x}))"
     return "coalesce(" + " OR ".join(f"contains({low}, {lit(p)})" for p in pats) + ", false)"
+
+
+# The oracle's own statement of the fixed vocabularies; nothing is
+# imported from the implementation, so a wrong code there shows.
+
+def vertical(x: str) -> str:
+    low = f"lower(trim({x}))"
+    return (f"(CASE WHEN {low} IN ('system-on-chip (soc)', 'csme (graduate students only)') THEN 'SoC' "
+            f"WHEN {low} = 'radiation hardening (rh)' THEN 'RH' "
+            f"WHEN {low} = 'embedded security systems/trusted ai (ess/tai)' THEN 'TAI' "
+            f"WHEN {low} = 'heterogeneous integration and advanced packaging (hi/ap)' THEN 'HI/AP' "
+            f"WHEN contains({low}, 'soc') OR contains({low}, 'system-on-chip') OR contains({low}, 'csme') THEN 'SoC' "
+            f"WHEN contains({low}, 'rh') OR contains({low}, 'radiation hardening') THEN 'RH' "
+            f"WHEN contains({low}, 'tai') OR contains({low}, 'ess/tai') OR contains({low}, 'trusted ai') THEN 'TAI' "
+            f"WHEN contains({low}, 'hi/ap') OR contains({low}, 'heterogeneous integration') THEN 'HI/AP' ELSE trim({x}) END)")
+
+
+def gender(x: str) -> str:
+    low = f"lower(trim({x}))"
+    return f"(CASE WHEN {low} IN ('man', 'male') THEN 'Male' WHEN {low} IN ('woman', 'female') THEN 'Female' ELSE trim({x}) END)"
+
+
+def masters(x: str) -> str:
+    return f"coalesce(contains(lower({x}), 'ms') OR contains(lower({x}), 'm.s') OR contains(lower({x}), 'master'), false)"
+
+
+def doctoral(x: str) -> str:
+    return (f"coalesce(contains(lower({x}), 'phd') OR contains(lower({x}), 'ph.d') OR contains(lower({x}), 'doctoral') "
+            f"OR contains(lower({x}), 'doctorate'), false)")

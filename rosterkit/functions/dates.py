@@ -35,17 +35,19 @@ JOINED_DIRECT_LOOSE = rf"(?iU)\b({_TERMS})(?:\b|(?=[0-9]))\s*['\s]*([0-9]{{2,4}}
 TERM_START = {"spring": (1, 15), "summer": (5, 15), "fall": (8, 15)}
 TERM_END = {"spring": (5, 15), "summer": (8, 15), "fall": (12, 15)}
 
-# Closed list of fallback formats tried after ISO dates (D2), grouped by
-# the shape of text they can parse. A format is only tried on text of its
-# shape: a failed parse is costly, a shape test is one regex.
-DATE_SHAPES = (
-    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2,4}$", ("M/d/yyyy", "M/d/yy", "d/M/yyyy")),
-    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", ("yyyy/M/d",)),
-    (r"^[A-Za-z]+ [0-9]{4}$", ("MMMM yyyy", "MMM yyyy")),
-    (r"^[A-Za-z]+ [0-9]{1,2}, [0-9]{4}$", ("MMMM d, yyyy", "MMM d, yyyy")),
-    (r"^[0-9]{1,2} [A-Za-z]+ [0-9]{4}$", ("d MMMM yyyy", "d MMM yyyy")),
+# Closed lists of fallback formats tried in order after ISO dates (D2),
+# with four- and with two-digit years. Each list is one pattern of optional
+# sections, so that a column of text is parsed at most once per list.
+DATE_FORMATS = (
+    "M/d/yyyy", "M-d-yyyy", "yyyy/M/d", "yyyyMMdd", "d-MMM-yyyy", "d-MMMM-yyyy",
+    "MMMM yyyy", "MMM yyyy", "MMMM d, yyyy", "MMM d, yyyy", "MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "d MMM yyyy",
 )
-DATE_FORMATS = tuple(f for _, fmts in DATE_SHAPES for f in fmts)
+SHORT_YEAR_FORMATS = ("M/d/yy", "d-MMM-yy", "d-MMMM-yy")
+# Text that a list may fit: parsing what cannot fit is costly, a test is one regex.
+DATE_SHAPE = r"^([0-9]{1,4}[-/][0-9A-Za-z]+[-/][0-9]{1,4}|[0-9]{8}|[A-Za-z]+ ([0-9]{1,2},? )?[0-9]{4}|[0-9]{1,2} [A-Za-z]+ [0-9]{4})$"
+SHORT_YEAR_SHAPE = r"[-/][0-9]{2}$"
+# A time of day after the date is dropped.
+TIME_OF_DAY = r"[ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?( ?[AaPp][Mm])?$"
 
 
 def _term_name(t: Column) -> Column:
@@ -101,18 +103,21 @@ def parse_date_text(x: ColumnOrName) -> Column:
     """General date text -> DATE, NULL when nothing matches.
 
     ISO dates and timestamps (and a bare ``yyyy``/``yyyy-MM``) go through
-    ``try_cast``; then the closed :data:`DATE_FORMATS` list. Timestamps
+    ``try_cast``; then the closed :data:`DATE_FORMATS` list, with or
+    without a time of day after it. Timestamps
     and dates pass through unchanged.
     """
     c = _c(x)
     s = F.nullif(trim_u(c.cast("string")), F.lit(""))
-    by_shape = None
-    for shape, fmts in DATE_SHAPES:
-        parsed = F.coalesce(*[F.try_to_date(s, f) for f in fmts]) if len(fmts) > 1 \
-            else F.try_to_date(s, fmts[0])
-        cond = s.rlike(shape)
-        by_shape = F.when(cond, parsed) if by_shape is None else by_shape.when(cond, parsed)
-    return F.coalesce(s.try_cast("date"), by_shape)
+    day = F.regexp_replace(s, TIME_OF_DAY, "")
+    # A first number above 12 is the day: put the month first.
+    day = F.regexp_replace(day, "^(1[3-9]|[23][0-9])([-/])([0-9]{1,2})([-/])", "$3$2$1$4")
+    parse = lambda fmts: F.try_to_date(day, "".join(f"[{f}]" for f in fmts))
+    # Two-digit years: 69-99 are 19xx, 00-68 are 20xx.
+    short = parse(SHORT_YEAR_FORMATS)
+    short = F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short)
+    listed = F.when(day.rlike(DATE_SHAPE), F.when(day.rlike(SHORT_YEAR_SHAPE) & ~day.rlike("^[0-9]{4}"), short).otherwise(parse(DATE_FORMATS)))
+    return F.coalesce(s.try_cast("date"), listed)
 
 
 def flexible_date(x: ColumnOrName, mode: str = "start", grammar: str = "strict",

@@ -40,9 +40,10 @@ def asof_join(rows: DataFrame, events: DataFrame, by: Sequence[str], order: Sequ
     keyed = F.lit(True)
     for b in by:
         keyed = keyed & qcol(b).isNotNull()
-    # Rows without a key match nothing; a per-row salt spreads them over
-    # the shuffle instead of sending them all to NULL's partition.
-    salt = F.when(keyed, F.lit(0)).otherwise(F.xxhash64(*[qcol(c) for c in row_cols]))
+    # Rows without a key match nothing; a number per row spreads them over
+    # the shuffle instead of sending them all to NULL's partition (and,
+    # unlike a hash of the row, reads none of its columns).
+    salt = F.when(keyed, F.lit(0)).otherwise(F.monotonically_increasing_id()).cast("long")
     ev = events.where(keyed)
     part = list(by) + ([slice_by] if slice_by else []) + [_SALT]
     ev_vals = F.struct(*[qcol(v).alias(v) for v in values])
@@ -80,7 +81,7 @@ def last_wins_lookup(df: DataFrame, group: Sequence[str], order: Sequence[str],
                      values: Sequence[str]) -> DataFrame:
     """JN5: per group, the values of the last row in ``order`` (a
     dictionary built row by row where a later row overwrites)."""
-    return (df.groupBy(*[qcol(g) for g in group])
-            .agg(F.max_by(F.struct(*[qcol(v) for v in values]),
-                          F.struct(*[qcol(o) for o in order])).alias("__v"))
-            .select(*[qcol(g) for g in group], *[F.col(f"__v.{v}").alias(v) for v in values]))
+    last = Window.partitionBy(*[qcol(g) for g in group]).orderBy(*[qcol(o).desc() for o in order])
+    return (df.select(*[qcol(c) for c in dict.fromkeys([*group, *order, *values])])
+            .withColumn("__n", F.row_number().over(last)).where(F.col("__n") == 1)
+            .select(*[qcol(g) for g in group], *[qcol(v) for v in values if v not in group]))

@@ -66,17 +66,10 @@ def fill_from_first(df: DataFrame, column: str, group: Sequence[str],
     same group in ``order``; non-blank cells are kept; a group with no
     value keeps NULLs (blank-only cells become NULL).
 
-    Written as a per-group ``min_by`` aggregate joined back: the
-    aggregate combines map-side (a hot group costs one row per task) and
-    the join back is a broadcast when the per-group table is small, an
-    AQE skew-split sort-merge join when not.
+    One window over the group (a file's rows, so its size is a file's):
+    one scan, one exchange.
     """
     val = blank_to_null(qcol(column))
-    ordkey = F.struct(*order)
-    firsts = (df.where(val.isNotNull())
-              .groupBy(*[qcol(g) for g in group])
-              .agg(F.min_by(val, ordkey).alias("__first")))
-    cleaned = df.withColumn(column, val)
-    out = cleaned.join(firsts, on=list(group), how="left")
-    return out.withColumn(column, F.coalesce(qcol(column), F.col("__first"))).drop("__first") \
-              .select(*[qcol(c) for c in df.columns])
+    frame = (Window.partitionBy(*[qcol(g) for g in group]).orderBy(*order)
+             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return df.withColumn(column, F.coalesce(val, F.first(val, ignorenulls=True).over(frame)))

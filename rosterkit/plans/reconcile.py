@@ -40,7 +40,8 @@ class ReconcileParams:
     system_email_columns: tuple[str, ...] | None = None   # None = every header containing 'email'
     master_overrides: Mapping[str, str] = field(default_factory=dict)
     system_overrides: Mapping[str, str] = field(default_factory=dict)
-    semester: str = "Spring 2026"            # written to studentScaleSemester
+    semester: str = "Spring 2026"            # written to the semester column
+    program_version: str | None = None       # written to the version column; the import template needs it
 
 
 @dataclass
@@ -145,7 +146,6 @@ TEMPLATE_COLUMNS = (
 TEMPLATE_FIXED = {
     "agreedToDataCollection": 1, "seekingJobOffer": 1, "organizationType": "Academic",
     "holdSecurityClearance": 0, "recieveContacts": 1, "grantsDataPermsission": 1,
-    "scaleVersion": "SCALE",
 }
 FREE_TEXT_FIELDS = ("favoriteActivity", "bestSkills", "interest",
                     "ifCreditsEarnedDescribeActivities", "aboutMe")
@@ -214,6 +214,9 @@ def import_template(new_rows: DataFrame, params: ReconcileParams = ReconcilePara
         "studentCurrentStatus": mapped("studentCurrentStatus", normalize_status),
         "organization": mapped("organization"),
     }
+    if params.program_version is None:
+        raise ValueError("the import template needs ReconcileParams.program_version")
+    exprs["scaleVersion"] = F.lit(params.program_version)
     for k, v in TEMPLATE_FIXED.items():
         exprs[k] = F.lit(v)
     out = []

@@ -25,7 +25,7 @@ from ..operators.schema import FieldSpec, qcol, standardize
 @dataclass(frozen=True)
 class ScorecardParams:
     """A10: rule thresholds (constructor arguments of the job)."""
-    min_years_in_scale: float = 2.0
+    min_years: float = 2.0
     min_total_work_experiences: int = 2
     min_defense_work_experiences: int = 1
     order_column: str = "_ordinal"
@@ -89,7 +89,7 @@ def students_base(students: DataFrame, params: ScorecardParams = ScorecardParams
     s = keep_first(s, ["_email_key"], [qcol(ordc).asc()])
     return s.withColumns({
         "hasDefenseExperience": student_defense_flag(F.col("defenseExperienceRaw")),
-        "_scale_start": flexible_date(F.col("studentScaleSemester"), mode="start", grammar="strict"),
+        "_start_date": flexible_date(F.col("studentScaleSemester"), mode="start", grammar="strict"),
     })
 
 
@@ -135,7 +135,7 @@ def scorecard(students: DataFrame, degrees: DataFrame, work: DataFrame,
     scored = (base.join(degrees_summary(degrees), on="_email_key", how="left")
               .join(work_summary(work), on="_email_key", how="left"))
     zero = F.lit(0).cast("long")
-    years = years_between(F.col("_scale_start"), F.col("_latest_grad"))
+    years = years_between(F.col("_start_date"), F.col("_latest_grad"))
     scored = scored.withColumns({
         "totalDegrees": F.coalesce(F.col("totalDegrees"), zero),
         "graduateDegreeCount": F.coalesce(F.col("graduateDegreeCount"), zero),
@@ -143,13 +143,13 @@ def scorecard(students: DataFrame, degrees: DataFrame, work: DataFrame,
         "totalWorkExperiences": F.coalesce(F.col("totalWorkExperiences"), zero),
         "defenseWorkExperiences": F.coalesce(F.col("defenseWorkExperiences"), zero),
         "yearsInScaleBeforeGraduation": years,
-        "scaleStartDate": format_mdy(F.col("_scale_start")),
+        "scaleStartDate": format_mdy(F.col("_start_date")),
         "graduationDateUsed": format_mdy(F.col("_latest_grad")),
     })
     scored = scored.withColumns({
         # NULL >= x is NULL in Spark but False in pandas.
         "inScaleTwoPlusYears": F.coalesce(
-            F.col("yearsInScaleBeforeGraduation") >= F.lit(float(params.min_years_in_scale)),
+            F.col("yearsInScaleBeforeGraduation") >= F.lit(float(params.min_years)),
             F.lit(False)),
         "hasMultipleDegrees": F.col("totalDegrees") >= 2,
         "hasGraduateDegreeMSorPHD": F.col("graduateDegreeCount") >= 1,
@@ -194,7 +194,7 @@ def score_summary(scored: DataFrame, params: ScorecardParams = ScorecardParams()
     return agg.select(F.inline(F.array(
         row("students_evaluated", F.col("n")),
         row("students_meeting_all_criteria", F.col("k")),
-        row("minimum_years_in_scale", F.lit(float(params.min_years_in_scale))),
+        row("minimum_years_in_scale", F.lit(float(params.min_years))),
         row("minimum_total_work_experiences", F.lit(params.min_total_work_experiences)),
         row("minimum_defense_work_experiences", F.lit(params.min_defense_work_experiences)),
     )))

@@ -14,7 +14,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """A local session configured like the tests and the bench use it.
 
     AQE stays on (coalescing and skew-join splitting are what keep the
-    keyed shuffles healthy at scale); the UI is off.
+    keyed shuffles healthy on large inputs); the UI is off. Small files
+    are split finely here so that all cores share their rows.
     """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -26,6 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.files.minPartitionNum", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
         .config("spark.driver.memory", "8g")
@@ -39,44 +41,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared file system folder and is
-    only read. Where it is unset (local tests) a fresh folder is made
-    and registered, so ``DataFrame.checkpoint()`` and written
-    intermediate tables work the same way in both places.
+    On a cluster this setting names a folder that all executors share and
+    is only read. Where it is unset, a local session (tests, one machine)
+    gets a fresh folder of its own; any other raises, since executors
+    would each write to their own disk and later reads would miss files.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="rosterkit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="rosterkit-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or folder
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.removeprefix("file:"), f"{name}-{uuid.uuid4().hex[:12]}") \
-        if base.startswith("file:") or base.startswith("/") \
-        else f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet"):
-    """Read a table so that CPU-heavy row work has enough parallelism.
-
-    A scan normally yields one task per file split; a small table stored
-    as one row group gives ONE task, leaving the other cores idle. Only
-    then (fewer splits than the default parallelism) the rows are dealt
-    round-robin to that many partitions. Inputs large enough to matter
-    already have many splits and are returned untouched (no shuffle)."""
-    df = spark.read.format(fmt).load(path)
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
-    return df
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, name: str):
@@ -85,7 +71,8 @@ def materialize(df, name: str):
 
     Preferred over ``Dataset.checkpoint()`` for data that is read again:
     later scans prune columns and push filters into the files, and the
-    stage is never recomputed after an executor is lost."""
+    stage is never recomputed after an executor is lost. The folder
+    belongs to the run: remove it when the application has ended."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.mode("overwrite").parquet(path)

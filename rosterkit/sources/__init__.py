@@ -16,8 +16,9 @@ def ship(spark: SparkSession) -> None:
     be installed on the executors."""
     from pyspark import cloudpickle
 
-    from . import workbook, xlsx_rows
+    from ..operators import schema
+    from . import xlsx_rows
     if id(xlsx_rows) not in _SHIPPED:
         cloudpickle.register_pickle_by_value(xlsx_rows)
-        cloudpickle.register_pickle_by_value(workbook)
+        cloudpickle.register_pickle_by_value(schema)      # the sheet chooser
         _SHIPPED.add(id(xlsx_rows))

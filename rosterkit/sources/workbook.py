@@ -1,24 +1,21 @@
 """Workbook sources.
 
-``read_workbooks`` lists and reads files with Spark's ``binaryFile``
-source (any Hadoop file system, one file per task at most), decodes them
-on the executors and returns either the long cell layout or one string
-column per header. ``WorkbookDataSource`` exposes the same decoding as
-``spark.read.format("workbook")`` for local paths.
+Files come from Spark's ``binaryFile`` source (any Hadoop file system) or
+from a table of the same shape (path, modificationTime, content); they
+are decoded on the executors into the long cell layout or one string
+column per header.
 """
 
 from __future__ import annotations
 
 import functools
-import glob as _glob
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
+from ..operators.schema import resolve_name
 from . import xlsx_rows
 
 CELLS_SCHEMA = StructType([
@@ -31,154 +28,93 @@ CELLS_SCHEMA = StructType([
 ])
 
 
-def read_workbook_cells(spark: SparkSession, path: str, *, sheet: str | None = None,
-                        candidates: list[str] | None = None,
-                        glob: str = "*.xlsx") -> DataFrame:
+def workbook_files(spark: SparkSession, source: str | DataFrame, glob: str = "*.xls*") -> DataFrame:
+    """Path, modification time and content of the files that ``glob``
+    names, from a path or a table of files. Nothing is read yet."""
+    if isinstance(source, DataFrame):
+        pattern = "^" + "".join(".*" if c == "*" else "." if c == "?" else f"\\Q{c}\\E" for c in glob) + "$"
+        files = source.where(F.element_at(F.split("path", "/"), -1).rlike(pattern))
+    else:
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+                 .option("recursiveFileLookup", "true").load(source))
+    return files.select("path", "modificationTime", "content")
+
+
+def read_workbook_cells(spark: SparkSession, source: str | DataFrame, *, sheet: str | None = None,
+                        candidates: list[str] | None = None, glob: str = "*.xls*") -> DataFrame:
     """A1/A2/A5: decoded rows of one sheet of every matching workbook,
     cells as ``(header, position, value)``; ``_ordinal = -1`` is each
-    file's header row; unreadable files carry ``_error``."""
+    file's header row; unreadable files (old binary formats too) carry
+    ``_error``."""
     from . import ship
     ship(spark)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(path).select("path", "content"))
     # No repartition: binaryFile already packs whole files into splits of
     # at most spark.sql.files.maxPartitionBytes, and moving file bytes
     # through a shuffle would only cost; Arrow batches are byte-bounded
     # (spark.sql.execution.arrow.maxBytesPerBatch).
-    fn = functools.partial(xlsx_rows.decode_files, sheet=sheet, candidates=candidates)
-    return files.mapInPandas(fn, CELLS_SCHEMA)
+    resolve = functools.partial(resolve_name) if candidates else None
+    fn = functools.partial(xlsx_rows.decode_files, sheet=sheet, candidates=candidates, resolve=resolve)
+    return workbook_files(spark, source, glob).select("path", "content").mapInPandas(fn, CELLS_SCHEMA)
+
+
+def unreadable_files(cells: DataFrame) -> DataFrame:
+    """Every file that could not be read, with the whole error text."""
+    return cells.where(F.col("_error").isNotNull()).select("_file", "_error")
 
 
-def read_workbooks(spark: SparkSession, path: str, *, sheet: str | None = None,
-                   candidates: list[str] | None = None, glob: str = "*.xlsx") -> DataFrame:
+def read_workbooks(spark: SparkSession, source: str | DataFrame, *, sheet: str | None = None,
+                   candidates: list[str] | None = None, glob: str = "*.xls*") -> DataFrame:
     """Workbooks as a wide table: ``_file, _sheet, _ordinal`` + one string
-    column per header (union by name across files: C11). The decoded
-    cells are checkpointed once, then the header list (distinct names,
-    first-appearance order) is read and the rows are projected."""
+    column per header (union by name across files, C11). Headers that
+    differ only in case are one column, spelled as in the first file; a
+    header named like one of the three own columns gets ``.1``. The
+    headers of one export are few; mail attachments, whose headers are
+    anybody's, stay in the long layout (see plans.reports)."""
     from ..session import ensure_checkpoint_dir, materialize
     ensure_checkpoint_dir(spark)
-    cells = materialize(read_workbook_cells(spark, path, sheet=sheet, candidates=candidates, glob=glob),
+    cells = materialize(read_workbook_cells(spark, source, sheet=sheet, candidates=candidates, glob=glob),
                         "workbook_cells")
-    errors = cells.where(F.col("_error").isNotNull()).select("_file", "_error").limit(1).collect()
-    if errors:
-        raise ValueError(f"could not read {errors[0]['_file']}: {errors[0]['_error']}")
+    errors = unreadable_files(cells)
+    if not errors.isEmpty():
+        n = errors.count()
+        first = errors.orderBy("_file").first()
+        raise ValueError(f"could not read {n} file(s); first {first['_file']}: {first['_error']}")
     order = (cells.where(F.col("_ordinal") == -1)
              .select("_file", F.posexplode("cells").alias("p", "c"))
-             .groupBy(F.col("c.k").alias("k")).agg(F.min(F.struct("_file", "p")).alias("o")))
-    headers = [r["k"] for r in order.orderBy("o").select("k").collect()]
-    m = F.map_from_entries(F.transform("cells", lambda c: F.struct(c["k"], c["v"])))
-    return cells.where(F.col("_ordinal") >= 0).select(
-        "_file", "_sheet", "_ordinal", *[m[h].alias(h) for h in headers])
+             .groupBy(F.lower("c.k").alias("k")).agg(F.min(F.struct("_file", "p", "c.k")).alias("o")))
+    headers = [(r["k"], r["o"]["k"]) for r in order.orderBy("o").collect()]
+    own = {"_file", "_sheet", "_ordinal"}
+    m = F.map_from_entries(F.transform("cells", lambda c: F.struct(F.lower(c["k"]), c["v"])))
+    return cells.where(F.col("_ordinal") >= 0).select("_file", "_sheet", "_ordinal", m.alias("m")).select(
+        "_file", "_sheet", "_ordinal", *[F.col("m")[k].alias(h + ".1" if k in own else h) for k, h in headers])
 
 
-def read_workbook_tables(spark: SparkSession, path: str, names: dict[str, list[str]],
-                         glob: str = "*.xlsx") -> dict[str, DataFrame]:
+def read_workbook_tables(spark: SparkSession, source: str | DataFrame, names: dict[str, list[str]],
+                         glob: str = "*.xls*") -> dict[str, DataFrame]:
     """A1: several sheets of the same workbook(s), each chosen by name."""
-    return {k: read_workbooks(spark, path, candidates=v, glob=glob) for k, v in names.items()}
+    return {k: read_workbooks(spark, source, candidates=v, glob=glob) for k, v in names.items()}
 
 
-def latest_snapshot(spark: SparkSession, folder: str, pattern: str) -> str | None:
+def latest_snapshot(spark: SparkSession, source: str | DataFrame, pattern: str) -> str | None:
     """A4/T4: path of the newest file (by modification time, then path)
     matching ``pattern``; file contents are pruned from the scan."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-             .select("path", "modificationTime"))
+    files = workbook_files(spark, source, pattern).select("path", "modificationTime")
     top = files.orderBy(F.col("modificationTime").desc(), F.col("path").desc()).limit(1).collect()
     return top[0]["path"] if top else None
 
 
-# Fixed value: file-name pattern of the system's data exports (A4).
-EXPORT_PATTERN = "SCALE_Student_Data*.xlsx"
-
-
-def load_system_export(spark: SparkSession, *, file: str | None = None, folder: str | None = None,
-                       pattern: str = EXPORT_PATTERN, sheet: str = "students") -> DataFrame:
+def load_system_export(spark: SparkSession, *, file: str | None = None, folder: str | DataFrame | None = None,
+                       pattern: str | None = None, sheet: str = "students") -> DataFrame:
     """A3: the system export -- an explicitly given file wins, else the
-    newest file of ``folder`` matching ``pattern`` (A4). Raises when
-    neither yields a file or the sheet is missing."""
-    path = file
+    newest file of ``folder`` (or table of files) whose name matches
+    ``pattern`` (A4). Raises when neither yields a file or the sheet is
+    missing."""
+    if file is not None:
+        return read_workbooks(spark, file, sheet=sheet, glob="*")
+    if folder is None or pattern is None:
+        raise ValueError("give the export file, or a folder and the pattern of its name")
+    path = latest_snapshot(spark, folder, pattern)
     if path is None:
-        if folder is None:
-            raise ValueError("give the export file or the folder to search")
-        path = latest_snapshot(spark, folder, pattern)
-        if path is None:
-            raise ValueError(f"no file matching {pattern!r} in {folder}")
-    return read_workbooks(spark, path, sheet=sheet, glob="*")
-
-
-# --------------------------------------------------------------------------- Python data source
-
-class _FilePartition(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
-
-
-def _local_files(path: str, pattern: str) -> list[str]:
-    if os.path.isdir(path):
-        return sorted(_glob.glob(os.path.join(path, "**", pattern), recursive=True))
-    return sorted(_glob.glob(path))
-
-
-class WorkbookDataSource(DataSource):
-    """``spark.read.format("workbook").option("sheet", name).load(path)``.
-
-    Options: ``sheet`` (exact) or ``candidates`` (comma list, C2),
-    ``pattern`` (file glob inside a folder, default ``*.xlsx``). The
-    schema is ``_file, _sheet, _ordinal`` + the header row of the first
-    file (all strings); a file whose headers differ is read by name.
-    One file is one input partition."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "workbook"
-
-    def _choice(self):
-        cands = self.options.get("candidates")
-        return self.options.get("sheet"), ([c.strip() for c in cands.split(",")] if cands else None)
-
-    def schema(self) -> StructType:
-        files = _local_files(self.options["path"], self.options.get("pattern", "*.xlsx"))
-        headers: list[str] = []
-        if files:
-            with open(files[0], "rb") as fh:
-                wb = xlsx_rows.Workbook(fh.read())
-            sheet, cands = self._choice()
-            name = xlsx_rows.pick_sheet(wb.sheet_names, sheet, cands)
-            if name is None:
-                raise ValueError(f"no sheet matches {sheet or cands} in {files[0]}: {wb.sheet_names}")
-            headers, _ = xlsx_rows.table(wb.rows(name))
-        return StructType([StructField("_file", StringType()), StructField("_sheet", StringType()),
-                           StructField("_ordinal", LongType())]
-                          + [StructField(h, StringType()) for h in headers])
-
-    def reader(self, schema: StructType) -> "WorkbookReader":
-        return WorkbookReader(self.options, schema, self._choice())
-
-
-class WorkbookReader(DataSourceReader):
-    def __init__(self, options, schema: StructType, choice):
-        self.options, self.schema, self.choice = options, schema, choice
-
-    def partitions(self):
-        return [_FilePartition(p) for p in
-                _local_files(self.options["path"], self.options.get("pattern", "*.xlsx"))]
-
-    def read(self, partition):
-        with open(partition.path, "rb") as fh:
-            wb = xlsx_rows.Workbook(fh.read())
-        sheet, cands = self.choice
-        name = xlsx_rows.pick_sheet(wb.sheet_names, sheet, cands)
-        if name is None:
-            raise ValueError(f"no sheet matches {sheet or cands} in {partition.path}")
-        headers, data = xlsx_rows.table(wb.rows(name))
-        wanted = [f.name for f in self.schema.fields[3:]]
-        idx = {h: i for i, h in enumerate(headers)}
-        for n, r in enumerate(data):
-            yield (partition.path, name, n, *[(r[idx[h]] if h in idx else None) for h in wanted])
-
-
-def register_workbook_source(spark: SparkSession) -> None:
-    """Register ``format("workbook")`` in this session."""
-    from . import ship
-    ship(spark)
-    spark.dataSource.register(WorkbookDataSource)
+        raise ValueError(f"no file matches {pattern!r}")
+    source = folder.where(F.col("path") == path) if isinstance(folder, DataFrame) else path
+    return read_workbooks(spark, source, sheet=sheet, glob="*")

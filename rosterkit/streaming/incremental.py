@@ -14,7 +14,7 @@ the stream's progress lives in ``checkpointLocation``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,9 +26,8 @@ def _store_batch(base: str, params: P.ReportParams):
         batch = batch.persist()
         try:
             msgs = P.scan_messages(batch, params)
-            atts = P.explode_attachments(msgs, params)
-            P.decode_data_files(atts).write.mode("overwrite").parquet(f"{base}/decoded/batch={batch_id}")
-            atts.drop("content").write.mode("overwrite").parquet(f"{base}/attachments/batch={batch_id}")
+            P.decode_data_files(P.data_files(msgs, params)).write.mode("overwrite").parquet(f"{base}/decoded/batch={batch_id}")
+            P.attachment_names(msgs, params).write.mode("overwrite").parquet(f"{base}/attachments/batch={batch_id}")
             P.message_counts(msgs, params).write.mode("overwrite").parquet(f"{base}/counts/batch={batch_id}")
         finally:
             batch.unpersist()
@@ -46,14 +45,11 @@ def start_decoding(stream: DataFrame, base: str, checkpoint: str,
 def reports_from_store(spark: SparkSession, base: str,
                        params: P.ReportParams = P.ReportParams()) -> P.ReportRun:
     """Employer reports and diagnostics from everything decoded so far."""
-    decoded = spark.read.parquet(f"{base}/decoded").drop("batch")
-    atts = spark.read.parquet(f"{base}/attachments").drop("batch")
+    # A message delivered again lies in a later batch too: its first batch counts.
+    first = Window.partitionBy("message_id").orderBy("batch")
+    once = lambda df: df.withColumn("_b", F.rank().over(first)).where("_b = 1").drop("_b", "batch")
+    decoded = once(spark.read.parquet(f"{base}/decoded"))
+    atts = once(spark.read.parquet(f"{base}/attachments"))
     counts = spark.read.parquet(f"{base}/counts").drop("batch")
     counts = counts.agg(*[F.sum(c).cast("long").alias(c) for c in counts.columns])
-    headers = P.header_order(decoded)
-    rows = P.widen(decoded, headers)
-    events, unmatched = (P.resume_events(rows, atts, params) if P.RESUME_NAME_COLUMN in headers
-                         else (None, atts.where(~F.col("is_data")).select("att_name")))
-    reports = P.employer_reports(rows, events, params)
-    diag = P.diagnostics(counts, decoded, events)
-    return P.ReportRun(reports, diag, unmatched.distinct().orderBy("att_name"), headers)
+    return P.report_run(decoded, atts, counts, params)

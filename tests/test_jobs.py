@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rosterkit.plans import reconcile as R
 from rosterkit.plans import reports as P
 from rosterkit.plans import scorecard as S
-from rosterkit.sources.xlsx_rows import write_xlsx
+from rosterkit.checks.mailbox import write_xlsx
 
 
 # ------------------------------------------------------------------ scorecard
@@ -61,13 +61,13 @@ def test_candidates_and_summary(spark, score_tables):
     assert summ == {"students_evaluated": 3.0, "students_meeting_all_criteria": 1.0,
                     "minimum_years_in_scale": 2.0, "minimum_total_work_experiences": 2.0,
                     "minimum_defense_work_experiences": 1.0}
-    strict = S.ScorecardParams(min_years_in_scale=4.0)
+    strict = S.ScorecardParams(min_years=4.0)
     assert S.candidates(S.scorecard(*score_tables, strict, keep_order=True), strict).count() == 0
 
 
 def test_scorecard_missing_required_column(spark, score_tables):
     students, degrees, work = score_tables
-    with pytest.raises(ValueError, match="Tried"):
+    with pytest.raises(ValueError, match="no column matches"):
         S.scorecard(students.drop("student email"), degrees, work).collect()
 
 
@@ -104,7 +104,7 @@ def recon_tables(spark):
 
 
 def test_reconcile_sets(spark, recon_tables):
-    res = R.reconcile(*recon_tables, R.ReconcileParams(as_of="2024-06-01"))
+    res = R.reconcile(*recon_tables, R.ReconcileParams(program_version="V2", as_of="2024-06-01"))
     fl = {r._ordinal: (r._in_name, r._in_email, r._allowed) for r in res.flagged.collect()}
     assert fl[1] == (False, True, True) and fl[2] == (True, False, True)
     assert fl[4][2] is False and fl[6] == (True, True, True)
@@ -118,7 +118,7 @@ def test_reconcile_sets(spark, recon_tables):
 
 
 def test_reconcile_properties(spark, recon_tables):
-    res = R.reconcile(*recon_tables, R.ReconcileParams(as_of="2024-06-01", allowed_statuses=(
+    res = R.reconcile(*recon_tables, R.ReconcileParams(program_version="V2", as_of="2024-06-01", allowed_statuses=(
         "current", "no mentor", "graduated")))
     flagged = res.flagged.collect()
     new = {r._ordinal for r in res.new_rows.collect()}
@@ -128,13 +128,13 @@ def test_reconcile_properties(spark, recon_tables):
 
 def test_template_and_degrees(spark, recon_tables):
     master, _ = recon_tables
-    p = R.ReconcileParams(semester="Fall 2026")
+    p = R.ReconcileParams(program_version="V2", semester="Fall 2026")
     t = R.import_template(master, p)
     assert t.columns == list(R.TEMPLATE_COLUMNS) and len(t.columns) == 52
     a = {r.firstName: r for r in t.collect()}["Ann"]
     assert (a.vertical, a.isCitizen, a.gender, a.studentScaleSemester, a.studentCurrentStatus) == \
         ("SoC", 1, "Female", "Fall 2026", "Current")
-    assert (a.agreedToDataCollection, a.holdSecurityClearance, a.scaleVersion, a.webPage) == (1, 0, "SCALE", None)
+    assert (a.agreedToDataCollection, a.holdSecurityClearance, a.scaleVersion, a.webPage) == (1, 0, "V2", None)
     assert a.scaleApplicationDate == dt.date(2024, 5, 20)
     deg = {r.studentEmail: r for r in R.degrees_tab(master, p).collect()}
     assert set(deg) == {"ann@x.edu", "BOB@X.EDU", "dee@x.edu", "eve@x.edu", "fay@x.edu"}   # P11
@@ -178,18 +178,21 @@ def _messages(spark):
     return spark.createDataFrame(msgs, P.MESSAGE_SCHEMA)
 
 
+def _cells(r):
+    return {k: v for k, v in r.cells.items() if v is not None}
+
+
 def test_reports_end_to_end(spark, tmp_path):
     run = P.run_reports(_messages(spark), P.ReportParams(resume_file_base_url="https://f/r"))
-    rows = {(r.employer, r["First Name"]): r for r in run.reports.collect()}
+    rows = {(r.employer, r.cells["first name"]): r for r in run.reports.collect()}
     assert set(rows) == {("Acme / Co", "Ann"), ("Acme / Co", "Bob"), ("Acme / Co", "Cid"), ("Beta", "Dan")}
     ann = rows[("Acme / Co", "Ann")]
-    assert ann["Date of Confirmed Application"] == "3/5/2024" and ann["Major"] == "EE2" and ann["Extra"] == "z"
+    assert ann["Date of Confirmed Application"] == "3/5/2024" and ann.cells["major"] == "EE2" and ann.cells["extra"] == "z"
     assert ann["Resume Link"] == '=HYPERLINK("https://f/r/Ann_Lee_Resume.pdf?web=1","View Resume")'
     assert rows[("Acme / Co", "Bob")]["Resume Link"].endswith('Bob_Ray_Resume.pdf?web=1","View Resume")')
-    assert rows[("Acme / Co", "Cid")]["Date Database Uploaded"] == "2024-01-02"      # F9 fill
+    assert rows[("Acme / Co", "Cid")].cells["date database uploaded"] == "2024-01-02"      # F9 fill
     assert rows[("Beta", "Dan")]["Resume Link"].endswith('Dan_Orr_Resume.pdf?web=1","View Resume")')
-    assert "Citizenship" not in run.reports.columns and "Resume File Name" not in run.reports.columns
-    assert run.reports.columns[0] == "Date of Confirmed Application"
+    assert not {"citizenship", "resume file name"} & set(ann.cells)
     assert {r.report_name for r in run.reports.collect()} == {"Acme _ Co_Student_Application_Report",
                                                               "Beta_Student_Application_Report"}
     diag = {r.metric: r.value for r in run.diagnostics.collect()}
@@ -198,17 +201,79 @@ def test_reports_end_to_end(spark, tmp_path):
     assert diag["employers_with_data"] == 2 and diag["unique_resumes_saved"] == 3
     assert diag["resume_mappings_updated"] == 1 and diag["resume_mappings_reused"] == 0
     assert [r.att_name for r in run.unmatched_names.collect()] == ["photo.png"]
+    # One employer's report has that employer's columns only, in order of first appearance.
+    beta = P.report_of(run, "Beta")
+    assert beta.columns == ["Date of Confirmed Application", "First Name", "Last Name", "Email", "Date Database Uploaded", "Major", "Resume Link"]
+    assert "Extra" in P.report_of(run, "Acme / Co").columns and beta.count() == 1
 
     from rosterkit.sources.sinks import write_reports
     out = str(tmp_path / "reports")
-    write_reports(run.reports, out, fmt="csv")
-    back = spark.read.option("header", "true").csv(out)
-    assert {r.employer for r in back.select("employer").distinct().collect()} == {"Acme / Co", "Beta"}
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_reports(run.reports, out)
+        assert {r.employer for r in spark.read.parquet(out).select("employer").distinct().collect()} == {"Acme / Co", "Beta"}
+        write_reports(run.reports.where("employer = 'Beta'"), out)                  # B4: stale reports go
+        assert {r.employer for r in spark.read.parquet(out).select("employer").distinct().collect()} == {"Beta"}
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def _mail(spark, files):
+    """files: (message, received day, employer, [(name, rows or bytes)])."""
+    t = lambda d: dt.datetime(2024, 1, d)
+    return spark.createDataFrame([
+        (m, "Archive", "s", t(d), f"application to {e} through", [(n, write_xlsx({"S": c}) if isinstance(c, list) else c) for n, c in atts])
+        for m, d, e, atts in files], P.MESSAGE_SCHEMA)
+
+
+def test_headers_that_drift(spark):
+    D = "student_data.xlsx"
+    run = P.run_reports(_mail(spark, [
+        ("m1", 1, "A", [(D, [["First Name", "Email", "Employer"], ["Ann", "a@x", "own"], ["Bo", "N/A", None], ["Cy", "n/a", None]])]),
+        ("m2", 2, "A", [(D, [["First Name", "EMAIL", "message_id", "Received"], ["Ann", "A@x", "id", "today"]])]),
+        ("m3", 3, "B", [(D, [["First Name", "a", "a", "a.1", None], ["Di", "1", "2", "3", "4"], ["Di", "1", "2", "3", "4"]])]),
+        ("m4", 3, "B", [(D, [["a", "First Name", "a", "a.1"], ["1", "Di", "2", "3"]])]),
+    ]))
+    got = sorted((r.employer, r["Date of Confirmed Application"], sorted(_cells(r).items())) for r in run.reports.collect())
+    assert got == sorted([
+        ("A", "1/2/2024", sorted({"first name": "Ann", "email": "A@x", "message_id": "id", "received": "today"}.items())),
+        ("A", "1/1/2024", sorted({"first name": "Bo"}.items())), ("A", "1/1/2024", sorted({"first name": "Cy"}.items())),
+        ("B", "1/3/2024", sorted({"first name": "Di", "a": "1", "a.1": "2", "a.1.1": "3", "unnamed: 4": "4"}.items())),
+        ("B", "1/3/2024", sorted({"first name": "Di", "a": "1", "a.1": "2", "a.1.1": "3"}.items()))])
+    names = {(r.employer, r.key): r.name for r in run.columns.collect()}
+    assert names[("A", "email")] == "Email" and names[("A", "employer")] == "Employer"
+    assert P.report_of(run, "A").columns[:4] == ["Date of Confirmed Application", "First Name", "Email", "Employer"]
+
+
+def test_two_data_files_in_one_message(spark):
+    D = "student_data.xlsx"
+    head = ["First Name", "Email", "Resume File Name"]
+    run = P.run_reports(_mail(spark, [
+        ("m1", 1, "A", [("first.pdf", b"1"), (D, [head, ["Ann", "a@x", "second.pdf"]]), ("second.pdf", b"2"), (D, [head, ["Ann", "a@x", "first.pdf"]])]),
+        ("m2", 2, "B", [("newsletter.pdf", b"3")]),
+        ("m3", 3, "C", [(D, [["First Name"], ["Z"]]), ("loose.pdf", b"4")]),
+    ]), P.ReportParams(resume_file_base_url="https://f/r"))
+    diag = {r.metric: r.value for r in run.diagnostics.collect()}
+    assert diag["unique_resumes_saved"] == 1 and diag["resume_mappings_reused"] == 1
+    # Only files with a résumé column look at attachments, each at all of them.
+    assert [r.att_name for r in run.unmatched_names.collect()] == ["first.pdf", "second.pdf"]
+    msgs = P.scan_messages(_mail(spark, [("m1", 1, "A", [("first.pdf", b"1"), (D, [head, ["Ann", "a@x", "second.pdf"]]), ("second.pdf", b"2"), (D, [head, ["Ann", "a@x", "first.pdf"]])])]))
+    events, _ = P.resume_events(P.data_rows(P.decode_data_files(P.data_files(msgs))), P.attachment_names(msgs))
+    assert [(r.att_name, r.data_pos) for r in events.where("is_save").collect()] == [("second.pdf", 1)]   # the first data file's match
+
+
+def test_attachment_bytes_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "m")
+    _messages(spark).write.parquet(path)
+    msgs = P.scan_messages(spark.read.parquet(path))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan(P.attachment_names(msgs)) and "content" not in plan(P.message_counts(msgs))
+    assert "content" in plan(P.data_files(msgs))
 
 
 def test_reports_global_name_scope(spark):
     run = P.run_reports(_messages(spark), P.ReportParams(name_scope="global"))
-    rows = {(r.employer, r["First Name"]): r["Resume Link"] for r in run.reports.collect()}
+    rows = {(r.employer, r.cells["first name"]): r["Resume Link"] for r in run.reports.collect()}
     assert "Ann_Lee_Resume.pdf" in rows[("Acme / Co", "Ann")]
 
 
@@ -227,15 +292,20 @@ def test_streaming_store_matches_batch(spark):
     full = P.run_reports(spark.read.parquet(inbox), Q._report_params())
     assert {tuple(r) for r in inc.diagnostics.collect()} == {tuple(r) for r in full.diagnostics.collect()}
     cols = sorted(full.reports.columns)
-    assert sorted(map(repr, map(tuple, inc.reports.select(*cols).collect()))) == \
-        sorted(map(repr, map(tuple, full.reports.select(*cols).collect())))
+    flat = lambda df: sorted(repr([sorted(v.items()) if isinstance(v, dict) else v for v in r]) for r in df.select(*cols).collect())
+    assert flat(inc.reports) == flat(full.reports)
+    # The same messages delivered again change nothing.
+    mb.write.mode("append").parquet(inbox)
+    start_decoding(spark.readStream.schema(P.MESSAGE_SCHEMA).parquet(inbox), store, shared_path(spark, "ckpt"), Q._report_params()).awaitTermination()
+    again = reports_from_store(spark, store, Q._report_params())
+    assert flat(again.reports) == flat(full.reports)
 
 
 def test_import_set_guard(spark, recon_tables, tmp_path):
     master, _ = recon_tables
     base = str(tmp_path / "import")
-    assert R.write_import_set(spark, master.limit(0), base) == []           # no new rows: nothing written
-    written = R.write_import_set(spark, master, base)
+    assert R.write_import_set(spark, master.limit(0), base, R.ReconcileParams(program_version="V2")) == []           # no new rows: nothing written
+    written = R.write_import_set(spark, master, base, R.ReconcileParams(program_version="V2"))
     assert [w.rsplit("/", 1)[1] for w in written] == ["Users", "WorkExperience", "Degrees", "Mentoring"]
     assert spark.read.parquet(f"{base}/WorkExperience").count() == 0
 
@@ -248,17 +318,16 @@ def test_report_name_collisions(spark):
         ("m2", "Archive", "s", t, "application to A:B through", [("student_data.xlsx", book)]),
     ], P.MESSAGE_SCHEMA)
     diag = {r.metric: r.value for r in P.run_reports(msgs).diagnostics.collect()}
-    assert diag["employers_with_data"] == 2 and diag["reports_exported"] == 1     # D8: both map to A_B
+    assert diag["employers_with_data"] == 2 and diag["reports_exported"] == 2     # D8: both map to A_B
     assert diag["report_name_collisions"] == 1
 
 
 def test_resume_manifest_bytes(spark):
     """Each person's latest saved résumé, with its target name and bytes."""
     msgs = P.scan_messages(_messages(spark))
-    atts = P.explode_attachments(msgs)
-    decoded = P.decode_data_files(atts)
-    rows = P.widen(decoded, P.header_order(decoded))
-    events, _ = P.resume_events(rows, atts, P.ReportParams(resume_file_base_url="https://f/r"))
+    rows = P.data_rows(P.decode_data_files(P.data_files(msgs)))
+    events, _ = P.resume_events(rows, P.attachment_names(msgs), P.ReportParams(resume_file_base_url="https://f/r"))
+    atts = P.attachment_contents(msgs)
     got = {r.person_key: (r.target_name, bytes(r.content)) for r in P.resume_manifest(events, atts).collect()}
     # Ann re-sent her résumé in a later message: the newer bytes win.
     assert got == {"email:ann@x.edu": ("Ann_Lee_Resume.pdf", b"4"),

@@ -28,12 +28,12 @@ def test_resolve_name_order():
     # duplicate normalised headers: the first one wins
     assert S.resolve_name(["E-mail", "email"], ["email"]) == "E-mail"
     # substring either way, in column order
-    assert S.resolve_name(["Student Scale Semester (term)"], ["scale semester"]) == \
-        "Student Scale Semester (term)"
+    assert S.resolve_name(["Student Entry Semester (term)"], ["entry semester"]) == \
+        "Student Entry Semester (term)"
     # letter fallback, then error
     cols30 = [f"c{i}" for i in range(30)]
     assert S.resolve_name(cols30, ["nothing"], fallback_letter="AD") == "c29"
-    with pytest.raises(ValueError, match="Tried"):
+    with pytest.raises(ValueError, match="headers"):
         S.resolve_name(["a"], ["nothing"], required=True)
     # An all-punctuation header has an empty key and never matches
     assert S.resolve_name(["???", "x"], ["email"]) is None
@@ -50,7 +50,7 @@ def test_detect_columns_first_match_and_override():
         S.detect_columns(cols, overrides={"first_name": "missing"})
 
 
-def test_standardize_redact_reindex_union(spark):
+def test_standardize_and_redact(spark):
     df = spark.createDataFrame([("a@x", "1", "s", "x")], ["E-MAIL", "Security  Clearance", "Total Percentage", "Keep"])
     out = S.standardize(df, [S.FieldSpec("email", ("email",), required=True),
                              S.FieldSpec("missing", ("zzz",))])
@@ -58,12 +58,7 @@ def test_standardize_redact_reindex_union(spark):
     with pytest.raises(ValueError):
         S.standardize(df, [S.FieldSpec("x", ("zzz",), required=True)])
     assert S.redact(df, ["security clearance", "TOTAL PERCENTAGE"]).columns == ["E-MAIL", "Keep"]
-    r = S.reindex(df, ["Keep", "new"])
-    assert r.columns == ["Keep", "new"] and r.first()["new"] is None
-    u = S.union_by_name([df.select("Keep"), spark.createDataFrame([("y", 1)], "other string, n int")])
-    assert sorted(u.columns) == ["Keep", "n", "other"] and u.count() == 2
     assert S.move_first(df, "Keep").columns[0] == "Keep"
-    assert S.drop_columns(df, ["Keep", "absent"]).columns == ["E-MAIL", "Security  Clearance", "Total Percentage"]
     e = S.empty_frame(spark, "a string, b int")
     assert e.count() == 0 and e.columns == ["a", "b"]
 

@@ -8,7 +8,8 @@ import pytest
 
 from rosterkit.sources import workbook as W
 from rosterkit.sources.sinks import write_tables
-from rosterkit.sources.xlsx_rows import Workbook, table, write_xlsx
+from rosterkit.checks.mailbox import write_xlsx
+from rosterkit.sources.xlsx_rows import Workbook, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,6 +21,7 @@ def test_xlsx_reader_types_and_headers():
     assert wb.sheet_names == ["A"]
     headers, rows = table(wb.rows())
     assert headers == ["id", "Unnamed: 1", "id.1", "flag", "Unnamed: 4"]
+    assert table([["a", "A", "a.1", "a"], ["1", "2", "3", "N/A"]]) == (["a", "A.1", "a.1.1", "a.2"], [["1", "2", "3", None]])
     assert rows == [["1", "x", "2.5", "True", None], ["3", None, None, "False", "extra"]]
 
 
@@ -62,14 +64,20 @@ def test_load_system_export(spark, tmp_path):
         W.load_system_export(spark, folder=folder, pattern="Student_Export*.xlsx", sheet="nope")
 
 
-def test_workbook_data_source(spark, tmp_path):
-    folder = str(tmp_path / "ds")
-    _write_books(folder)
-    W.register_workbook_source(spark)
-    df = (spark.read.format("workbook").option("candidates", "students")
-          .option("pattern", "Student_Export_1.xlsx").load(folder))
-    assert df.columns == ["_file", "_sheet", "_ordinal", "Email", "First Name"]
-    assert sorted(r.Email for r in df.collect()) == ["a@x", "b@x"]
+def test_workbook_headers_and_errors(spark):
+    import datetime as dt
+    def files(**books):
+        rows = [(f"/x/{n}.xlsx", dt.datetime(2024, 1, 1), write_xlsx({"S": b}) if isinstance(b, list) else b) for n, b in books.items()]
+        return spark.createDataFrame(rows, "path string, modificationTime timestamp, content binary")
+    wide = W.read_workbooks(spark, files(a=[["Email", "_file", "x"], ["1", "2", "NA"]], b=[["EMAIL", "X", "x"], ["3", "4", "#N/A"]]))
+    assert wide.columns == ["_file", "_sheet", "_ordinal", "Email", "_file.1", "x", "x.1"]
+    assert sorted(tuple(r)[3:] for r in wide.collect()) == [("1", "2", None, None), ("3", None, "4", None)]
+    with pytest.raises(ValueError, match="2 file"):
+        W.read_workbooks(spark, files(a=b"no", b=b"no", c=[["x"], ["1"]]))
+    long_name = "h" * 700
+    cells = W.read_workbook_cells(spark, files(a=[["x"]]), sheet=long_name)
+    assert long_name in cells.first()._error                     # whole error text
+    assert W.unreadable_files(cells).count() == 1
 
 
 def test_write_tables_guard(spark, tmp_path):
@@ -86,7 +94,7 @@ def test_write_tables_guard(spark, tmp_path):
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 SKIP_PLAN = {"q_partition_write", "q_multi_write", "q_workbook_scan", "q_latest_snapshot", "q_sheet_resolve",
              "q_import_set",
-             "q_mailbox_reports", "q_mailbox_stream"}
+             "q_mailbox_reports", "q_mailbox_stream", "q_report_counts", "q_unmatched_names", "q_header_drift"}
 
 
 SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
@@ -103,7 +111,8 @@ def test_check_query_plans(spark):
     for t in DRIVER_TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     oracles = E.oracle_sql()
-    for name, fn in E.queries().items():
+    from rosterkit.checks.registry import QUERIES
+    for name, fn in QUERIES.items():
         if name in SKIP_PLAN:
             continue
         df = fn(spark, SF)
