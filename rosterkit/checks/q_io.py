@@ -116,6 +116,33 @@ def q_multi_write(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def _multi_contents_sql() -> str:
+    from .catalog import _SCORE_COLS, _score_cte
+    return _score_cte() + f"""
+SELECT {_SCORE_COLS}, meetsAllCriteria AS in_candidates, (SELECT CAST(count(*) AS DOUBLE) FROM scored) AS evaluated FROM scored"""
+
+
+@query("q_multi_contents", _multi_contents_sql())
+def q_multi_contents(spark: SparkSession, sf: str) -> DataFrame:
+    """The report set written twice over the same place and read
+    back: every row, whether it is among the candidates, one summary value."""
+    from ..plans.scorecard import ScorecardParams, candidates, score_summary, scorecard
+    from ..session import shared_path
+    from ..sources.sinks import write_tables
+    from .catalog import _score_inputs
+    p = ScorecardParams()
+    scored = scorecard(*_score_inputs(spark, sf), p, keep_order=True)
+    base = shared_path(spark, "scorecard_report")
+    everyone = scored.drop(p.order_column)
+    write_tables({"AllStudentsEvaluated": everyone.limit(3), "Candidates": candidates(scored, p)}, base)
+    write_tables({"Candidates": candidates(scored, p), "AllStudentsEvaluated": everyone, "Summary": score_summary(scored, p)}, base)
+    read = lambda n: spark.read.parquet(f"{base}/{n}")
+    hits = read("Candidates").select("email", F.lit(True).alias("hit"))
+    n = read("Summary").where("metric = 'students_evaluated'").first()["value"]
+    return read("AllStudentsEvaluated").join(hits, "email", "left").select(
+        *everyone.columns, F.coalesce("hit", F.lit(False)).alias("in_candidates"), F.lit(n).alias("evaluated"))
+
+
 def customer_workbooks(spark: SparkSession, sf: str) -> DataFrame:
     """The customer table as a table of workbook files (path, time, bytes),
     500 keys to a file, with two sheets and headers that drift from file
@@ -195,6 +222,23 @@ def q_import_set(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def _import_contents_sql() -> str:
+    from .catalog import _template_sql
+    return _template_sql()
+
+
+@query("q_import_contents", _import_contents_sql())
+def q_import_contents(spark: SparkSession, sf: str) -> DataFrame:
+    """B2: the Users table of the written import set, every cell."""
+    from ..plans.reconcile import reconcile, write_import_set
+    from ..session import shared_path
+    from .catalog import _recon_inputs, _recon_params
+    p = _recon_params()
+    base = shared_path(spark, "import_set")
+    write_import_set(spark, reconcile(*_recon_inputs(spark, sf), p).new_rows, base, p)
+    return spark.read.parquet(f"{base}/Users")
+
+
 @query("q_sheet_resolve", f"""
 SELECT {_CUSTOMER_CELLS}, k AS sheet_of FROM customer, (SELECT unnest(['people', 'export']) AS k)""")
 def q_sheet_resolve(spark: SparkSession, sf: str) -> DataFrame:

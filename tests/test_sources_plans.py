@@ -94,7 +94,8 @@ def test_write_tables_guard(spark, tmp_path):
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 SKIP_PLAN = {"q_partition_write", "q_multi_write", "q_workbook_scan", "q_latest_snapshot", "q_sheet_resolve",
              "q_import_set",
-             "q_mailbox_reports", "q_mailbox_stream", "q_report_counts", "q_unmatched_names", "q_header_drift"}
+             "q_mailbox_reports", "q_mailbox_stream", "q_report_counts", "q_unmatched_names", "q_header_drift",
+             "q_multi_contents", "q_import_contents"}
 
 
 SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
