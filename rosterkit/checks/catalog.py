@@ -71,7 +71,7 @@ def _score_inputs(spark, sf):
 _S_BASE = f"""
 s0 AS (
   SELECT _ordinal, trim(email) AS email, {X.email_key('email')} AS _email_key,
-         first_name AS firstName, last_name AS lastName, scale_semester AS studentScaleSemester,
+         first_name AS firstName, last_name AS lastName, entry_semester AS studentScaleSemester,
          defense_experience AS defenseExperienceRaw
   FROM students WHERE {X.email_key('email')} IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY {X.email_key('email')} ORDER BY _ordinal) = 1),

@@ -37,7 +37,7 @@ SELECT 2 * c_custkey + 1 AS _ordinal,
             WHEN 4 THEN 'Fall-' || cast(2014 + c_nationkey % 5 AS string)
             WHEN 5 THEN cast(2013 + c_nationkey % 6 AS string) || '-0' || cast(1 + c_custkey % 9 AS string) || '-15'
             WHEN 6 THEN 'junk ' || c_mktsegment
-            ELSE NULL END AS scale_semester,
+            ELSE NULL END AS entry_semester,
        CASE c_custkey % 7
             WHEN 0 THEN '20'
             WHEN 1 THEN '20.0'
@@ -52,7 +52,7 @@ SELECT CASE WHEN c_custkey % 2 = 0 THEN 2 * c_custkey ELSE 2 * c_custkey + 2 END
        ' ' || upper({_email('c_custkey')}) || ' ' AS email,
        'Copy' || cast(c_custkey AS string) AS first_name,
        'Dup' AS last_name,
-       'Fall 2010' AS scale_semester,
+       'Fall 2010' AS entry_semester,
        'no' AS defense_experience
 FROM customer
 """
@@ -90,7 +90,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 # Header names the Spark side renames the derived columns to, so that
 # header discovery (not the derivation) finds them.
 STUDENT_HEADERS = {"email": "Student Email", "first_name": "First Name", "last_name": "Last Name",
-                   "scale_semester": "Scale Semester", "defense_experience": "Defense Experience"}
+                   "entry_semester": "studentScaleSemester", "defense_experience": "Defense Experience"}
 DEGREE_HEADERS = {"student_email": "studentEmail", "degree_type": "Degree Type",
                   "grad_date": "Grad Date"}
 WORK_HEADERS = {"student_email": "Student Email", "defense_related": "Is Defense Related"}

@@ -23,7 +23,7 @@ def score_tables(spark):
         (4, "   ", "Blank", "Key", "Fall 2020", "20"),              # blank key dropped
         (5, "cid@x.edu", "Cid", "Poe", "junk", "20.5"),
     ], "_ordinal long, `student email` string, `first name` string, surname string, "
-       "`scale semester` string, `in defense` string")
+       "studentScaleSemester string, `in defense` string")
     degrees = spark.createDataFrame([
         ("ann@x.edu", "BS", "Spring 2022"), ("ANN@x.edu", "M.Sc.", "Fall 2023"), ("ann@x.edu", "", None),
         ("bob@x.edu", "Ph.D", "2023-05-15"), ("nobody@x.edu", "MS", "Fall 2020"),

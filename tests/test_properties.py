@@ -50,7 +50,7 @@ EMAILS = st.sampled_from(["a@x", " A@X ", "b@x", "c@x", "", None])
        st.lists(st.tuples(EMAILS, st.sampled_from(["1", "0", "yes", None])), max_size=12))
 def test_scorecard_invariants(spark, students, degrees, work):
     s = spark.createDataFrame([(i, *r) for i, r in enumerate(students)],
-                              "_ordinal long, email string, `scale semester` string, `defense experience` string")
+                              "_ordinal long, email string, studentScaleSemester string, `defense experience` string")
     d = spark.createDataFrame(degrees or [(None, None, None)], "studentEmail string, degreeType string, "
                               "graduationDate string")
     w = spark.createDataFrame(work or [(None, None)], "studentEmail string, defenseRelated string")
@@ -73,7 +73,7 @@ def test_scorecard_invariants(spark, students, degrees, work):
        st.randoms(use_true_random=False))
 def test_scorecard_invariant_under_repartition(spark, students, rnd):
     rows = [(i, *r) for i, r in enumerate(students)]
-    schema = "_ordinal long, email string, `scale semester` string, `defense experience` string"
+    schema = "_ordinal long, email string, studentScaleSemester string, `defense experience` string"
     d = spark.createDataFrame([("a@x", "MS", "Fall 2023"), ("a@x", "BS", "Spring 2020")],
                               "studentEmail string, degreeType string, graduationDate string")
     w = spark.createDataFrame([("a@x", "1"), ("b@x", "1")], "studentEmail string, defenseRelated string")
