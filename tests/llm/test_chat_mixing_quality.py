@@ -94,7 +94,7 @@ def test_mixing_meets_targets(llm, make_docs):
     rows = [(i, " ".join(["w"] * int(rng.integers(0, 90))), ["hot", "b", "c", "d", None][min(4, int(rng.integers(0, 9)) // 2 if i % 3 else 0)]) for i in range(300)]
     rows += [(7, "again and again", "b"), (7, "again and again", "b"), (None, "no id", "c"), (900, None, "b"), (901, "", "z"), (902, "y " * 20_000, "c")]
     docs = make_docs(rows).withColumn("size", F.lit("clash"))
-    for params in (MixParams(block_words=16), MixParams(block_words=64, group_rows=7), MixParams()):
+    for params in (MixParams(block_words=16, group_rows=7), MixParams()):
         found, slots = mix(docs, params)
         got = found.collect()
         check_mix(rows, got)
