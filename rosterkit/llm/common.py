@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -10,9 +11,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, shared_path
+from ..session import materialize as _materialize
+from ..session import shared_path
 
-__all__ = ["WORD", "WHITE", "materialize", "shared_path", "table", "keep", "shard_count", "ship_package"]
+__all__ = ["WORD", "WHITE", "materialize", "discard", "shared_path", "table", "keep", "shard_count", "ship_package"]
 
 #: A word is a run of anything but ASCII white space (space, \t \n \v \f \r).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,6 +22,25 @@ WORD = r"[^\x20\x09-\x0D]+"
 WHITE = b" \t\n\x0b\x0c\r"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again. The shuffle files
+    of the plan that made it are of no use any more; Spark drops them once
+    the JVM has collected the plan, which is asked for here."""
+    out = _materialize(df, name)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove what :func:`materialize` wrote for ``df`` (or for the parts of
+    a union), once nothing that is still to run reads it."""
+    sc = df.sparkSession.sparkContext
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

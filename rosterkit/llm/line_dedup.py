@@ -25,10 +25,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 @dataclass(frozen=True)
@@ -47,8 +47,17 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _with_words(lines: DataFrame) -> DataFrame:
-    blanks = F.translate("line", "\t\x0b\x0c\r", "    ")
-    return lines.where(F.trim(blanks) != "").withColumn("w", F.array_remove(F.split(blanks, " "), "")).drop("line")
+    """Splits at single spaces; other white space and runs are cleaned up
+    first, in the few lines that have them."""
+    line = F.col("line")
+    odd = F.lit(False)
+    for c in "\t\x0b\x0c\r":
+        odd = odd | line.contains(c)
+    line = F.when(odd, F.translate(line, "\t\x0b\x0c\r", "    ")).otherwise(line)
+    lines = lines.withColumn("line", line).where(F.trim("line") != "")
+    words = F.split("line", " ")
+    runs = F.col("line").contains("  ") | F.col("line").startswith(" ") | F.col("line").endswith(" ")
+    return lines.withColumn("w", F.when(runs, F.array_remove(words, "")).otherwise(words)).drop("line")
 
 
 def _tokens(lines: DataFrame, k: int) -> DataFrame:
@@ -91,19 +100,23 @@ def later_matches(docs: DataFrame, params: LineParams = LineParams(), id_col: st
         "doc", "text_hash", "place", n.alias("n"), F.xxhash64("key").alias("f1"), F.xxhash64("key", F.lit(1)).alias("f2"), prefix.alias("prefix")), "line-sets")
     own = ["n", "f1", "f2"]
     first = F.min(F.struct("doc", "text_hash", "place"))
-    classes = materialize(lines.groupBy(*own).agg(first.alias("at")).select(*own, F.xxhash64(*own).alias("c"), "at.*"), "line-classes")
+    # All lines of a class have one prefix.
+    classes = materialize(lines.groupBy(*own).agg(first.alias("at"), F.first("prefix").alias("prefix"))
+                          .select(*own, F.xxhash64(*own).alias("c"), "at.*", "prefix"), "line-classes")
 
-    # Postings of one line per class, and of them those whose token another class has too.
-    heads = lines.join(classes.select("doc", "text_hash", "place", "c"), [
-        lines["doc"].eqNullSafe(classes["doc"]), lines["text_hash"] == classes["text_hash"], lines["place"] == classes["place"]]).select("c", "n", "prefix")
-    heads = heads.dropDuplicates(["c"])
-    posting = heads.select("c", F.posexplode("prefix").alias("pos", "token"), "n").select(
+    fat, lines = lines, materialize(lines.drop("prefix"), "line-sets")
+    discard(fat)
+
+    # One posting per class and prefix token; only tokens that another class has too matter.
+    posting = classes.select("c", F.posexplode("prefix").alias("pos", "token"), "n").select(
         "token", "c", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("np"))
-    shared = posting.groupBy("token").agg(F.count("*").alias("k")).where("k > 1")
-    lists = materialize(posting.join(shared.select("token"), "token").select(
+    lists = materialize(posting.withColumn("k", F.count("*").over(Window.partitionBy("token"))).where("k > 1").select(
         "token", "c", F.shiftright("np", 32).cast("int").alias("n"), F.col("np").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos")), "line-lists")
+    fat, classes = classes, materialize(classes.drop("prefix"), "line-classes")
+    discard(fat)
     order = classes.select("c", F.struct("doc", "text_hash", "place").alias("o"))
-    lists = materialize(lists.join(order, "c"), "line-placed")
+    fat, lists = lists, materialize(lists.join(order, "c"), "line-placed")
+    discard(fat)
 
     def pairs(late: DataFrame, early: DataFrame) -> DataFrame:
         """Distinct (c, e): e earlier, within length and positional filter."""
@@ -117,19 +130,27 @@ def later_matches(docs: DataFrame, params: LineParams = LineParams(), id_col: st
     low = lists.groupBy("token").agg(F.min("o").alias("low"))
     pivots = lists.join(low, "token").where(F.col("o") == F.col("low")).drop("low")
     near = materialize(pairs(lists, pivots), "line-near")
-    sets = materialize(_full_sets(docs, lists.select("c").distinct().join(order, "c"), rarity, params, id_col, text_col), "line-full")
+    ends = lambda df: df.select("c").union(df.select(F.col("e").alias("c"))).distinct()
+    sets = materialize(_full_sets(docs, ends(near).join(order, "c"), rarity, params, id_col, text_col), "line-full")
     matched = materialize(_verify(near, sets, p), "line-matched")
     open_ = lists.join(matched.select("c").distinct(), "c", "left_anti")
     wanted = open_.select("token").distinct()
     rest = pairs(open_, lists.join(wanted, "token", "left_semi")).join(near, ["c", "e"], "left_anti")
     rest = materialize(rest, "line-rest")
+    discard(lists)
+    missing = ends(rest).join(sets.select("c"), "c", "left_anti")
+    if not missing.isEmpty():
+        sets = sets.unionByName(materialize(_full_sets(docs, missing.join(order, "c"), rarity, params, id_col, text_col), "line-full"))
     gone = matched.select("c").union(_verify(rest, sets, p).select("c")).distinct()
 
     # Gone: every line but the first of its class, and the first of a class that matches an earlier one.
     fate = classes.join(gone.withColumn("gone", F.lit(True)), "c", "left").select(
         *own, F.struct("doc", "text_hash", "place").alias("at"), F.coalesce("gone", F.lit(False)).alias("gone"))
     out = lines.drop("prefix").join(fate, own).where(F.col("gone") | ~F.col("at").eqNullSafe(F.struct("doc", "text_hash", "place")))
-    return out.groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    out = materialize(out.groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("places")), "line-gone")
+    for done in (lines, classes, near, sets, matched, rest):
+        discard(done)
+    return out
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, rarity: Column, params: LineParams, id_col: str, text_col: str) -> DataFrame:
