@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import re
 
 import numpy as np
@@ -59,6 +60,31 @@ def test_ngram_join_equals_brute_force(llm, make_docs):
     assert ngram_jaccard_join(make_docs([])).documents.collect() == []
 
 
+def test_ngram_join_of_null_and_repeated_ids(llm, make_docs):
+    """Null ids link like any others, and a repeated id keeps all of its texts."""
+    from rosterkit.llm.ngram_join import ngram_jaccard_join
+    rng = np.random.default_rng(15)
+    texts = [family(rng, 6, 60, 2) for _ in range(4)]
+    rows = [(None if i < 4 else 100 + i, t) for i, t in enumerate(texts[0])]                       # a null id near others
+    rows += [(None, t) for t in texts[1]] + [(None, texts[1][0])]                                  # a family of null ids only
+    rows += [(200 + i % 2, t) for i, t in enumerate(texts[2] + texts[3])]                          # two ids, two families
+    res = ngram_jaccard_join(make_docs(rows)).documents.collect()
+    got = sorted(((r.doc_id, r.component_id, r.n_shingles) for r in res), key=repr)
+    assert got == sorted(((d, c, n) for (d, _), (c, n) in zip(rows, components(rows))), key=repr)
+    digests = {hashlib.md5(t.encode()).hexdigest(): t for _, t in rows}
+    keys = {}
+    for r in res:
+        keys.setdefault(r.component_key, set()).add(digests[r.text_md5])
+    want, sets = {t: {t} for _, t in rows}, {t: shingles(t) for _, t in rows}
+    for x in want:
+        for y in want:
+            if alike(sets[x], sets[y]) and want[x] is not want[y]:
+                want[x] |= want[y]
+                for z in want[x]:
+                    want[z] = want[x]
+    assert sorted(map(sorted, keys.values())) == sorted(map(sorted, {id(v): v for v in want.values()}.values()))
+
+
 def test_line_dedup_equals_brute_force(llm, make_docs):
     from rosterkit.llm.line_dedup import dedup_lines
     rng = np.random.default_rng(6)

@@ -81,3 +81,17 @@ def test_pipeline_of_awkward_rows(llm, make_docs, tmp_path):
             stage(llm, docs, sf).write.parquet(path)
             docs = llm.read.parquet(path)
         assert docs.count() >= (0 if not rows else 1)
+
+
+def test_join_stage_drops_copies_with_null_ids(llm, make_docs):
+    import corpus_pipeline as C
+    words = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    near = lambda k: words(k) + " more"
+    rows = [(1, words("a")), (None, words("a")), (None, near("a")),                                # go with document 1
+            (None, words("b")), (None, near("b")), (None, words("b")),                             # no ids: one stays
+            (7, words("c")), (7, words("d")), (7, near("d")),                                      # one id, two components
+            (None, ""), (8, None)]
+    left = [(r.doc_id, r.text) for r in C.near_duplicates(llm, make_docs(rows), "").collect()]
+    assert len(left) == 6 and {(1, words("a")), (7, words("c")), (None, ""), (8, None)} <= set(left)
+    assert sum(x in left for x in ((None, words("b")), (None, near("b")))) == 1
+    assert sum(x in left for x in ((7, words("d")), (7, near("d")))) == 1
