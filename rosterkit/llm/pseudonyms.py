@@ -10,8 +10,19 @@ values never share one; who holds the key can turn it back. Check digits
 are computed anew, so results validate like originals. Lengths do not
 change: spans hold for old and new text.
 
-Digits that do not validate are left alone. Overlapping finds: the one
-that starts first, then the kind listed first.
+Digits that do not validate are left alone. Of a card that runs on into
+other digits, or an IBAN into other words, the longest part up to a gap
+that validates is taken (an IBAN's length is its country's). Its pseudonym
+is walked on until the same part is found again in its place, so that it
+can be turned back; only beside such digits can it differ from the same
+card's elsewhere. Dates keep whether day and month have one digit and
+whether the day is above 12, so that every way to write one day has one
+pseudonym. A secret is one word after a key like ``token`` (``api_key``,
+``client_secret``), quoted or not; if unquoted it has eight or more
+characters and, unless the key's ``=`` touches both, a digit. Secrets
+without a key, passphrases with gaps, two-digit years and phone numbers
+written without ``+``, ``00``, brackets or 3-3-4 groups are not found.
+Overlapping finds: the one that starts first, then the kind listed first.
 
 Defined results: null stays null, an empty text empty, both without
 finds; texts are read whole; repeated rows are treated alike; extra
@@ -127,22 +138,90 @@ def _by_alphabet(text: str, kind: str, permute: Permute, hexadecimal: bool = Fal
     return "".join(reversed(out))
 
 
-def _card(m: re.Match, permute: Permute) -> str | None:
-    digits = re.sub(r"\D", "", m[0])
-    if luhn_digit(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
-        return None
-    n = 10 ** (len(digits) - 1)
-    new = f"{permute('card', n, int(digits[:-1])):0{len(digits) - 1}d}"
-    return _refill(m[0], new + luhn_digit(new))
-
-
-def _iban(m: re.Match, permute: Permute) -> str | None:
-    code = re.sub(r"\s", "", m[0])
-    country, check, body = code[:2], code[2:4], code[4:]
-    if iban_digits(country, body) != check:
-        return None
-    new = _by_alphabet(body, f"iban-{country}", permute)
-    return _refill(m[0], country + iban_digits(country, new) + new)
+Finds = list[tuple[int, int, str]]            # start, end, replacement
+
+
+def _settle(text: str, spans: list[tuple[int, int]], scan: Callable[[str], list[tuple[int, int]]],
+            swap: Callable[[str], str], back: bool) -> Finds:
+    """Each span swapped, again and again until ``scan`` finds the same spans;
+    to turn back, in reverse."""
+    new = text
+    for a, b in reversed(spans) if back else spans:
+        while True:
+            new = new[:a] + swap(new[a:b]) + new[b:]
+            if scan(new) == spans:
+                break
+    return [(a, b, new[a:b]) for a, b in spans]
+
+
+def _card_shape(groups: list[int]) -> bool:
+    return (len(groups) == 1 or tuple(groups) in ((4, 6, 4), (4, 6, 5), (4, 4, 5), (6, 13))
+            or groups[:4] == [4] * 4 and (len(groups) == 4 or len(groups) == 5 and groups[4] <= 3))
+
+
+def _cards(run: str) -> list[tuple[int, int]]:
+    """Valid cards in groups of digits: from each group the longest that ends
+    with a group; any groups from the first on, or those that cards have."""
+    groups, out, i = [(m.start(), m.end()) for m in re.finditer(r"\d+", run)], [], 0
+    while i < len(groups):
+        ends, total = [], 0
+        for j in range(i, len(groups)):
+            total += groups[j][1] - groups[j][0]
+            if total > 19:
+                break
+            if total >= 13:
+                ends.append(j)
+        for j in reversed(ends):
+            digits = re.sub(r"\D", "", run[groups[i][0]:groups[j][1]])
+            if ((i == 0 and j == ends[-1] or _card_shape([y - x for x, y in groups[i:j + 1]]))
+                    and luhn_digit(digits[:-1]) == digits[-1] and len(set(digits)) > 1):
+                out.append((groups[i][0], groups[j][1]))
+                i = j
+                break
+        i += 1
+    return out
+
+
+def _card(m: re.Match, permute: Permute, back: bool) -> Finds:
+    def swap(shape: str) -> str:
+        digits = re.sub(r"\D", "", shape)
+        n = 10 ** (len(digits) - 1)
+        while True:
+            new = f"{permute('card', n, int(digits[:-1])):0{len(digits) - 1}d}"
+            digits = new + luhn_digit(new)
+            if len(set(digits)) > 1:
+                return _refill(shape, digits)
+
+    return [(m.start() + a, m.start() + b, new) for a, b, new in _settle(m[0], _cards(m[0]), _cards, swap, back)]
+
+
+_IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 "
+    "GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 "
+    "MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 "
+    "TN24 TR26 UA29 VA22 VG24 XK20").split()}
+
+
+def _ibans(run: str) -> list[tuple[int, int]]:
+    """The part of the run that is a valid IBAN: of its country's length, else the longest that ends with a group."""
+    ends, code = {}, ""
+    for i, c in enumerate(run):
+        code += c.strip()
+        if c != " " and (i + 1 == len(run) or run[i + 1] == " ") and len(code) >= 12:
+            ends[len(code)] = i + 1
+    for n in sorted(ends, key=lambda n: (n != _IBAN_LENGTHS.get(run[:2]), -n)):
+        if iban_digits(code[:2], code[4:n]) == code[2:4]:
+            return [(0, ends[n])]
+    return []
+
+
+def _iban(m: re.Match, permute: Permute, back: bool) -> Finds:
+    def swap(shape: str) -> str:
+        code = shape.replace(" ", "")
+        new = _by_alphabet(code[4:], f"iban-{code[:2]}", permute)
+        return _refill(shape, code[:2] + iban_digits(code[:2], new) + new)
+
+    return [(m.start() + a, m.start() + b, new) for a, b, new in _settle(m["run"], _ibans(m["run"]), _ibans, swap, back)]
 
 
 def _ipv4(m: re.Match, permute: Permute) -> str | None:
@@ -165,8 +244,10 @@ def _ipv4(m: re.Match, permute: Permute) -> str | None:
 
 def _digits(kind: str) -> Callable[[re.Match, Permute], str | None]:
     def swap(m: re.Match, permute: Permute) -> str:
-        digits = re.sub(r"\D", "", m[0])
-        return _refill(m[0], f"{permute(f'{kind}{len(digits)}', 10 ** len(digits), int(digits)):0{len(digits)}d}")
+        fixed = m["code"] or m["trunk"] or ""
+        shape = m[0][len(fixed):]
+        digits = re.sub(r"\D", "", shape)
+        return fixed + _refill(shape, f"{permute(f'{kind}{len(digits)}', 10 ** len(digits), int(digits)):0{len(digits)}d}")
     return swap
 
 
@@ -186,17 +267,26 @@ _FIRST, _LAST = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal
 
 
 def _date(m: re.Match, permute: Permute) -> str | None:
-    names = ("y", "m", "d") if m["iso"] else ("d", "m", "y") if m["dot"] else ("m", "d", "y")
-    sep = "-" if m["iso"] else "." if m["dot"] else "/"
-    part = dict(zip(names, map(int, m[0].split(sep))))
-    try:
-        day = dt.date(part["y"], part["m"], part["d"]).toordinal()
-    except ValueError:
+    sep = m["s1"] or m["s2"]
+    parts = m[0].split(sep)
+    for names in (("y", "m", "d"),) if m["s1"] else (("d", "m", "y"),) if sep == "." else (("m", "d", "y"), ("d", "m", "y")):
+        part = dict(zip(names, map(int, parts)))
+        try:
+            day = dt.date(part["y"], part["m"], part["d"])
+            break
+        except ValueError:
+            continue
+    else:
         return None
-    if not _FIRST <= day <= _LAST:
+    if not _FIRST <= day.toordinal() <= _LAST:
         return None
-    new = dt.date.fromordinal(_FIRST + permute("date", _LAST - _FIRST + 1, day - _FIRST))
-    return sep.join({"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}[k] for k in names)
+    like = lambda x: (x.day > 9, x.day > 12, x.month > 9)
+    new = day
+    while True:
+        new = dt.date.fromordinal(_FIRST + permute("date", _LAST - _FIRST + 1, new.toordinal() - _FIRST))
+        if like(new) == like(day):
+            break
+    return sep.join(f"{({'y': new.year, 'm': new.month, 'd': new.day}[k]):0{len(p)}d}" for k, p in zip(names, parts))
 
 
 def _mail(m: re.Match, permute: Permute) -> str:
@@ -205,26 +295,40 @@ def _mail(m: re.Match, permute: Permute) -> str:
     return "".join(next(it) if c in string.ascii_letters + string.digits else c for c in m["name"]) + "@" + m["host"]
 
 
-def _secret(m: re.Match, permute: Permute) -> str:
-    return m[0][:m.start("value") - m.start()] + _refill(m["value"], _by_alphabet(re.sub(r"[^0-9A-Za-z]", "", m["value"]), "secret", permute, True)) \
-        + m[0][m.end("value") - m.start():]
+def _secret(m: re.Match, permute: Permute) -> str | None:
+    value = m["quoted"] or m["bare"]
+    at = m.start("quoted" if m["quoted"] else "bare") - m.start()
+    digit = bool(m["bare"]) and not re.search(r"[^\s=:]=$", m[0][:at])
+    plain = re.sub(r"[^0-9A-Za-z]", "", value)
+    if not plain or digit and not re.search("[0-9]", plain):
+        return None
+    while True:
+        plain = _by_alphabet(plain, "secret", permute, True)
+        if not digit or re.search("[0-9]", plain):
+            break
+    it = iter(plain)
+    return m[0][:at] + re.sub("[0-9A-Za-z]", lambda _: next(it), value) + m[0][at + len(value):]
 
 
+_KEYS = r"token|secret|password|passwd|passphrase|pwd|(?:api|access|private|auth)[_-]?key"
 #: kind, what a text must contain, pattern, replacement
 KINDS: tuple[tuple[str, str, re.Pattern, Callable], ...] = (
-    ("secret", "=:", re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key)\b\s*[=:]\s*(?P<q>[\"'])(?P<value>[0-9A-Za-z_\-]{8,256})(?P=q)"), _secret),
+    ("secret", "=:", re.compile(rf"(?i)(?:{_KEYS})(?:[_-]?(?:access|secret|private|auth|api|key|token|value|string|base64|[0-9]{{1,3}}))*[\"']?\s*(?P<sign>=>|:=|[=:])\s*"
+                                r"(?:(?P<q>[\"'])(?P<quoted>[^\s\"']{8,})(?P=q)|(?P<bare>[^\s\"'`<>,;&(){}\[\]=:][^\s\"'`<>,;&(){}\[\]]{7,}+)(?![(\[]))"), _secret),
     ("mail", "@", re.compile(r"(?<![\w.%+-])(?P<name>[\w.%+-]{1,64})@(?P<host>[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24})", re.ASCII), _mail),
-    ("iban", "", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"), _iban),
-    ("phone", "+(", re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\(\d{3}\) ?\d{3}-\d{4}(?!\d)"), _digits("phone")),
-    ("card", "", re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])", re.ASCII), _card),
+    ("iban", "", re.compile(r"(?<![0-9A-Za-z])(?=(?P<run>[A-Z]{2}\d{2}(?: ?[0-9A-Z]){8,30})(?![0-9A-Za-z]))", re.ASCII), _iban),
+    ("phone", "+(-. ", re.compile(r"(?<![\w+])\+(?:\d[ .\-/()]{0,2}){6,14}\d(?!\d)|(?<![\w.+-])(?<!\d[ ])(?P<code>00[1-9])(?:[ .\-/()]{0,2}\d){6,14}(?!\d)"
+                                  r"|(?<![\w+])\(\d{2,5}\) ?\d{3,4}[ .-]?\d{3,4}(?![ .-]?\d)"
+                                  r"|(?<![\w.+-])(?<!\d[ ])(?P<trunk>1[ .-])?\d{3}(?P<s>[ .-])\d{3}(?P=s)\d{4}(?![\w-]|[ .]\d)", re.ASCII), _digits("phone")),
+    ("card", "", re.compile(r"(?<![\w.+-])\d+(?:[ -]\d+)*(?!\w)", re.ASCII), _card),
     ("ssn", "-", re.compile(r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])", re.ASCII), _ssn),
-    ("date", "-/.", re.compile(r"(?<![\w./-])(?:(?P<iso>\d{4}-\d{2}-\d{2})|(?P<dot>\d{2}\.\d{2}\.\d{4})|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)", re.ASCII), _date),
+    ("date", "-/.", re.compile(r"(?<![\w./-])(?:\d{4}(?P<s1>[-/.])\d{1,2}(?P=s1)\d{1,2}|\d{1,2}(?P<s2>[-/.])\d{1,2}(?P=s2)\d{4})(?!T(?!\d\d:)|[^\WT]|[/-]|\.\d)", re.ASCII), _date),
     ("ip", ".", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", re.ASCII), _ipv4),
 )
-_ANY = re.compile(r"[0-9@]|(?i:token|secret|password|passwd|api[_-]?key)")
+_ANY = re.compile(rf"[0-9@]|(?i:{_KEYS})")
 
 
-def pseudonymize_text(text: str, permute: Permute) -> tuple[str, list[tuple[str, int, int]]]:
+def pseudonymize_text(text: str, permute: Permute, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with its finds replaced, and (kind, start, length) of each."""
     if not _ANY.search(text):
         return text, []
@@ -233,8 +337,9 @@ def pseudonymize_text(text: str, permute: Permute) -> tuple[str, list[tuple[str,
         if needs and not any(c in text for c in needs):
             continue
         for m in pattern.finditer(text):
-            new = swap(m, permute)
-            if new is not None:
+            if kind in ("iban", "card"):
+                finds += [(a, order, b, kind, new) for a, b, new in swap(m, permute, back)]
+            elif (new := swap(m, permute)) is not None:
                 finds.append((m.start(), order, m.end(), kind, new))
     out, spans, at = [], [], 0
     for start, _, end, kind, new in sorted(finds):
@@ -257,7 +362,7 @@ def pseudonymize(docs: DataFrame, params: PseudonymParams = PseudonymParams(), i
         cipher = Feistel(params.key)
         permute = cipher.decrypt if params.inverse else cipher.encrypt
         for pdf in batches:
-            got = [pseudonymize_text(t, permute) if isinstance(t, str) else (None, []) for t in pdf["text"]]
+            got = [pseudonymize_text(t, permute, params.inverse) if isinstance(t, str) else (None, []) for t in pdf["text"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text": [g[0] for g in got], "n_finds": [len(g[1]) for g in got],
                                 "finds": [[{"kind": k, "start": s, "length": n} for k, s, n in g[1]] for g in got]},
                                columns=["doc_id", "text", "n_finds", "finds"])
