@@ -85,6 +85,28 @@ def test_ngram_join_of_null_and_repeated_ids(llm, make_docs):
     assert sorted(map(sorted, keys.values())) == sorted(map(sorted, {id(v): v for v in want.values()}.values()))
 
 
+def test_ngram_join_lists_all_links(llm, make_docs, monkeypatch):
+    """Links between all different texts, and their number per document, also where blocks are many."""
+    from rosterkit.llm import ngram_join as N
+    rng = np.random.default_rng(25)
+    texts = family(rng, 30, 60, 3) + family(rng, 12, 90, 9) + family(rng, 2, 50, 1) + family(rng, 3, 70, 1)
+    base = [f"c{i}" for i in range(200)]
+    texts += [" ".join(base[:200 - 9 * i]) for i in range(15)]                                     # a chain over several sizes
+    rows = [(i if i % 7 else None, t) for i, t in enumerate(texts + texts[:5])] + [(900, None), (901, "")]
+    sets = {t: shingles(t) for _, t in rows if t}
+    distinct = {s: min(t for t in sets if sets[t] == s) for s in sets.values() if s}
+    want = {frozenset((distinct[x], distinct[y])): (len(x & y), len(x | y)) for x in distinct for y in distinct if x != y and alike(x, y)}
+    degrees = sorted(sum(alike(shingles(t), shingles(u)) for j, (_, u) in enumerate(rows) if j != i) for i, (_, t) in enumerate(rows))
+    for size in (1024, 4):
+        monkeypatch.setattr(N, "_BLOCK_SETS", size)
+        res = N.ngram_jaccard_join(make_docs(rows))
+        text = {hashlib.md5(t.encode()).hexdigest(): distinct[sets[t]] for t in sets if sets[t]}
+        name = {r.cls: text[r.md5] for r in res.classes.collect()}
+        got = [(frozenset((name[r.a], name[r.b])), (r.both, r.either)) for r in res.links.collect()]
+        assert len(got) == len(want) and dict(got) == want
+        assert sorted(r.n_links for r in res.documents.collect()) == degrees
+
+
 def test_line_dedup_equals_brute_force(llm, make_docs):
     from rosterkit.llm.line_dedup import dedup_lines
     rng = np.random.default_rng(6)
