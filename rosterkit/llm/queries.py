@@ -140,3 +140,43 @@ def _op2(spark, sf_dir):
 def _op8(spark, sf_dir):
     from .pseudonyms import pseudonymize
     return pseudonymize(table(spark, sf_dir, "documents"))
+
+
+_OP12_SQL = """
+WITH lists AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+freq AS (
+  SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, count(*)::HUGEINT AS f
+  FROM places, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE i + m - 1 <= len(w) GROUP BY ALL),
+total AS (SELECT lang, sum(f)::HUGEINT AS n FROM freq WHERE m = 1 GROUP BY lang),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM freq WHERE m >= 2 AND f >= 100),
+cuts AS (
+  SELECT c.lang, c.phrase, c.m, c.f AS a, k, l.f AS l, r.f AS r, n, (1000 * c.f * n) // (l.f * r.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM cand) c
+  JOIN freq l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(c.w, 1, k), ' ')
+  JOIN freq r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(c.w, k + 1, c.m), ' ')
+  JOIN total t ON t.lang = c.lang),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (
+  SELECT * FROM lowest p WHERE NOT EXISTS (
+    SELECT 1 FROM cand q WHERE q.lang = p.lang AND q.m > p.m AND 100 * q.f >= 100 * p.a AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' ')))
+SELECT lang, row_number() OVER w AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score, k
+FROM held WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) QUALIFY rank <= 2000
+"""
+
+
+@query("op12_phrase_collocations", _OP12_SQL)
+def _op12(spark, sf_dir):
+    from .collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_bpe_round_trip")
+def _op13(spark, sf_dir):
+    from .bpe import decode_documents, encode_documents
+    both = decode_documents(encode_documents(table(spark, sf_dir, "documents")))
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
