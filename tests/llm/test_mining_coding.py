@@ -1,0 +1,226 @@
+"""Hard negatives, collocations and byte-pair coding against plain versions."""
+import hashlib
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from helpers_llm import AWKWARD, ascii_lower
+
+VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType())),
+                        T.StructField("label", T.IntegerType()), T.StructField("score", T.StringType())])
+
+
+# ------------------------------------------------------------------ hard negatives
+
+def mined(rows, p):
+    """(anchor, positive, rank, negative, scores) by brute force."""
+    floor = lambda c: int(c) * p.factor if abs(c) >= 2 ** 53 else math.floor(c * p.factor)
+    live = [(k, i, [floor(c) for c in v], lab) for k, (i, v, lab, _) in enumerate(rows)
+            if lab is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    cut = lambda s: max(-2 ** 63, min(2 ** 63 - 1, s))
+    out = []
+    for k, i, v, lab in live:
+        if i is None or i % p.anchor_every:
+            continue
+        pairs = [(sum(a * b for a, b in zip(v, w)), i2 is None, i2 or 0, k2, i2, lab2) for k2, i2, w, lab2 in live if k2 != k and len(w) == len(v)]
+        pairs.sort(key=lambda t: (-t[0], *t[1:4]))
+        for s, _, _, _, pos, _ in [t for t in pairs if t[5] == lab][:p.positives]:
+            fit = [t for t in pairs if t[5] != lab and p.low_percent * s <= 100 * t[0] <= p.high_percent * s]
+            out += [(i, pos, r, t[4], cut(s), cut(t[0])) for r, t in enumerate(fit[:p.negatives], 1)]
+    return sorted(out, key=repr)
+
+
+def found(df, rows, p):
+    from rosterkit.llm.hard_negatives import hard_negatives
+    return sorted((tuple(r) for r in hard_negatives(df(rows), p).collect()), key=repr)
+
+
+@pytest.mark.parametrize("scale", [0.5, 40.0, 2.0 ** 31, 1e30, 1e200])
+def test_hard_negatives_equal_brute_force(llm, scale):
+    from rosterkit.llm.hard_negatives import NegativeParams
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(4, 6))
+    rows = []
+    for k in range(160):
+        c = int(rng.integers(0, 4))
+        v = (centres[c] + rng.normal(scale=0.4, size=6)) * (scale if k % 3 else scale / 50)
+        rows.append((k, v.tolist(), int((c + (k % 9 == 0)) % 4), "x"))
+    rows += [(k + 500, rows[k][1], 3, "x") for k in range(30)]                           # equal vectors of another label
+    rows += [(20, rows[21][1], 0, "x"), (20, rows[21][1], 0, "x"), (None, rows[20][1], 1, "x"), (None, rows[40][1], 2, "x"),
+             (2 ** 60 + 4, rows[20][1], 1, "x"), (2 ** 60 + 1, rows[20][1], 1, "x"), (2 ** 60 + 3, rows[40][1], 1, "x"),
+             (600, None, 1, "x"), (620, [1.0, None, 0, 0, 0, 0], 1, "x"), (640, [float("nan")] + [1.0] * 5, 1, "x"),
+             (660, [float("inf")] + [1.0] * 5, 1, "x"), (680, rows[1][1], None, "x"), (700, [1.0, 2.0], 1, "x"), (701, [1.0, 2.0], 1, "x"),
+             (702, [1.0, 1.75], 2, "x"), (720, [], 1, "x"), (721, [], 1, "x"), (722, [], 2, "x"), (740, [0.0] * 6, 1, "x")]
+    make = lambda r: llm.createDataFrame(r, VECTORS).repartition(3).withColumn("rank", F.lit(9))
+    few = {"anchor_every": 20, "leaf_rows": 4}
+    for p in (NegativeParams(**few, shard_values=300, block_values=40), NegativeParams(**few, low_percent=10, positives=2, negatives=9)):
+        want = mined(rows, p)
+        assert want and found(make, rows, p) == want
+    assert found(make, [], NegativeParams()) == []
+    assert found(make, [(100, [1.0], 1, "x")], NegativeParams()) == []
+
+
+def test_cover_tree_covers_and_separates():
+    from rosterkit.llm.hard_negatives import CoverTree
+    rng = np.random.default_rng(3)
+    x = np.floor(64 * rng.normal(size=(700, 5)))
+    x[200:420] = x[200]
+    tree, order = CoverTree.build(x, 8, 0.8)
+    assert sorted(order.tolist()) == list(range(700))
+    x = x[order]
+    n2 = (x ** 2).sum(axis=1)
+    y = np.column_stack([x, np.sqrt(n2.max() - n2)])
+    seen = 0
+    for i in range(len(tree.pivot)):
+        d = np.linalg.norm(y[tree.lo[i]:tree.hi[i]] - y[tree.pivot[i]], axis=1)
+        assert tree.lo[i] <= tree.pivot[i] < tree.hi[i] and d.max() <= tree.radius[i]
+        if tree.count[i]:
+            kids = range(tree.first[i], tree.first[i] + tree.count[i])
+            assert [tree.lo[k] for k in kids] + [tree.hi[i]] == [tree.lo[i]] + [tree.hi[k] for k in kids]
+            p = y[tree.pivot[list(kids)]]
+            gaps = np.linalg.norm(p[:, None] - p[None], axis=2) + 1e9 * np.eye(len(p))
+            assert gaps.min() > 0.8 * tree.radius[i] - 1e-3 and max(tree.radius[k] for k in kids) <= 0.8 * tree.radius[i] + 1e-3
+        else:
+            seen += tree.hi[i] - tree.lo[i]
+    assert seen == 700
+
+
+# ------------------------------------------------------------------ collocations
+
+TEXTS = T.StructType([T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("n", T.IntegerType())])
+
+
+def phrases(rows, p):
+    """The contract in plain Python, subsumption by its definition."""
+    out = []
+    for lang in {r[1] or "und" if r[1] is not None else "und" for r in rows}:
+        f, n = Counter(), 0
+        for text, la in rows:
+            if (la if la is not None else "und") != lang:
+                continue
+            for piece in re.split(r"[.,;:!?\n-\r]", ascii_lower(text or "")):
+                w = re.findall(r"[^ \t]+", piece)
+                n += len(w)
+                for m in range(1, p.longest + 1):
+                    f.update(tuple(w[i:i + m]) for i in range(len(w) - m + 1))
+        cand = {q: a for q, a in f.items() if len(q) > 1 and a >= p.least}
+        rows_ = []
+        for q, a in cand.items():
+            inside = lambda t: any(t[i:i + len(q)] == q for i in range(len(t) - len(q) + 1))  # noqa: B023, E731
+            if any(len(t) > len(q) and 100 * b >= p.subsumed_percent * a and inside(t) for t, b in cand.items()):
+                continue
+            score, k = min((1000 * a * n // (f[q[:k]] * f[q[k:]]), k) for k in range(1, len(q)))
+            rows_.append((-score, -a, " ".join(q).encode(), f[q[:k]], f[q[k:]], k))
+        out += [(lang, r, ph.decode(), -a, l_, r_, n, -s, k) for r, (s, a, ph, l_, r_, k) in enumerate(sorted(rows_)[:p.top], 1)]
+    return sorted(out)
+
+
+def test_collocations_equal_brute_force(llm):
+    from rosterkit.llm.collocations import CollocationParams, collocations
+    rng = np.random.default_rng(11)
+    vocab = ["the", "The", "of", "sea", "Été", "état", "x\xa0y", "😀", "a-b", "é", "\x1c", "ПРИВЕТ", "\x00", "~"]
+    rows = []
+    for k in range(120):
+        words = rng.choice(vocab, size=int(rng.integers(0, 60)), p=rng.dirichlet(np.ones(len(vocab))))
+        glue = rng.choice([" ", " ", "  ", "\t", ", ", ". ", "\n", "\x0b", " ;", "! "], size=len(words))
+        rows.append(("".join(a + b for a, b in zip(words, glue)) + " new york city hall annex" * int(rng.integers(0, 3)), ["en", "de", None, ""][k % 4]))
+    rows += [(None, "en"), ("", "fr"), (" \t ", None), ("...", "en"), rows[0], rows[0], ("a b c d e f g " * 3000, "long"), ("of the " * 700, "en")]
+    df = llm.createDataFrame([(*r, 1) for r in rows], TEXTS).repartition(4).withColumns({"phrase": F.lit("clash"), "a": F.lit(1)})
+    every = [CollocationParams(least=9), CollocationParams(least=4, chunk_words=50, bytes_per_partition=2000, filter_bits=1 << 16),
+             CollocationParams(least=3, longest=3, subsumed_percent=70, top=7, chunk_words=37)]
+    for p in every:
+        got = sorted(tuple(r) for r in collocations(df, p).collect())
+        assert got == phrases(rows, p) and len(got) > 10
+    assert collocations(df, CollocationParams(least=10 ** 6)).collect() == []
+    assert collocations(df.where("1 = 0")).collect() == []
+
+
+def test_collocation_scores_beyond_64_bits(llm, monkeypatch):
+    """Counts too large for a fixture, put where the stripes would be."""
+    from rosterkit.llm import collocations as c
+    big = 3 * 10 ** 12
+    rows = [("en", "a", "", "a", 1, big), ("en", "b", "", "b", 1, big + 1), ("en", "a b", "a", "b", 2, big - 1)]
+    table = llm.createDataFrame(rows, "lang string, phrase string, prefix string, next string, m int, a long")
+    monkeypatch.setattr(c, "frequent_phrases", lambda *a: (table, llm.createDataFrame([("en", 10 ** 15)], "lang string, n long")))
+    [r] = c.collocations(None).collect()
+    assert r.score == 1000 * (big - 1) * 10 ** 15 // (big * (big + 1))
+
+
+# ------------------------------------------------------------------ byte pairs
+
+@pytest.fixture(scope="module")
+def library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_byte_pairs_equal_the_library(library):
+    from rosterkit.llm.bpe import CodecParams, codec
+    c, rng = codec(CodecParams(remembered=500)), np.random.default_rng(2)
+    parts = ["'", "s", "re", "ll", "'s", "'re", "'LL", "$", "%", " ", "  ", "\n", "\t", "\r", "\xa0", "　", " ", "\x85", "\x1c", "\x00", "é", "é",
+             "ж", "Жд", "中", "文", "1", "²", "½", "a", "The", ".", ",", "😀", "’", "ß", "<|endoftext|>", "<|", "|>", "​", "\U0001d11e"]
+    for _ in range(15_000):
+        s = "".join(rng.choice(parts, size=int(rng.integers(0, 10))))
+        ids = library.encode(s, add_special_tokens=False).ids
+        assert np.frombuffer(c.encode(s), "<u4").tolist() == ids, repr(s)
+        assert c.decode(c.encode(s)) == library.decode(ids, skip_special_tokens=False) == s
+
+
+def test_byte_pairs_of_long_runs(library):
+    from rosterkit.llm.bpe import CodecParams, codec
+    c = codec(CodecParams())
+    for s in (" " * 3_000_000 + "x", "\n" * 200_000 + " " * 200_000, "x" * 400_000, "ab1 " * 300_000, "é😀" * 100_000):
+        assert np.frombuffer(c.encode(s), "<u4").tolist() == library.encode(s, add_special_tokens=False).ids
+
+
+def test_no_token_spans_a_cut(library):
+    from rosterkit.llm.bpe import CodecParams, codec
+    c = codec(CodecParams())
+    text = "The cat's 3rd hat — «déjà vu», 中文 ok?\n\n  Ünder_score <b>x</b>"
+    ends, at = {0}, 0
+    for f in c.fragments(text):
+        at += len(f)
+        ends.add(at)
+    whole, seen = 0, {0}
+    for i in library.encode(text, add_special_tokens=False).ids:
+        whole += len(c.bytes_of[i])
+        seen.add(whole)
+    assert ends <= seen and len(ends) > 15
+
+
+def test_round_trip_query_of_awkward_rows(make_docs, library):
+    from rosterkit.llm.bpe import CodecParams, decode_documents, encode_documents
+    rows = [*AWKWARD, (2 ** 60 + 1, "x" * 9), (2 ** 60 + 3, "<|endoftext|>'tis"), (None, "y z")]
+    docs = make_docs(rows).coalesce(1).withColumns({"ids": F.lit(1), "decoded": F.lit("clash")})
+    for p in (CodecParams(), CodecParams(batch_bytes=8)):
+        got = decode_documents(encode_documents(docs, p), p).collect()
+        assert [(r.doc_id, r.decoded) for r in got] == [(d, t or "") for d, t in rows]
+        assert [np.frombuffer(r.ids, "<u4").tolist() for r in got] == [library.encode(t or "", add_special_tokens=False).ids for _, t in rows]
+        assert all(r.n_tokens * 4 == len(r.ids) for r in got)
+    assert decode_documents(encode_documents(docs.where("1 = 0"))).collect() == []
+    kept = encode_documents(docs.withColumn("lang", F.lit("en")), also=("lang",))
+    assert kept.columns == ["doc_id", "ids", "n_tokens", "lang"]
+
+
+def test_round_trip_query_equals_the_library(llm, library):
+    from helpers_llm import SMALL
+    from rosterkit.llm.queries import QUERIES
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = []
+    for r in llm.read.parquet(f"{SMALL}/documents.parquet").collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        want.append((r.doc_id, len(ids), sha(np.array(ids, "<u4").tobytes()), sha(library.decode(ids, skip_special_tokens=False).encode())))
+    assert sorted(tuple(r) for r in QUERIES["op13_bpe_round_trip"](llm, SMALL).collect()) == sorted(want)
+
+
+def test_other_tokenizers_are_refused(tmp_path):
+    import public_tokenizers
+    from rosterkit.llm.bpe import Codec, CodecParams
+    with pytest.raises(ValueError, match="byte-level"):
+        Codec(CodecParams(tokenizer=public_tokenizers.path("word_bpe_49k.json")))
