@@ -53,7 +53,7 @@ def test_hard_negatives_equal_brute_force(llm, scale):
     rows += [(k + 500, rows[k][1], 3, "x") for k in range(30)]                           # equal vectors of another label
     rows += [(20, rows[21][1], 0, "x"), (20, rows[21][1], 0, "x"), (None, rows[20][1], 1, "x"), (None, rows[40][1], 2, "x"),
              (2 ** 60 + 4, rows[20][1], 1, "x"), (2 ** 60 + 1, rows[20][1], 1, "x"), (2 ** 60 + 3, rows[40][1], 1, "x"),
-             (600, None, 1, "x"), (620, [1.0, None, 0, 0, 0, 0], 1, "x"), (640, [float("nan")] + [1.0] * 5, 1, "x"),
+             (600, None, 1, "x"), (620, [1.0, None, 0.0, 0.0, 0.0, 0.0], 1, "x"), (640, [float("nan")] + [1.0] * 5, 1, "x"),
              (660, [float("inf")] + [1.0] * 5, 1, "x"), (680, rows[1][1], None, "x"), (700, [1.0, 2.0], 1, "x"), (701, [1.0, 2.0], 1, "x"),
              (702, [1.0, 1.75], 2, "x"), (720, [], 1, "x"), (721, [], 1, "x"), (722, [], 2, "x"), (740, [0.0] * 6, 1, "x")]
     make = lambda r: llm.createDataFrame(r, VECTORS).repartition(3).withColumn("rank", F.lit(9))
@@ -98,7 +98,7 @@ TEXTS = T.StructType([T.StructField("text", T.StringType()), T.StructField("lang
 def phrases(rows, p):
     """The contract in plain Python, subsumption by its definition."""
     out = []
-    for lang in {r[1] or "und" if r[1] is not None else "und" for r in rows}:
+    for lang in {"und" if r[1] is None else r[1] for r in rows}:
         f, n = Counter(), 0
         for text, la in rows:
             if (la if la is not None else "und") != lang:
