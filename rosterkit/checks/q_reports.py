@@ -65,13 +65,28 @@ def _safe(x: str, default: str) -> str:
     return f"coalesce(nullif({s}, ''), {X.lit(default)})"
 
 
+def _as_of(rows: str, key: str, events: str, by: str, ordinal: str = "_ordinal", at: str = "2147483647") -> str:
+    """(message_id, att_pos, _ordinal, url) of ``rows``: the url of the latest
+    event of the same key whose (received, message, place) is not after the
+    row's: one sorted pass over rows and events together."""
+    return f"""
+  SELECT message_id, att_pos, _ordinal, url FROM (
+    SELECT message_id, att_pos, _ordinal, side,
+           last_value(url IGNORE NULLS) OVER (PARTITION BY key ORDER BY received, message_id, place, side
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS url
+    FROM (SELECT {by} AS key, received, message_id, CAST(att_pos AS BIGINT) AS place, 0 AS side, url, NULL AS att_pos, NULL AS _ordinal FROM {events}
+          UNION ALL
+          SELECT {key}, received, message_id, CAST({at} AS BIGINT), 1, NULL, att_pos, {ordinal} FROM {rows} WHERE {key} IS NOT NULL))
+  WHERE side = 1"""
+
+
 def _report_cte_text() -> str:
     full = (f"regexp_replace(trim(coalesce(first, '')) || '_' || trim(coalesce(last, '')), '^_+|_+$', '', 'g')")
     fname = (f"replace({_safe(f'nullif({full}, chr(39) || chr(39))', 'Unknown_Student')}, ' ', '_') "
              f"|| '_Resume' || coalesce(nullif(lower(ext), ''), '.pdf')")
     url = f"'{I.REPORT_FILE_BASE}/' || url_encode({fname}) || '?web=1'"
     return cte(rows0=I.REPORT_ROWS, atts0=I.REPORT_ATTS) + f""",
-rows AS (
+rows AS MATERIALIZED (
   SELECT message_id, att_pos, _ordinal, received,
          coalesce(nullif(trim(regexp_extract(body, 'application to ([^\\n]*?) through', 1)), ''),
                   'Unknown_Employer') AS employer,
@@ -84,35 +99,32 @@ rows AS (
          {_pkey(_nb('first_name'), _nb('last_name'), _nb('email'))} AS row_person,
          lower({_nb('resume_file_name')}) AS nk
   FROM rows0),
-atts AS (
+atts AS MATERIALIZED (
   SELECT *, lower(regexp_extract(regexp_extract(att_name, '([^/\\\\]*)$', 1), '^\\.*[^.].*(\\.[^.]*)$', 1)) AS ext
   FROM atts0),
-names AS (
+names AS MATERIALIZED (
   SELECT message_id, att_pos AS data_pos, nk AS name_key, arg_max(row_person, _ordinal) AS person_key,
          arg_max(trim(coalesce(first_name, '')), _ordinal) AS first,
          arg_max(trim(coalesce(last_name, '')), _ordinal) AS last
   FROM rows WHERE nk IS NOT NULL AND row_person IS NOT NULL GROUP BY 1, 2, 3),
-ev AS (
-  SELECT a.message_id, a.att_pos, a.received, a.att_name, a.ext, n.name_key, n.person_key, n.first, n.last,
-         row_number() OVER (PARTITION BY n.person_key, a.received ORDER BY a.message_id, a.att_pos) = 1 AS is_save
+ev AS MATERIALIZED (
+  SELECT a.message_id, a.att_pos, a.received, a.att_name, a.ext, n.data_pos, n.name_key, n.person_key, n.first, n.last,
+         row_number() OVER (PARTITION BY n.person_key, a.received ORDER BY a.message_id, n.data_pos, a.att_pos) = 1 AS is_save
   FROM atts a JOIN names n ON n.message_id = a.message_id AND n.name_key = lower(trim(a.att_name))
   WHERE a.ext IN ('.pdf', '.doc', '.docx')),
-saves AS (SELECT person_key, received, message_id, att_pos, {url} AS url FROM ev WHERE is_save),
-bn AS (SELECT message_id, name_key, max(person_key) AS name_person FROM ev GROUP BY 1, 2),
-r2 AS (SELECT rows.*, bn.name_person FROM rows LEFT JOIN bn ON bn.message_id = rows.message_id AND bn.name_key = rows.nk),
+saves AS MATERIALIZED (SELECT person_key, received, message_id, att_pos, {url} AS url FROM ev WHERE is_save),
+bn AS (SELECT message_id, name_key, arg_max(person_key, struct_pack(d := data_pos, p := att_pos)) AS name_person FROM ev GROUP BY 1, 2),
+r2 AS MATERIALIZED (SELECT rows.*, bn.name_person FROM rows LEFT JOIN bn ON bn.message_id = rows.message_id AND bn.name_key = rows.nk),
 __BY_NAME__
-by_person AS (
-  SELECT r2.message_id, r2.att_pos, r2._ordinal, s.url
-  FROM r2 ASOF JOIN saves s ON s.person_key = r2.row_person
-   AND struct_pack(t := r2.received, m := r2.message_id, p := 2147483647::BIGINT) >= struct_pack(t := s.received, m := s.message_id, p := s.att_pos::BIGINT)),
-linked AS (
+by_person AS MATERIALIZED ({_as_of("r2", "row_person", "saves", "person_key")}),
+linked AS MATERIALIZED (
   SELECT r2.*, CAST(received AS DATE) AS d, coalesce(bn1.url, bp.url, '') AS link
   FROM r2 LEFT JOIN by_name bn1
          ON bn1.message_id = r2.message_id AND bn1.att_pos = r2.att_pos AND bn1._ordinal = r2._ordinal
        LEFT JOIN by_person bp
          ON bp.message_id = r2.message_id AND bp.att_pos = r2.att_pos AND bp._ordinal = r2._ordinal
   WHERE coalesce({_nb('first_name')}, {_nb('last_name')}, {_nb('email')}) IS NOT NULL),
-kept AS (
+kept AS MATERIALIZED (
   SELECT * FROM linked WHERE nullif(lower(trim(email)), '') IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY employer, nullif(lower(trim(email)), '')
                              ORDER BY d DESC, received DESC, message_id DESC, att_pos DESC, _ordinal DESC) = 1
@@ -124,18 +136,12 @@ def _report_cte(scope: str = "message") -> str:
     return text.replace("__BY_NAME__", _GLOBAL_BY_NAME if scope == "global" else _MESSAGE_BY_NAME)
 
 
-_MESSAGE_BY_NAME = """by_name AS (
-  SELECT r2.message_id, r2.att_pos, r2._ordinal, s.url
-  FROM r2 ASOF JOIN saves s ON s.person_key = r2.name_person
-   AND struct_pack(t := r2.received, m := r2.message_id, p := 2147483647::BIGINT) >= struct_pack(t := s.received, m := s.message_id, p := s.att_pos::BIGINT)),"""
-_GLOBAL_BY_NAME = """evl AS (
-  SELECT e.message_id, e.att_pos, e.received, e.name_key, s.url
-  FROM ev e ASOF JOIN saves s ON s.person_key = e.person_key
-   AND struct_pack(t := e.received, m := e.message_id, p := e.att_pos::BIGINT) >= struct_pack(t := s.received, m := s.message_id, p := s.att_pos::BIGINT)),
-by_name AS (
-  SELECT r2.message_id, r2.att_pos, r2._ordinal, el.url
-  FROM r2 ASOF JOIN evl el ON el.name_key = r2.nk
-   AND struct_pack(t := r2.received, m := r2.message_id, p := 2147483647::BIGINT) >= struct_pack(t := el.received, m := el.message_id, p := el.att_pos::BIGINT)),"""
+_MESSAGE_BY_NAME = f"""by_name AS MATERIALIZED ({_as_of("r2", "name_person", "saves", "person_key")}),"""
+_GLOBAL_BY_NAME = f"""evl AS MATERIALIZED (
+  SELECT e.message_id, e.att_pos, e.received, e.name_key, l.url
+  FROM ev e LEFT JOIN ({_as_of("ev", "person_key", "saves", "person_key", "data_pos", "att_pos")}) l
+    ON l.message_id = e.message_id AND l.att_pos = e.att_pos AND l._ordinal = e.data_pos),
+by_name AS MATERIALIZED ({_as_of("r2", "nk", "evl", "name_key")}),"""
 
 
 _REPORT_SELECT = f"""
