@@ -5,7 +5,8 @@ sorted per key with ``last(..., ignorenulls)`` over a running frame.
 With ``slice_by`` the per-key sort is split into slices (e.g. days):
 each slice is solved on its own and the value carried in from earlier
 slices comes from a small per-(key, slice) table, so one hot key is
-spread over many tasks and the answer stays exact.
+spread over many tasks and the answer stays exact. Where a slice itself
+is hot, :func:`asof_join_ranged` splits by range instead.
 """
 
 from __future__ import annotations
@@ -56,20 +57,20 @@ def asof_join(rows: DataFrame, events: DataFrame, by: Sequence[str], order: Sequ
     w = (Window.partitionBy(*[qcol(c) for c in part])
          .orderBy(*[qcol(c).asc_nulls_first() for c in order], F.col(_SIDE))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    got = u.withColumn(_VAL, F.last(F.col(_VAL), ignorenulls=True).over(w)).where(F.col(_SIDE) == 1)
+    seen = u.withColumn(_VAL, F.last(F.col(_VAL), ignorenulls=True).over(w))
+    got = seen.where(F.col(_SIDE) == 1)
 
     if slice_by:
-        # Latest event of each (key, slice); then, per key, the latest of
-        # all earlier slices -- a table with one row per (key, slice).
-        kparts = list(by) + [slice_by]
-        last_in_slice = (ev.groupBy(*[qcol(c) for c in kparts])
-                         .agg(F.max_by(ev_vals, F.struct(*[qcol(o) for o in order])).alias("__last")))
-        row_slices = rows.where(keyed).select(*[qcol(c) for c in kparts]).distinct()
-        slices = row_slices.join(last_in_slice, on=kparts, how="full")
+        # The last state of each (key, slice), from the same exchange; per key
+        # the latest of all earlier slices is carried into the next ones.
+        kparts = [*by, slice_by]
+        ends = (Window.partitionBy(*[qcol(c) for c in part])
+                .orderBy(*[qcol(c).desc_nulls_last() for c in order], F.col(_SIDE).desc()))
+        last = (seen.where(keyed).withColumn("__n", F.row_number().over(ends)).where(F.col("__n") == 1)
+                .select(*[qcol(c) for c in part], F.col(_VAL).alias("__last")))
         ws = (Window.partitionBy(*[qcol(b) for b in by]).orderBy(qcol(slice_by))
               .rowsBetween(Window.unboundedPreceding, -1))
-        carry = slices.select(*[qcol(c) for c in kparts], F.lit(0).cast("long").alias(_SALT),
-                              F.last(F.col("__last"), ignorenulls=True).over(ws).alias("__carry"))
+        carry = last.select(*[qcol(c) for c in part], F.last("__last", ignorenulls=True).over(ws).alias("__carry"))
         got = (got.join(carry, on=kparts + [_SALT], how="left")
                .withColumn(_VAL, F.coalesce(F.col(_VAL), F.col("__carry"))).drop("__carry"))
 
@@ -77,6 +78,48 @@ def asof_join(rows: DataFrame, events: DataFrame, by: Sequence[str], order: Sequ
     return got.select(*[qcol(c) for c in row_cols], *out_vals)
 
 
+def asof_join_ranged(rows: DataFrame, events: DataFrame, by: Sequence[str], order: Sequence[str],
+                     values: Sequence[str], *, parts: int, prefix: str = "") -> DataFrame:
+    """:func:`asof_join` for keys too hot for one task even within a slice:
+    one key may hold nearly all rows, all on one day.
+
+    Rows and events are range-partitioned together by (key, order) into
+    ``parts`` parts of about equal size, whatever the keys are (Spark
+    samples the bounds; rows of one place are told apart by a number, so
+    that even they can be split). The placed table is written, so that a
+    part is the same part for every later read. Each part is solved on its
+    own; the last event of each (part, key), a table of at most a row per
+    part and key, is carried into the parts after it.
+
+    ``parts`` should be some dozens of times the number of tasks that run
+    at once: groups of (part, key) are then dealt evenly."""
+    from ..session import materialize
+    row_cols, by, order = rows.columns, list(by), list(order)
+    keyed = F.lit(True)
+    for b in by:
+        keyed = keyed & qcol(b).isNotNull()
+    vals = F.struct(*[qcol(v).alias(v) for v in values])
+    ev = events.where(keyed).select(*[qcol(c) for c in dict.fromkeys(by + order)], vals.alias(_VAL), F.lit(0).alias(_SIDE), F.lit(0).cast("long").alias(_SALT))
+    u = rows.where(keyed).withColumns({_SIDE: F.lit(1), _SALT: F.monotonically_increasing_id()}).unionByName(ev, allowMissingColumns=True)
+    place = [*[qcol(c) for c in by], *[qcol(c).asc_nulls_first() for c in order], F.col(_SIDE), F.col(_SALT)]
+    u = materialize(u.repartitionByRange(parts, *place).withColumn("__part", F.spark_partition_id()), "asof-placed")
+    inside = [F.col("__part"), *[qcol(b) for b in by]]
+    up_to = Window.partitionBy(*inside).orderBy(*place[len(by):]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = u.withColumn(_VAL, F.last(_VAL, ignorenulls=True).over(up_to))
+    ends = Window.partitionBy(*inside).orderBy(*[qcol(c).desc_nulls_last() for c in order], F.col(_SIDE).desc(), F.col(_SALT).desc())
+    last = (u.where(F.col(_SIDE) == 0).withColumn("__n", F.row_number().over(ends)).where(F.col("__n") == 1)
+            .select(*by, "__part", F.col(_VAL).alias("__last")))
+    # At most a row per part and key, so one key's are few whatever its rows.
+    every = last.unionByName(u.select(*by, "__part").distinct(), allowMissingColumns=True).groupBy(*by, "__part").agg(F.first("__last", ignorenulls=True).alias("__last"))
+    before = Window.partitionBy(*[qcol(b) for b in by]).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = every.select(*by, "__part", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    got = seen.where(F.col(_SIDE) == 1).join(carry, [*by, "__part"], "left")
+    picked = F.coalesce(F.col(_VAL), F.col("__carry"))
+    out = got.select(*[qcol(c) for c in row_cols], *[picked[v].alias(prefix + v) for v in values])
+    types = dict(events.dtypes)
+    return out.unionByName(rows.where(~F.coalesce(keyed, F.lit(False))).select(*[qcol(c) for c in row_cols], *[F.lit(None).cast(types[v]).alias(prefix + v) for v in values]))
+
+
 def last_wins_lookup(df: DataFrame, group: Sequence[str], order: Sequence[str],
                      values: Sequence[str]) -> DataFrame:
     """JN5: per group, the values of the last row in ``order`` (a
