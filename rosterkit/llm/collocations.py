@@ -15,13 +15,15 @@ merged elementwise there. From the merged stripes come
 
 A frequent phrase has frequent parts. So a level only counts phrases whose
 first and last m-1 words passed the level below, by a bit filter over the
-frequent phrases. Its size follows their number up to ``filter_bits``; a
+frequent phrases; from the third level on it reads no more than the runs
+of frequent pairs, which are written once. The filter's size follows their number up to ``filter_bits``; a
 full filter lets more phrases through to the merge, never fewer, and the
-counts stay exact. It is all that is broadcast.
+counts stay exact. It and the hashes of hot prefixes (at most
+``hot_share``) are all that is broadcast.
 
-Hot keys: a prefix' stripe is split into ``salts`` parts by the next word
-(the empty prefix' into as many as there are partitions), and arrives
-summed by chunk. Merging is Spark's hash aggregate, which spills.
+Hot keys: a hot prefix' stripe is split into ``salts`` parts by the next
+word (the empty prefix' into as many as there are partitions), and all
+stripes arrive summed by chunk. Merging is Spark's hash aggregate, which spills.
 
 Arithmetic is that of decimal(38,0): scores are exact while 1000 * a * n
 stays below 10**38 (a Spark error is raised beyond, where ANSI mode is on).
@@ -39,6 +41,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -46,10 +49,9 @@ from pyspark.sql import functions as F
 
 from .common import discard, keep, materialize, shard_count
 
-STRIPES = "lang string, prefix string, salt int, next array<string>, count array<long>"
+STRIPES = "lang string, prefix string, salt int, next string, count array<int>"      # next: words, one space between
 _PIECE_END = b"\xff"                      # in no UTF-8 text
 _LOWER = bytes(ord(chr(b).lower()) if 65 <= b <= 90 else 0xFF if b in b".,;:!?\n\v\f\r" else 32 if b in b" \t" else b for b in range(256))
-_WINDOW = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -58,35 +60,65 @@ class CollocationParams:
     longest: int = 5                      # words of a candidate
     subsumed_percent: int = 100           # dropped if a longer candidate has this share of its count
     top: int = 2000                       # per language
-    salts: int = 8
-    chunk_words: int = 1 << 21            # words a task counts together
+    hot_share: int = 4096                 # a prefix with more than one in so many words is hot (so many are, at most)
+    salts: int = 32                       # parts of a hot prefix' stripe
+    chunk_bytes: int = 16 << 20           # of text that a task counts together
     bytes_per_partition: int = 8 << 20    # of text, behind one partition of a merge
     filter_bits: int = 1 << 25            # 4 MB, the most that is broadcast
 
 
 # ------------------------------------------------------------------ inside a task
 
-class _Ids(dict):
-    """Words of one language to numbers; ``book`` is shared by all languages."""
-
-    def __init__(self, lang: str, book: list):
-        super().__init__({_PIECE_END: 0})
-        self.lang, self.book = lang, book
-
-    def __missing__(self, word: bytes) -> int:
-        self.book.append((self.lang, word))
-        self[word] = n = len(self.book) - 1
-        return n
-
-
-def _words(text: str) -> Iterator[list[bytes]]:
-    """The text's words with marks between its pieces, a window at a time."""
-    raw, at = text.encode().translate(_LOWER), 0
-    while at < len(raw):
-        end = raw.find(b" ", at + _WINDOW) if at + _WINDOW < len(raw) else -1
-        end = len(raw) if end < 0 else end
-        yield raw[at:end].replace(_PIECE_END, b" \xff ").split()
-        at = end
+@dataclass
+class Chunk:
+    """Texts as word numbers by place; ``lang`` is the language's number."""
+    word: np.ndarray
+    lang: np.ndarray
+    words: pa.Array                       # the word of each number
+    langs: list
+    end: int                              # the number that ends a piece
+
+    @classmethod
+    def of(cls, raws: list[bytes], langs: list[str]) -> Chunk:
+        lists = pc.split_pattern(pa.array([r + b" \xff" for r in raws], pa.large_binary()), pattern=b" ")
+        coded = lists.flatten().dictionary_encode()
+        names = list(dict.fromkeys(langs))
+        at = {name: i for i, name in enumerate(names)}
+        lang = np.repeat(np.array([at[x] for x in langs], np.int64), np.diff(lists.offsets.to_numpy()))
+        word = coded.indices.to_numpy().astype(np.int64)
+        told = word != pc.index(coded.dictionary, pa.scalar(b"", pa.large_binary())).as_py()
+        return cls(word[told], lang[told], coded.dictionary, names, pc.index(coded.dictionary, pa.scalar(_PIECE_END, pa.large_binary())).as_py())
+
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of words and of languages."""
+        return _hashed(self.words.to_pylist()), _hashed([x.encode() for x in self.langs])
+
+    def text(self) -> pa.Array:
+        return pc.if_else(pc.equal(self.words, pa.scalar(_PIECE_END, pa.large_binary())), pa.scalar(b"", pa.large_binary()), self.words).cast(pa.string())
+
+
+def _raw(text: str) -> bytes:
+    """Lowered, every piece's end a word of its own."""
+    return text.encode().translate(_LOWER).replace(_PIECE_END, b" \xff ")
+
+
+def _windows(raw: bytes, size: int, overlap: int) -> Iterator[bytes]:
+    """A long text in windows; each begins with the last ``overlap`` words
+    of the one before, so that every phrase of one word more lies in
+    exactly one of them."""
+    at, tail = 0, []
+    while True:
+        end = raw.find(b" ", at + size) if at + size < len(raw) else -1
+        part = b" ".join([*tail, raw[at:] if end < 0 else raw[at:end]])
+        yield part
+        if end < 0:
+            return
+        tail, at = part.rsplit(None, overlap)[-overlap:] if overlap else [], end
+
+
+def _hashed(words: list[bytes]) -> np.ndarray:
+    import xxhash
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -95,14 +127,9 @@ def _mixed(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(29))
 
 
-def _hash_words(book: list) -> np.ndarray:
-    import xxhash
-    return np.array([xxhash.xxh3_64_intdigest(lang.encode() + b"\n" + word) for lang, word in book], np.uint64)
-
-
-def _hash_phrases(words: list[np.ndarray]) -> np.ndarray:
-    """Of word hashes by place (also arrays of them) to one per phrase."""
-    h = np.zeros_like(words[0])
+def _hash_phrases(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
+    """Of hashes of the language and of the words by place, one per phrase."""
+    h = lang
     with np.errstate(over="ignore"):
         for w in words:
             h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + w)
@@ -120,88 +147,138 @@ def _passes(h: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     return ((bitmap[a >> 3] >> (a & 7)) & (bitmap[b >> 3] >> (b & 7)) & 1).astype(bool)
 
 
-def _chunk_stripes(w: np.ndarray, book: list, level: int, salts: int, bitmap: np.ndarray | None) -> pa.RecordBatch | None:
-    """The stripes of one chunk. w: word numbers, 0 at the end of a piece."""
-    hashes, m = _hash_words(book), level
-    n = len(w) - m + 1
-    if n <= 0:
-        return None
-    good = np.ones(n, bool)
+def _phrase_starts(c: Chunk, m: int, bitmap: np.ndarray | None, of_word: np.ndarray, of_lang: np.ndarray) -> np.ndarray:
+    """Whether an m-word phrase whose first and last m-1 words pass begins at each place."""
+    n = max(0, len(c.word) - m + 1)
+    good, inside = np.ones(n, bool), c.word != c.end
     for j in range(m):
-        good &= w[j:n + j] != 0
-    if m > 1:
-        part = _passes(_hash_phrases([hashes[w[j:n + j + 1]] for j in range(m - 1)]), bitmap)
+        good &= inside[j:n + j]
+    if m > 1 and n:
+        part = _passes(_hash_phrases(of_lang[c.lang[:n + 1]], [of_word[c.word[j:n + j + 1]] for j in range(m - 1)]), bitmap)
         good &= part[:n] & part[1:n + 1]
-    at = np.flatnonzero(good)
+    return good
+
+
+def _chunk_stripes(c: Chunk, m: int, bitmap: np.ndarray | None, hot: np.ndarray, salts: int) -> pa.RecordBatch | None:
+    """The stripes of one chunk's m-word phrases."""
+    of_word, of_lang = c.hashes()
+    at, size = np.flatnonzero(_phrase_starts(c, m, bitmap, of_word, of_lang)), len(c.words)
     if len(at) == 0:
         return None
-    lang_of = pa.array([lang for lang, _ in book]).dictionary_encode()
-    lang = lang_of.indices.to_numpy()
-    prefix = lang[w[at]].astype(np.int64)            # numbers of prefixes, the empty one being the language's
+    prefix = c.lang[at]                               # numbers of prefixes, the empty one being the language's
     for j in range(m - 1):
-        _, prefix = np.unique(prefix * len(book) + w[at + j], return_inverse=True)
-    grams, first, count = np.unique(prefix * len(book) + w[at + m - 1], return_index=True, return_counts=True)
-    last = w[at[first] + m - 1]
-    salt = (hashes[last] >> np.uint64(40)).astype(np.int64) % salts
-    prefix = grams // len(book)
-    order = np.lexsort((salt, prefix))
-    at, last, salt, count, prefix = at[first][order], last[order], salt[order], count[order], prefix[order]
+        prefix, _ = pd.factorize(prefix * size + c.word[at + j])
+    gram, grams = pd.factorize(prefix * size + c.word[at + m - 1])
+    count, first = np.bincount(gram, minlength=len(grams)), np.empty(len(grams), np.int64)
+    first[gram[::-1]] = at[::-1]
+    at, prefix = first, grams // size
+    last = c.word[at + m - 1]
+    salt = (of_word[last] >> np.uint64(40)).astype(np.int64) % salts
+    if m > 1:
+        salt *= np.isin(_hash_phrases(of_lang[c.lang[at]], [of_word[c.word[at + j]] for j in range(m - 1)]), hot)
+    order = np.argsort(prefix * salts + salt)
+    at, last, salt, count, prefix = at[order], last[order], salt[order], count[order], prefix[order]
     starts = np.flatnonzero(np.r_[True, (prefix[1:] != prefix[:-1]) | (salt[1:] != salt[:-1])])
-    offsets = pa.array(np.r_[starts, len(at)].astype(np.int32))
-    text = pa.array([word.decode() if k else "" for k, (_, word) in enumerate(book)])
-    heads = [text.take(pa.array(w[at[starts] + j])) for j in range(m - 1)]
+    text, ends = c.text(), np.r_[starts, len(at)]
+    heads = [text.take(pa.array(c.word[at[starts] + j])) for j in range(m - 1)]
     return pa.RecordBatch.from_arrays([
-        lang_of.dictionary.take(pa.array(lang[last[starts]])),
+        pa.array(c.langs).take(pa.array(c.lang[at[starts]])),
         pc.binary_join_element_wise(*heads, " ") if heads else pa.array([""] * len(starts)),
         pa.array(salt[starts].astype(np.int32)),
-        pa.ListArray.from_arrays(offsets, text.take(pa.array(last))),
-        pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int64)))], names=["lang", "prefix", "salt", "next", "count"])
+        pc.binary_join(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), text.take(pa.array(last))), " "),
+        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(count.astype(np.int32)))], names=["lang", "prefix", "salt", "next", "count"])
+
+
+def _chunk_runs(c: Chunk, bitmap: np.ndarray, least: int) -> Iterator[tuple[str, str]]:
+    """(lang, runs of at least ``least`` words whose neighbours all pass as pairs)."""
+    of_word, of_lang = c.hashes()
+    inside = c.word != c.end
+    pair = inside[:-1] & inside[1:] & _passes(_hash_phrases(of_lang[c.lang[:-1]], [of_word[c.word[:-1]], of_word[c.word[1:]]]), bitmap)
+    edge = np.flatnonzero(np.diff(np.r_[False, pair, False].astype(np.int8)))       # first and last word of each run
+    lo, hi = edge[::2], edge[1::2]
+    long = hi - lo + 1 >= least
+    lo, hi = lo[long], hi[long]
+    if len(lo) == 0:
+        return
+    text, size = c.text(), hi - lo + 1
+    at = np.repeat(lo - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+    runs = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), text.take(pa.array(c.word[at]))), " ").to_pylist()
+    for lang in np.unique(c.lang[lo]):
+        yield c.langs[lang], "\n".join([r for r, of in zip(runs, c.lang[lo].tolist()) if of == lang])
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], size: int, overlap: int | None) -> Iterator[Chunk]:
+    """The texts of a task in chunks of about ``size`` bytes; longer texts
+    are cut into overlapping windows, or stay whole (``overlap`` None)."""
+    raws, langs, held = [], [], 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang"), batch.column("text")):
+            raw = _raw(text.as_py())
+            for part in [raw] if overlap is None else _windows(raw, size, overlap):
+                raws.append(part)
+                langs.append(lang.as_py())
+                held += len(part)
+                if held >= size:
+                    yield Chunk.of(raws, langs)
+                    raws, langs, held = [], [], 0
+    if raws:
+        yield Chunk.of(raws, langs)
 
 
 # ------------------------------------------------------------------ on Spark
 
-def stripes(docs: DataFrame, level: int, params: CollocationParams, salts: int, bitmap: bytes | None) -> DataFrame:
+def stripes(docs: DataFrame, level: int, params: CollocationParams, salts: int, bitmap: bytes | None, hot: np.ndarray) -> DataFrame:
     """STRIPES of each chunk; ``docs``: lang, text without nulls."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    shared = docs.sparkSession.sparkContext.broadcast((bitmap, hot))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value and np.frombuffer(shared.value, np.uint8)
-        book, ids, parts, n = [("", b"")], {}, [], 0
+        held, often = shared.value
+        held = held and np.frombuffer(held, np.uint8)
+        for chunk in _chunks(batches, params.chunk_bytes, level - 1):
+            if (out := _chunk_stripes(chunk, level, held, often, salts)) is not None:
+                yield out
 
-        def flush():
-            out = _chunk_stripes(np.concatenate(parts), book, level, salts, held) if parts else None
-            return [] if out is None else [out]
+    return docs.mapInArrow(run, STRIPES)
 
-        for batch in batches:
-            for lang, text in zip(batch.column("lang"), batch.column("text")):
-                lang = lang.as_py()
-                for words in _words(text.as_py()):
-                    d = ids.get(lang) or ids.setdefault(lang, _Ids(lang, book))
-                    parts.append(np.fromiter(map(d.__getitem__, words), np.int64, len(words)))
-                    n += len(words)
-                    if n >= params.chunk_words:                       # the next chunk begins with the last level - 1 words
-                        yield from flush()
-                        tail = np.concatenate(parts)
-                        tail = [book[k][1] if k else _PIECE_END for k in tail[max(0, len(tail) - level + 1):].tolist()]
-                        book, ids = [("", b"")], {}
-                        d = ids.setdefault(lang, _Ids(lang, book))
-                        parts, n = [np.array([d[x] for x in tail], np.int64)], 0
-                parts.append(np.zeros(1, np.int64))
-        yield from flush()
 
-    return docs.mapInArrow(run, STRIPES)
+def frequent_runs(docs: DataFrame, params: CollocationParams, bitmap: bytes) -> DataFrame:
+    """(lang, text): what is left of the texts for phrases of three words and
+    more, the runs in which all pairs of neighbours are frequent."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.frombuffer(shared.value, np.uint8)
+        for chunk in _chunks(batches, params.chunk_bytes, None):
+            for lang, text in _chunk_runs(chunk, held, 3):
+                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([text])], names=["lang", "text"])
+
+    return docs.mapInArrow(run, "lang string, text string")
 
 
 def merged(parts: DataFrame, partitions: int, least: int) -> DataFrame:
     """Stripes merged elementwise: lang, prefix, next, a; what occurs less
     than ``least`` times is summed in entries whose next is null."""
-    entry = F.explode(F.arrays_zip("next", "count")).alias("e")
+    entry = F.explode(F.arrays_zip(F.split("next", " ", -1).alias("next"), "count")).alias("e")
     once = (parts.repartition(partitions, "lang", "prefix", "salt").select("lang", "prefix", "salt", entry)
             .groupBy("lang", "prefix", "salt", F.col("e.next").alias("next")).agg(F.sum("e.count").alias("a")))
     return (once.groupBy("lang", "prefix", "salt", F.when(F.col("a") >= least, F.col("next")).alias("next")).agg(F.sum("a").alias("a"))
             .drop("salt"))
 
 
+def _phrase_hashes(batch: pa.RecordBatch, level: int) -> np.ndarray:
+    words = _hashed([w.encode() for phrase in batch.column("phrase").to_pylist() for w in phrase.split(" ")]).reshape(-1, level)
+    return _hash_phrases(_hashed([lang.encode() for lang in batch.column("lang").to_pylist()]), list(words.T))
+
+
+def hot_prefixes(phrases: DataFrame, level: int, least: int) -> np.ndarray:
+    """Hashes of the phrases that occur more than ``least`` times."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_phrase_hashes(batch, level).view(np.int64))], names=["h"])
+
+    return phrases.where(F.col("a") > least).select("lang", "phrase").mapInArrow(run, "h long").toArrow().column("h").to_numpy().view(np.uint64)
+
+
 def frequent_filter(phrases: DataFrame, level: int, most: int) -> bytes:
     """A bit filter over (lang, phrase), of at most ``most`` bits."""
     size = 1 << 16
@@ -211,10 +288,8 @@ def frequent_filter(phrases: DataFrame, level: int, most: int) -> bytes:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(lang, word.encode()) for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
-                    for word in phrase.split(" ")]
-            h = _hash_words(rows).reshape(-1, level)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_bits(_hash_phrases(list(h.T)), size)))], names=["bit"])
+            h = _phrase_hashes(batch, level)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_bits(h, size)))], names=["bit"])
 
     rows = (phrases.select("lang", "phrase").mapInArrow(run, "bit long").groupBy(F.shiftright("bit", 3).alias("slot"))
             .agg(F.expr("bit_or(shiftleft(1, cast(bit & 7 AS int)))").alias("held")).toArrow())
@@ -231,19 +306,23 @@ def frequent_phrases(docs: DataFrame, params: CollocationParams = CollocationPar
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = shard_count(size, params.bytes_per_partition)
     phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
-    bitmap, levels, n = None, [], None
+    bitmap, hot, levels, n, words = None, np.zeros(0, np.uint64), [], None, 0
     for m in range(1, params.longest + 1):
-        found = merged(stripes(docs, m, params, parts if m == 1 else params.salts, bitmap), parts, params.least)
+        found = merged(stripes(docs, m, params, parts if m == 1 else params.salts, bitmap, hot), parts, params.least)
         if m > 1:
             found = found.where(F.col("next").isNotNull())
         found = materialize(found.select("lang", "prefix", "next", phrase.alias("phrase"), F.lit(m).alias("m"), "a"), f"phrases-{m}")
         if m == 1:
             n = found.groupBy("lang").agg(F.sum("a").alias("n"))
+            words = found.agg(F.coalesce(F.sum("a"), F.lit(0))).first()[0]
         levels.append(found.where(F.col("next").isNotNull()))
         if m < params.longest:
             if levels[-1].isEmpty():
                 break
             bitmap = frequent_filter(levels[-1], m, params.filter_bits)
+            hot = hot_prefixes(levels[-1], m, words // params.hot_share)
+            if m == 2:
+                docs = materialize(frequent_runs(docs, params, bitmap), "phrases-runs")
     out = levels[0]
     for df in levels[1:]:
         out = out.unionByName(df)

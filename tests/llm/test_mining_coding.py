@@ -131,8 +131,8 @@ def test_collocations_equal_brute_force(llm):
         rows.append(("".join(a + b for a, b in zip(words, glue)) + " new york city hall annex" * int(rng.integers(0, 3)), ["en", "de", None, ""][k % 4]))
     rows += [(None, "en"), ("", "fr"), (" \t ", None), ("...", "en"), rows[0], rows[0], ("a b c d e f g " * 3000, "long"), ("of the " * 700, "en")]
     df = llm.createDataFrame([(*r, 1) for r in rows], TEXTS).repartition(4).withColumns({"phrase": F.lit("clash"), "a": F.lit(1)})
-    every = [CollocationParams(least=9), CollocationParams(least=4, chunk_words=50, bytes_per_partition=2000, filter_bits=1 << 16),
-             CollocationParams(least=3, longest=3, subsumed_percent=70, top=7, chunk_words=37)]
+    every = [CollocationParams(least=9), CollocationParams(least=4, chunk_bytes=300, bytes_per_partition=2000, filter_bits=1 << 16, hot_share=20),
+             CollocationParams(least=3, longest=3, subsumed_percent=70, top=7, chunk_bytes=170, hot_share=8, salts=3)]
     for p in every:
         got = sorted(tuple(r) for r in collocations(df, p).collect())
         assert got == phrases(rows, p) and len(got) > 10
