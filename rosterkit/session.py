@@ -65,15 +65,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, partition_by: tuple[str, ...] = ()):
     """Cut lineage by writing ``df`` as a Parquet table in the shared
     checkpoint folder and reading it back.
 
     Preferred over ``Dataset.checkpoint()`` for data that is read again:
     later scans prune columns and push filters into the files, and the
-    stage is never recomputed after an executor is lost. The folder
+    stage is never recomputed after an executor is lost. ``partition_by``
+    splits the files, so that a part is read alone. The folder
     belongs to the run: remove it when the application has ended."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)          # no file of an empty table tells its columns

@@ -23,12 +23,12 @@ from ..plans import reports as P
 
 def _store_batch(base: str, params: P.ReportParams):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = batch.dropDuplicates(["message_id"]).persist()
         try:
             msgs = P.scan_messages(batch, params)
-            P.decode_data_files(P.data_files(msgs, params)).write.mode("overwrite").parquet(f"{base}/decoded/batch={batch_id}")
+            P.decode_data_files(P.data_files(msgs, params)).write.mode("overwrite").partitionBy("kind").parquet(f"{base}/decoded/batch={batch_id}")
             P.attachment_names(msgs, params).write.mode("overwrite").parquet(f"{base}/attachments/batch={batch_id}")
-            P.message_counts(msgs, params).write.mode("overwrite").parquet(f"{base}/counts/batch={batch_id}")
+            P.message_facts(msgs, params).write.mode("overwrite").parquet(f"{base}/messages/batch={batch_id}")
         finally:
             batch.unpersist()
     return write
@@ -50,6 +50,5 @@ def reports_from_store(spark: SparkSession, base: str,
     once = lambda df: df.withColumn("_b", F.rank().over(first)).where("_b = 1").drop("_b", "batch")
     decoded = once(spark.read.parquet(f"{base}/decoded"))
     atts = once(spark.read.parquet(f"{base}/attachments"))
-    counts = spark.read.parquet(f"{base}/counts").drop("batch")
-    counts = counts.agg(*[F.sum(c).cast("long").alias(c) for c in counts.columns])
-    return P.report_run(decoded, atts, counts, params)
+    facts = once(spark.read.parquet(f"{base}/messages"))
+    return P.report_run(decoded, atts, P.stored_counts(facts, decoded), params)

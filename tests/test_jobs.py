@@ -267,7 +267,7 @@ def test_attachment_bytes_are_pruned(spark, tmp_path):
     _messages(spark).write.parquet(path)
     msgs = P.scan_messages(spark.read.parquet(path))
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan(P.attachment_names(msgs)) and "content" not in plan(P.message_counts(msgs))
+    assert "content" not in plan(P.attachment_names(msgs)) and "content" not in plan(P.message_facts(msgs))
     assert "content" in plan(P.data_files(msgs))
 
 
@@ -327,8 +327,10 @@ def test_resume_manifest_bytes(spark):
     msgs = P.scan_messages(_messages(spark))
     rows = P.data_rows(P.decode_data_files(P.data_files(msgs)))
     events, _ = P.resume_events(rows, P.attachment_names(msgs), P.ReportParams(resume_file_base_url="https://f/r"))
-    atts = P.attachment_contents(msgs)
-    got = {r.person_key: (r.target_name, bytes(r.content)) for r in P.resume_manifest(events, atts).collect()}
+    winners = P.resume_manifest(events)
+    assert {tuple(r)[:2] for r in P.attachment_contents(msgs, winners).collect()} == {(r.message_id, r.att_pos) for r in winners.collect()}
+    assert P.attachment_contents(msgs).count() > winners.count()
+    got = {r.person_key: (r.target_name, bytes(r.content)) for r in P.resume_manifest(events, msgs).collect()}
     # Ann re-sent her résumé in a later message: the newer bytes win.
     assert got == {"email:ann@x.edu": ("Ann_Lee_Resume.pdf", b"4"),
                    "email:bob@x.edu": ("Bob_Ray_Resume.pdf", b"2"),
