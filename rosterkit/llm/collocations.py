@@ -62,7 +62,7 @@ class CollocationParams:
     top: int = 2000                       # per language
     hot_share: int = 4096                 # a prefix with more than one in so many words is hot (so many are, at most)
     salts: int = 32                       # parts of a hot prefix' stripe
-    chunk_bytes: int = 16 << 20           # of text that a task counts together
+    chunk_bytes: int = 8 << 20            # of text that a task counts together
     bytes_per_partition: int = 8 << 20    # of text, behind one partition of a merge
     filter_bits: int = 1 << 25            # 4 MB, the most that is broadcast
 
@@ -84,8 +84,8 @@ class Chunk:
         coded = lists.flatten().dictionary_encode()
         names = list(dict.fromkeys(langs))
         at = {name: i for i, name in enumerate(names)}
-        lang = np.repeat(np.array([at[x] for x in langs], np.int64), np.diff(lists.offsets.to_numpy()))
-        word = coded.indices.to_numpy().astype(np.int64)
+        lang = np.repeat(np.array([at[x] for x in langs], np.int32), np.diff(lists.offsets.to_numpy()))
+        word = coded.indices.to_numpy()
         told = word != pc.index(coded.dictionary, pa.scalar(b"", pa.large_binary())).as_py()
         return cls(word[told], lang[told], coded.dictionary, names, pc.index(coded.dictionary, pa.scalar(_PIECE_END, pa.large_binary())).as_py())
 
@@ -165,7 +165,7 @@ def _chunk_stripes(c: Chunk, m: int, bitmap: np.ndarray | None, hot: np.ndarray,
     at, size = np.flatnonzero(_phrase_starts(c, m, bitmap, of_word, of_lang)), len(c.words)
     if len(at) == 0:
         return None
-    prefix = c.lang[at]                               # numbers of prefixes, the empty one being the language's
+    prefix = c.lang[at].astype(np.int64)              # numbers of prefixes, the empty one being the language's
     for j in range(m - 1):
         prefix, _ = pd.factorize(prefix * size + c.word[at + j])
     gram, grams = pd.factorize(prefix * size + c.word[at + m - 1])
@@ -203,8 +203,11 @@ def _chunk_runs(c: Chunk, bitmap: np.ndarray, least: int) -> Iterator[tuple[str,
     text, size = c.text(), hi - lo + 1
     at = np.repeat(lo - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
     runs = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), text.take(pa.array(c.word[at]))), " ").to_pylist()
-    for lang in np.unique(c.lang[lo]):
-        yield c.langs[lang], "\n".join([r for r, of in zip(runs, c.lang[lo].tolist()) if of == lang])
+    of, some = c.lang[lo].tolist(), 1 << 14
+    for lang in set(of):
+        own = [r for r, k in zip(runs, of) if k == lang]
+        for at in range(0, len(own), some):
+            yield c.langs[lang], "\n".join(own[at:at + some])
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], size: int, overlap: int | None) -> Iterator[Chunk]:
@@ -221,6 +224,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int, overlap: int | None) -
                 if held >= size:
                     yield Chunk.of(raws, langs)
                     raws, langs, held = [], [], 0
+                    pa.default_memory_pool().release_unused()
     if raws:
         yield Chunk.of(raws, langs)
 
