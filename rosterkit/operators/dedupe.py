@@ -60,6 +60,23 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def ranked(df: DataFrame, order: Sequence[Column], place: str = "place", parts: int | None = None) -> DataFrame:
+    """``df`` with each row's number (from 1) in ``order``, which
+    outlives a write. Rows are range-partitioned and sorted in their parts;
+    a part's first number is the count of the parts before it (one row a
+    part), so no task sees all rows, as a window without keys would. The
+    placed table is written: its parts are the same for both reads."""
+    from ..session import ensure_checkpoint_dir, materialize
+    ensure_checkpoint_dir(df.sparkSession)
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    part, row = F.spark_partition_id(), F.monotonically_increasing_id()
+    placed = materialize(spread.withColumns({"__part": part, "__row": row.bitwiseAND((1 << 33) - 1)}), "ranked")
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("__part").agg(F.count("*").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    return placed.join(starts, "__part").withColumn(place, F.col("__start") + F.col("__row") + 1).drop("__part", "__row", "__start")
+
+
 def fill_from_first(df: DataFrame, column: str, group: Sequence[str],
                     order: Sequence[Column]) -> DataFrame:
     """blank cells of ``column`` take the first non-blank value of the

@@ -17,8 +17,9 @@ def ship(spark: SparkSession) -> None:
     from pyspark import cloudpickle
 
     from ..operators import schema
-    from . import xlsx_rows
+    from . import layouts, xlsx_rows
     if id(xlsx_rows) not in _SHIPPED:
         cloudpickle.register_pickle_by_value(xlsx_rows)
         cloudpickle.register_pickle_by_value(schema)      # the sheet chooser
+        cloudpickle.register_pickle_by_value(layouts)
         _SHIPPED.add(id(xlsx_rows))
