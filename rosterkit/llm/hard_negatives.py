@@ -12,7 +12,9 @@ becomes a cover tree over norm-augmented rows: one more coordinate,
 sqrt(M^2 - |x|^2), puts all rows at the largest norm M, where a greater
 inner product means a smaller distance. A node's children are centres
 more than ``shrink`` times its radius apart that cover all its rows within
-that distance; its radius is the true distance to its farthest row.
+that distance; a node's radius is the true distance to its farthest row.
+In many dimensions most centres cover next to nothing but themselves:
+those with few rows share leaves of about ``leaf_rows`` rows.
 Anchors are gathered into blocks of bounded size, every block meets every
 shard. The descent takes the node with the highest bound first; q . p plus
 and minus |q| times the radius bound the products of all rows below p, so a
@@ -32,6 +34,7 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -53,7 +56,7 @@ class NegativeParams:
     low_percent: int = 80
     high_percent: int = 100
     shard_values: int = 1 << 18           # numbers in a tree
-    block_values: int = 1 << 15           # numbers in a block of anchors
+    block_values: int = 1 << 17           # numbers in a block of anchors
     leaf_rows: int = 32
     shrink: float = 0.8
 
@@ -95,23 +98,31 @@ class CoverTree:
         nodes, order = [], np.empty(len(x), np.int64)
         while level:
             below, nth = [], at + len(level)
-            for pivot, lo, rows, dist in level:
-                radius = float(dist.max())
+            for own, lo, rows, dist in level:
+                pivot, radius = own, float(dist.max())
                 if len(rows) <= leaf or radius <= 1e-7 * math.sqrt(top2):
                     order[lo:lo + len(rows)] = rows
-                    nodes.append((pivot, lo, lo + len(rows), 0, 0, radius))
+                    nodes.append((own, lo, lo + len(rows), 0, 0, radius))
                     continue
-                first, near, to = nth + len(below), shrink * radius, lo
+                near, kids, few = shrink * radius, [], []
                 while len(rows):
                     inside = dist <= near
                     inside[rows == pivot] = True
-                    below.append((pivot, to, rows[inside], dist[inside]))
-                    to += int(inside.sum())
+                    one = (pivot, rows[inside], dist[inside])
+                    (kids if len(one[1]) > leaf // 2 else few).append(one)
                     rows, dist = rows[~inside], dist[~inside]
                     if len(rows):
                         pivot = rows[0]
                         dist = apart(rows, pivot)
-                nodes.append((below[first - nth][0], lo, to, first, len(below) - (first - nth), radius))
+                for _, group in itertools.groupby(zip(few, itertools.accumulate(len(k[1]) for k in few)), lambda k: k[1] // leaf):
+                    group = [k for k, _ in group]
+                    held = np.concatenate([k[1] for k in group])
+                    kids.append(group[0] if len(group) == 1 else (group[0][0], held, apart(held, group[0][0])))
+                first, to = nth + len(below), lo
+                for p, r, d in kids:
+                    below.append((p, to, r, d))
+                    to += len(r)
+                nodes.append((own, lo, to, first, len(kids), radius))
             level, at = below, nth
         pivot, lo, hi, first, count, radius = map(np.array, zip(*nodes))
         place = np.empty(len(x), np.int64)
