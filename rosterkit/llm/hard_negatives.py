@@ -14,7 +14,7 @@ inner product means a smaller distance. A node's children are centres
 more than ``shrink`` times its radius apart that cover all its rows within
 that distance; a node's radius is the true distance to its farthest row.
 In many dimensions most centres cover next to nothing but themselves:
-those with few rows share leaves of about ``leaf_rows`` rows.
+those with few rows share leaves of up to ``leaf_rows`` rows.
 Anchors are gathered into blocks of bounded size, every block meets every
 shard. The descent takes the node with the highest bound first; q . p plus
 and minus |q| times the radius bound the products of all rows below p, so a
@@ -57,7 +57,7 @@ class NegativeParams:
     high_percent: int = 100
     shard_values: int = 1 << 18           # numbers in a tree
     block_values: int = 1 << 17           # numbers in a block of anchors
-    leaf_rows: int = 32
+    leaf_rows: int = 64
     shrink: float = 0.8
 
 
@@ -114,7 +114,8 @@ class CoverTree:
                     if len(rows):
                         pivot = rows[0]
                         dist = apart(rows, pivot)
-                for _, group in itertools.groupby(zip(few, itertools.accumulate(len(k[1]) for k in few)), lambda k: k[1] // leaf):
+                starts = itertools.accumulate((len(k[1]) for k in few), initial=0)
+                for _, group in itertools.groupby(zip(few, starts), lambda k: k[1] // max(1, leaf // 2)):       # at most a leaf's rows
                     group = [k for k, _ in group]
                     held = np.concatenate([k[1] for k in group])
                     kids.append(group[0] if len(group) == 1 else (group[0][0], held, apart(held, group[0][0])))
