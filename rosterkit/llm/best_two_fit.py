@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, shard_count
+from .common import exact_ids, keep, shard_count, with_text_ids
 from .tokens import coder, cut_pieces
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -44,7 +44,7 @@ def tokenized_pieces(docs: DataFrame, params: PackParams = PackParams(),
         enc = coder(params.ranks)
         for pdf in batches:
             rows = []
-            for doc, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"]):
+            for doc, text in zip(exact_ids(pdf["doc_id"]), pdf["text"]):
                 ids = enc.ids(text)
                 ids.append(params.closing_id)
                 raw = ids.tobytes()
@@ -52,7 +52,7 @@ def tokenized_pieces(docs: DataFrame, params: PackParams = PackParams(),
                     rows.append((doc, k, start, n, zlib.crc32(raw[4 * start:4 * (start + n)])))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
 
-    return keep(docs, doc_id=id_col, text=text_col).mapInPandas(run, PIECES)
+    return with_text_ids(keep(docs, doc_id=id_col, text=text_col)).mapInPandas(run, PIECES)
 
 
 def pack_lengths(lengths: list[int], limit: int) -> list[list[int]]:
@@ -111,7 +111,7 @@ def shards_for(docs: DataFrame, text_col: str, params: PackParams) -> int:
 def pack_pieces(pieces: DataFrame, n_shards: int, limit: int = 2048) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows of PIECES."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable").reset_index(drop=True)
+        pdf = pdf.assign(doc_id=exact_ids(pdf["doc_id"])).sort_values(["doc_id", "piece", "ids_crc32"], kind="stable").reset_index(drop=True)
         lengths = pdf["length"].tolist()
         order, seq, offset = [], [], []
         for b, held in enumerate(pack_lengths(lengths, limit)):
@@ -124,7 +124,7 @@ def pack_pieces(pieces: DataFrame, n_shards: int, limit: int = 2048) -> DataFram
         out = pdf.iloc[order].drop(columns="shard")
         return out.assign(sequence_id=seq, offset=offset)
 
-    return (pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n_shards)).cast("int"))
+    return (with_text_ids(pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n_shards)).cast("int")))
             .groupBy("shard").applyInPandas(run, PACKED))
 
 

@@ -8,13 +8,14 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize as _materialize
 from ..session import shared_path
 
-__all__ = ["WORD", "WHITE", "materialize", "discard", "shared_path", "table", "keep", "shard_count", "ship_package"]
+__all__ = ["WORD", "WHITE", "materialize", "discard", "shared_path", "table", "keep", "with_text_ids", "exact_ids", "shard_count", "ship_package"]
 
 #: A word is a run of anything but ASCII white space (space, \t \n \v \f \r).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,6 +52,17 @@ def keep(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(name) for name, src in columns.items()])
 
 
+def with_text_ids(df: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The ids as texts, on their way into pandas: beside a null, pandas
+    makes doubles of integers, and large ids would be rounded."""
+    return df.withColumn(column, F.col(f"`{column}`").cast("string"))
+
+
+def exact_ids(texts: pd.Series) -> pd.api.extensions.ExtensionArray:
+    """The ids that :func:`with_text_ids` sent, nulls included."""
+    return pd.array([None if t is None else int(t) for t in texts], dtype="Int64")
+
+
 def shard_count(rows: int, rows_per_shard: int) -> int:
     """Shards of about equal size: their number grows with the input,
     what one task holds does not."""

@@ -35,13 +35,13 @@ import datetime as dt
 import hashlib
 import re
 import string
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import keep
+from .common import exact_ids, keep, with_text_ids
 
 
 class Feistel:
@@ -159,23 +159,28 @@ def _card_shape(groups: list[int]) -> bool:
             or groups[:4] == [4] * 4 and (len(groups) == 4 or len(groups) == 5 and groups[4] <= 3))
 
 
-def _cards(run: str) -> list[tuple[int, int]]:
-    """Valid cards in groups of digits: from each group the longest that ends
-    with a group; any groups from the first on, or those that cards have."""
-    groups, out, i = [(m.start(), m.end()) for m in re.finditer(r"\d+", run)], [], 0
-    while i < len(groups):
+_Groups = list[tuple[int, int]]
+_CARD_DIGITS = 19                             # and so as many groups at most
+
+
+def _cards(run: Sequence[str], groups: _Groups, i: int, stop: int) -> list[tuple[int, int]]:
+    """Valid cards (first and last group) that a scan from group ``i`` finds
+    until it reaches ``stop``: from each group the longest that ends with a
+    group; any groups from the run's first on, or those that cards have."""
+    out = []
+    while i < stop:
         ends, total = [], 0
         for j in range(i, len(groups)):
             total += groups[j][1] - groups[j][0]
-            if total > 19:
+            if total > _CARD_DIGITS:
                 break
             if total >= 13:
                 ends.append(j)
         for j in reversed(ends):
-            digits = re.sub(r"\D", "", run[groups[i][0]:groups[j][1]])
+            digits = "".join(c for c in run[groups[i][0]:groups[j][1]] if c.isdigit())
             if ((i == 0 and j == ends[-1] or _card_shape([y - x for x, y in groups[i:j + 1]]))
                     and luhn_digit(digits[:-1]) == digits[-1] and len(set(digits)) > 1):
-                out.append((groups[i][0], groups[j][1]))
+                out.append((i, j))
                 i = j
                 break
         i += 1
@@ -183,16 +188,33 @@ def _cards(run: str) -> list[tuple[int, int]]:
 
 
 def _card(m: re.Match, permute: Permute, back: bool) -> Finds:
+    """Each card of the run swapped, again and again until a scan finds the
+    same cards; to turn back, in reverse. A card's digits matter to no scan
+    step but those of the groups that a card from them could reach it."""
     def swap(shape: str) -> str:
         digits = re.sub(r"\D", "", shape)
-        n = 10 ** (len(digits) - 1)
+        n, abroad = 10 ** (len(digits) - 1), digits.startswith("00")      # as phone numbers do
         while True:
             new = f"{permute('card', n, int(digits[:-1])):0{len(digits) - 1}d}"
             digits = new + luhn_digit(new)
-            if len(set(digits)) > 1:
+            if len(set(digits)) > 1 and digits.startswith("00") == abroad:
                 return _refill(shape, digits)
 
-    return [(m.start() + a, m.start() + b, new) for a, b, new in _settle(m[0], _cards(m[0]), _cards, swap, back)]
+    run, groups = list(m[0]), [(g.start(), g.end()) for g in re.finditer(r"\d+", m[0])]
+    cards = _cards(run, groups, 0, len(groups))
+    for k in reversed(range(len(cards))) if back else range(len(cards)):
+        first, last = cards[k]
+        lo = k
+        while lo and cards[lo - 1][1] >= first - _CARD_DIGITS:
+            lo -= 1
+        start = max(cards[lo - 1][1] + 1 if lo else 0, min(cards[lo][0], first - _CARD_DIGITS))
+        a, b = groups[first][0], groups[last][1]
+        while True:
+            run[a:b] = swap("".join(run[a:b]))
+            if _cards(run, groups, start, last + 1) == cards[lo:k + 1]:
+                break
+    spans = [(groups[i][0], groups[j][1]) for i, j in cards]
+    return [(m.start() + a, m.start() + b, "".join(run[a:b])) for a, b in spans]
 
 
 _IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
@@ -363,9 +385,9 @@ def pseudonymize(docs: DataFrame, params: PseudonymParams = PseudonymParams(), i
         permute = cipher.decrypt if params.inverse else cipher.encrypt
         for pdf in batches:
             got = [pseudonymize_text(t, permute, params.inverse) if isinstance(t, str) else (None, []) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text": [g[0] for g in got], "n_finds": [len(g[1]) for g in got],
+            yield pd.DataFrame({"doc_id": exact_ids(pdf["doc_id"]), "text": [g[0] for g in got], "n_finds": [len(g[1]) for g in got],
                                 "finds": [[{"kind": k, "start": s, "length": n} for k, s, n in g[1]] for g in got]},
                                columns=["doc_id", "text", "n_finds", "finds"])
 
-    return keep(docs, doc_id=id_col, text=text_col).mapInPandas(
+    return with_text_ids(keep(docs, doc_id=id_col, text=text_col)).mapInPandas(
         run, "doc_id long, text string, n_finds long, finds array<struct<kind:string,start:int,length:int>>")

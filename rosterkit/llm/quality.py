@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import exact_ids, keep, with_text_ids
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_lines", "n_upper", "n_digits", "n_punct", "n_bars", "n_distinct")
@@ -101,10 +101,10 @@ def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for pdf in batches:
             out = pd.DataFrame([text_statistics(t if isinstance(t, str) else None) for t in pdf["text"]],
                                columns=columns, dtype="int64")
-            out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").array)
+            out.insert(0, "doc_id", exact_ids(pdf["doc_id"]))
             yield out
 
-    return keep(docs, doc_id=id_col, text=text_col).mapInPandas(run, STATS_SCHEMA)
+    return with_text_ids(keep(docs, doc_id=id_col, text=text_col)).mapInPandas(run, STATS_SCHEMA)
 
 
 # ------------------------------------------------------------------ the forest
@@ -206,7 +206,10 @@ def fit_forest(docs: DataFrame, labels: DataFrame, params: QualityParams = Quali
     share = F.pmod(F.xxhash64("doc_id", F.lit(params.seed)), F.lit(max(1, lab.count()))) < params.fit_rows
     lab = lab.where(share)                                     # bounded, so it may be broadcast
     texts = keep(docs, doc_id=id_col, text=text_col).join(F.broadcast(lab.select("doc_id")), "doc_id", "left_semi")
-    rows = rule_statistics(texts).where(f"n_words >= {params.min_words}").join(F.broadcast(lab), "doc_id").toPandas()
+    # One row of an id that is labelled, however often it is repeated.
+    stats = [F.min(F.struct(*BASE, *EXTRA)).alias("s")]
+    rows = (rule_statistics(texts).where(f"n_words >= {params.min_words}").groupBy("doc_id").agg(*stats).select("doc_id", "s.*")
+            .join(F.broadcast(lab), "doc_id").toPandas())
     if len(rows) < 4:
         return None
     rows = rows.sort_values([*BASE, *EXTRA, "doc_id"]).sample(frac=1, random_state=params.seed)
@@ -227,9 +230,9 @@ def apply_forest(stats: DataFrame, forest: Forest | None, params: QualityParams
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(anomaly=forest.scores(features(pdf)) if len(pdf) else 0.0)
+            yield pdf.assign(doc_id=exact_ids(pdf["doc_id"]), anomaly=forest.scores(features(pdf)) if len(pdf) else 0.0)
 
-    scored = stats.mapInPandas(run, STATS_SCHEMA + ", anomaly double")
+    scored = with_text_ids(stats).mapInPandas(run, STATS_SCHEMA + ", anomaly double")
     return scored.withColumn("base_failed", base).withColumn(
         "kept", ~F.col("base_failed") & (F.col("anomaly") < F.lit(forest.threshold)))
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .best_two_fit import PackParams, shards_for
-from .common import keep
+from .common import exact_ids, keep, with_text_ids
 from .tokens import coder, cut_pieces
 
 SEQUENCES = ("sequence_id long, n_ids int, ids binary, cu_lengths array<int>, positions binary, "
@@ -91,7 +91,7 @@ def id_pieces(docs: DataFrame, params: OutputParams, id_col: str, text_col: str)
         enc = coder(params.ranks)
         for pdf in batches:
             rows, held = [], 0
-            for doc, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"]):
+            for doc, text in zip(exact_ids(pdf["doc_id"]), pdf["text"]):
                 ids = enc.ids(text)
                 ids.append(params.closing_id)
                 ids = np.frombuffer(ids, dtype="<u4")
@@ -106,7 +106,7 @@ def id_pieces(docs: DataFrame, params: OutputParams, id_col: str, text_col: str)
                     rows, held = [], 0
             yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
 
-    return keep(docs, doc_id=id_col, text=text_col).mapInPandas(run, "doc_id long, piece int, length int, ids binary")
+    return with_text_ids(keep(docs, doc_id=id_col, text=text_col)).mapInPandas(run, "doc_id long, piece int, length int, ids binary")
 
 
 def packed_sequences(docs: DataFrame, params: OutputParams = OutputParams(),
@@ -115,7 +115,7 @@ def packed_sequences(docs: DataFrame, params: OutputParams = OutputParams(),
     limit, kind = params.limit, np.dtype(params.id_type)
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece", "ids"], kind="stable").reset_index(drop=True)
+        pdf = pdf.assign(doc_id=exact_ids(pdf["doc_id"])).sort_values(["doc_id", "piece", "ids"], kind="stable").reset_index(drop=True)
         lengths, ids = pdf["length"].tolist(), pdf["ids"].tolist()
         docs_, pieces = pdf["doc_id"].astype(object).where(pdf["doc_id"].notna(), None).tolist(), pdf["piece"].tolist()
         rows = []
@@ -131,8 +131,8 @@ def packed_sequences(docs: DataFrame, params: OutputParams = OutputParams(),
         return pd.DataFrame(rows, columns=["sequence_id", "n_ids", "ids", "cu_lengths", "positions", "doc_ids", "pieces"])
 
     shards = shards_for(docs, text_col, params)
-    return (id_pieces(docs, params, id_col, text_col)
-            .withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids"), F.lit(shards)).cast("int"))
+    return (with_text_ids(id_pieces(docs, params, id_col, text_col)
+                          .withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids"), F.lit(shards)).cast("int")))
             .groupBy("shard").applyInPandas(run, SEQUENCES))
 
 

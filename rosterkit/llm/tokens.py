@@ -25,6 +25,11 @@ def plain(t: str) -> bool:
     return not ("  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[0] in " \n" or t[-1] in " \n" or _ODD.search(t))
 
 
+#: A run of white space that is long for the pattern's look-ahead, which goes
+#: back and forth over it: a stack's frame for each character.
+_LONG_RUN = re.compile("[%s]{256,}" % "".join(re.escape(chr(c)) for c in range(0x3001) if chr(c).isspace() and not 0x1C <= c <= 0x1F))
+
+
 class Coder:
     """Texts to ids. ``ranks``: path of a rank file; None is the public 50k vocabulary."""
 
@@ -41,7 +46,18 @@ class Coder:
         """Unsigned 32-bit ids; special tokens' strings are ordinary text."""
         if not isinstance(text, str) or not text:
             return array("I")
-        return array("I", (self._plain if plain(text) else self._whole).encode_ordinary(text))
+        if plain(text):
+            return array("I", self._plain.encode_ordinary(text))
+        # Of a run before a word the last character belongs to the word or is a
+        # piece alone, and the rest is one piece; at the end the run is one piece.
+        out, at = array("I"), 0
+        for m in _LONG_RUN.finditer(text):
+            end = m.end() - (m.end() < len(text))
+            out.extend(self._whole.encode_ordinary(text[at:m.start()]))
+            out.extend(self._plain.encode_ordinary(text[m.start():end]))
+            at = end
+        out.extend(self._whole.encode_ordinary(text[at:]))
+        return out
 
 
 @lru_cache(maxsize=2)

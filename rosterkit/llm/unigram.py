@@ -28,7 +28,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import keep
+from .common import exact_ids, keep, with_text_ids
 
 MARK = "▁"
 
@@ -121,7 +121,7 @@ def count_tokens(docs: DataFrame, params: UnigramParams = UnigramParams(), id_co
         c = counter(params)
         for pdf in batches:
             got = [c.count(t) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "n_tokens": [g[0] for g in got], "score": [g[1] for g in got]},
+            yield pd.DataFrame({"doc_id": exact_ids(pdf["doc_id"]), "n_tokens": [g[0] for g in got], "score": [g[1] for g in got]},
                                columns=["doc_id", "n_tokens", "score"])
 
-    return keep(docs, doc_id=id_col, text=text_col).mapInPandas(run, "doc_id long, n_tokens long, score double")
+    return with_text_ids(keep(docs, doc_id=id_col, text=text_col)).mapInPandas(run, "doc_id long, n_tokens long, score double")

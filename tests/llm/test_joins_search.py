@@ -248,3 +248,45 @@ def test_pseudonyms_on_the_table(llm, sf):
         for m in re.finditer(r"[\w.]+@[\w.]+\w|(?<![\d.])\d{16}(?!\d)", t):
             if "@" in m[0] or luhn(m[0]):
                 assert m[0] not in r.text
+
+
+def test_many_cards_in_one_run():
+    import random
+    import time
+    from rosterkit.llm import pseudonyms as P
+    rng, key = random.Random(5), P.Feistel(b"k")
+
+    def card():
+        d = rng.choice("3456") + "".join(rng.choice("0123456789") for _ in range(14))
+        d += P.luhn_digit(d)
+        return rng.choice([d, " ".join(d[i:i + 4] for i in range(0, 16, 4)), "-".join(d[i:i + 4] for i in range(0, 16, 4))])
+
+    for _ in range(300):                                                   # cards beside numbers that are none, some equal
+        t = " ".join(rng.choice([card(), str(rng.randint(0, 10 ** rng.randint(1, 19))), "4111 1111 1111 1111"]) for _ in range(rng.randint(1, 8)))
+        out, _ = P.pseudonymize_text(t, key.encrypt)
+        assert P.pseudonymize_text(out, key.decrypt, True)[0] == t and len(out) == len(t)
+    t, start = " ".join(card() for _ in range(20_000)), time.process_time()
+    out, finds = P.pseudonymize_text(t, key.encrypt)
+    assert time.process_time() - start < 30 and len(finds) == 20_000 and out != t
+    assert P.pseudonymize_text(out, key.decrypt, True)[0] == t
+
+
+IDS = [(2 ** 60 + 1, "a b c d e f g h i j k"), (None, "a b c d e f g h i j z"), (2 ** 60 + 3, "a b c d e f g h i j k l"), (2 ** 60 + 5, "pay 4111 1111 1111 1111")]
+
+
+def test_large_ids_beside_a_null_stay_exact(make_docs):
+    from rosterkit.llm.best_two_fit import best_two_fit
+    from rosterkit.llm.ngram_join import JoinParams, ngram_jaccard_join
+    from rosterkit.llm.pseudonyms import pseudonymize
+    from rosterkit.llm.quality import judge_quality, rule_statistics
+    from rosterkit.llm.token_output import packed_sequences
+    from rosterkit.llm.unigram import count_tokens
+    docs, key = make_docs(IDS).coalesce(1), lambda x: (x is None, x or 0)
+    want = sorted((d for d, _ in IDS), key=key)
+    ids = lambda df: sorted((r.doc_id for r in df.collect()), key=key)
+    assert ids(best_two_fit(docs)) == ids(count_tokens(docs)) == ids(pseudonymize(docs)) == ids(rule_statistics(docs)) == want
+    assert sorted((d for r in packed_sequences(docs).collect() for d in r.doc_ids), key=key) == want
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    assert ids(judge_quality(docs, labels)) == want
+    got = {r.doc_id: (r.component_id, r.n_links) for r in ngram_jaccard_join(docs, JoinParams(percent=70)).documents.collect()}
+    assert got == {2 ** 60 + 1: (2 ** 60 + 1, 2), None: (2 ** 60 + 1, 2), 2 ** 60 + 3: (2 ** 60 + 1, 2), 2 ** 60 + 5: (2 ** 60 + 5, 0)}

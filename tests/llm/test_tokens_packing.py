@@ -119,3 +119,13 @@ def test_token_counts_equal_the_library(llm, make_docs):
     own = Counter(ties, memo=2)
     for t in ["abc", "aabbcc", "abcabc cab", "xaxxbzc", "zzz", "abzé", "cba abc bca", "é𝄞"]:
         assert own.count(t)[0] == len(lib.encode(t, add_special_tokens=False).ids), t
+
+
+def test_long_runs_of_white_space_equal_the_library():
+    import public_tokenizers
+    from rosterkit.llm.tokens import coder
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for s in (" " * 3_000_000 + "x", "\n" * 1_500_000 + " " * 1_500_000, "a" + " " * 300 + "\n" * 300 + "b  c", "a" + "\t" * 400 + "b",
+              " " * 256, "x" + " \n" * 200 + " y", "\x1c" * 300 + "z", "\u3000" * 500 + " z"):
+        assert list(coder().ids(s)) == lib.encode(s, add_special_tokens=False).ids
