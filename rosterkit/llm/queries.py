@@ -99,10 +99,29 @@ def _op10(spark, sf_dir):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
-@query("op5_ngram_join")
+_OP5_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))
+                                              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM words),
+classes AS (SELECT doc_id, len(s) AS n, CASE WHEN len(s) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY s) END AS class_id FROM sets),
+shingles AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT c.doc_id, c.n::BIGINT AS n_shingles, c.class_id, (SELECT min(b) FROM reach r WHERE r.a = c.doc_id) AS component_id,
+       (SELECT count(*) FROM links l WHERE l.a = c.doc_id) AS n_links
+FROM classes c
+"""
+
+
+@query("op5_ngram_join", _OP5_SQL)
 def _op5(spark, sf_dir):
     from .ngram_join import ngram_jaccard_join
-    return ngram_jaccard_join(table(spark, sf_dir, "documents")).documents
+    found = ngram_jaccard_join(table(spark, sf_dir, "documents"), links="counts").documents
+    return found.select("doc_id", "n_shingles", "class_id", "component_id", "n_links")
 
 
 _OP6_SQL = """

@@ -50,7 +50,7 @@ def test_ngram_join_equals_brute_force(llm, make_docs):
     rows = [(1000 + i, t) for i, t in enumerate(rng.permutation(texts).tolist())]
     rows += [r for r in AWKWARD if r[0] != 5] + [(5, "one")]
     rows += [(1000, rows[0][1])]                                                                   # a repeated row
-    for params in (JoinParams(), JoinParams(sketch_bits=8)):
+    for params in (JoinParams(), JoinParams(sketch_bits=8), JoinParams(list_rows=2)):
         res = ngram_jaccard_join(make_docs(rows).withColumn("n", F.lit("clash")), params)
         got = sorted(((r.doc_id, r.component_id, r.n_shingles) for r in res.documents.collect()), key=repr)
         want = sorted(((d, c, n) for (d, _), (c, n) in zip(rows, components(rows))), key=repr)
@@ -105,6 +105,8 @@ def test_ngram_join_lists_all_links(llm, make_docs, monkeypatch):
         got = [(frozenset((name[r.a], name[r.b])), (r.both, r.either)) for r in res.links.collect()]
         assert len(got) == len(want) and dict(got) == want
         assert sorted(r.n_links for r in res.documents.collect()) == degrees
+    for params in (N.JoinParams(), N.JoinParams(list_rows=1)):
+        assert sorted(r.n_links for r in N.ngram_jaccard_join(make_docs(rows), params, links="counts").documents.collect()) == degrees
 
 
 def test_line_dedup_equals_brute_force(llm, make_docs):
