@@ -18,8 +18,8 @@ can be turned back; only beside such digits can it differ from the same
 card's elsewhere. Dates keep whether day and month have one digit and
 whether the day is above 12, so that every way to write one day has one
 pseudonym. A secret is one word after a key like ``token`` (``api_key``,
-``client_secret``), quoted or not; if unquoted it has eight or more
-characters and, unless the key's ``=`` touches both, a digit. Secrets
+``client_secret``), quoted or not, of eight or more characters and, if
+unquoted and unless the key's ``=`` touches both, with a digit. Secrets
 without a key, passphrases with gaps, two-digit years and phone numbers
 written without ``+``, ``00``, brackets or 3-3-4 groups are not found.
 Overlapping finds: the one that starts first, then the kind listed first.

@@ -9,7 +9,9 @@ Defined results: null and empty texts have no words and fail the base
 rules; texts are read whole, however long; repeated rows are judged each
 for itself and alike; extra columns are ignored; an empty table gives an
 empty result. Without labelled rows of both kinds there is nothing to
-calibrate on: the forest then rejects nothing and the base rules decide.
+calibrate on: the forest then rejects nothing and the base rules decide;
+under four labelled rows there is no forest (``anomaly`` is null). A
+labelled id counts once, however often its document is repeated.
 """
 
 from __future__ import annotations

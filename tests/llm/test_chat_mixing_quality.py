@@ -162,3 +162,42 @@ def test_quality_edge_cases(llm, make_docs):
     long = make_docs([(1, " ".join(f"w{i}" for i in range(60))), (1, " ".join(f"w{i}" for i in range(60)))])
     assert [g.kept for g in Q.judge_quality(long, labels.limit(0)).collect()] == [True, True]
     assert Q.kept_documents(long, labels.limit(0)).count() == 2
+
+
+def plain_anomaly(forest, row):
+    """The mean path of one row, walked node by node."""
+    total = 0.0
+    for f, s, length in zip(forest.feature, forest.split, forest.length):
+        k = 0
+        while f[k] >= 0:
+            k = 2 * k + (2 if row[f[k]] >= s[k] else 1)
+        total += length[k]
+    n = forest.rows
+    usual = 2 * (sum(1 / i for i in range(1, n))) - 2 * (n - 1) / n                      # harmonic numbers, not their logarithm
+    return 2.0 ** (-total / len(forest.feature) / usual)
+
+
+def test_forest_paths_and_verdicts_equal_brute_force(llm):
+    import numpy as np
+    from rosterkit.llm import quality as Q
+    sf = "/root/testdata/sf0.01"
+    docs, labels = llm.read.parquet(f"{sf}/documents.parquet"), llm.read.parquet(f"{sf}/labels.parquet")
+    forest = Q.fit_forest(docs, labels)
+    stats = Q.rule_statistics(docs).toPandas()
+    x = Q.features(stats)
+    want = np.array([plain_anomaly(forest, r) for r in x])
+    assert np.allclose(forest.scores(x), want, rtol=2e-2)
+    exact = forest.scores(x)
+    judged = {r.doc_id: (r.kept, r.base_failed) for r in Q.judge_quality(docs, labels).collect()}
+    for d, n, again, score in zip(stats["doc_id"], stats["n_words"], stats["n_repeat_words"], exact):
+        failed = bool(n < 50 or 100 * again > 50 * n)
+        assert judged[d] == (not failed and bool(score < forest.threshold), failed)
+
+
+def test_one_labelled_id_repeated_counts_once(llm, make_docs):
+    from rosterkit.llm import quality as Q
+    texts = [(i, " ".join(f"w{i}x{j}" for j in range(55 + i))) for i in range(12)]
+    labels = llm.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    once, often = Q.fit_forest(make_docs(texts), labels), Q.fit_forest(make_docs(texts + [texts[3]] * 40), labels)
+    assert once.threshold == often.threshold and (once.split == often.split).all()
+    assert Q.fit_forest(make_docs(texts[:3]), labels) is None                              # under four rows there is no forest

@@ -129,3 +129,84 @@ def test_long_runs_of_white_space_equal_the_library():
     for s in (" " * 3_000_000 + "x", "\n" * 1_500_000 + " " * 1_500_000, "a" + " " * 300 + "\n" * 300 + "b  c", "a" + "\t" * 400 + "b",
               " " * 256, "x" + " \n" * 200 + " y", "\x1c" * 300 + "z", "\u3000" * 500 + " z"):
         assert list(coder().ids(s)) == lib.encode(s, add_special_tokens=False).ids
+
+
+def naive_best_fit(lengths, limit):
+    bins = []
+    for n in sorted(lengths, reverse=True):
+        fits = [b for b in bins if sum(b) + n <= limit]
+        if fits:
+            max(fits, key=sum).append(n)
+        else:
+            bins.append([n])
+    return bins
+
+
+def naive_best_two_fit(lengths, limit):
+    left, bins, swaps = sorted(lengths, reverse=True), [], 0
+    while left:
+        held, gap = [], limit
+        while (n := next((x for x in left if x <= gap), None)) is not None:
+            held.append(n)
+            left.remove(n)
+            gap -= n
+        if gap and len(held) > 1 and len(left) > 1:
+            out = held[-1]
+            pairs = [(a + b, a, b) for i, a in enumerate(left) for b in left[i + 1:] if out < a + b <= gap + out]
+            if pairs:
+                _, a, b = max(pairs)
+                held[-1:] = [a, b]
+                left.remove(a)
+                left.remove(b)
+                left = sorted([*left, out], reverse=True)
+                swaps += 1
+        bins.append(held)
+    return bins, swaps
+
+
+@pytest.mark.parametrize("limit", [10, 40, 200])
+def test_packers_equal_naive_ones(limit):
+    from rosterkit.llm.best_two_fit import pack_lengths
+    from rosterkit.llm.token_output import best_fit_decreasing
+    rng, swaps = np.random.default_rng(limit), 0
+    for k in range(60):
+        lengths = rng.integers(1, limit + 1 if k % 2 else max(3, limit // 3), int(rng.integers(0, 50))).tolist()
+        own = [[lengths[i] for i in b] for b in best_fit_decreasing(lengths, limit)]
+        assert sorted(map(sum, own)) == sorted(map(sum, naive_best_fit(lengths, limit)))
+        two = [[lengths[i] for i in b] for b in pack_lengths(lengths, limit)]
+        want, n = naive_best_two_fit(lengths, limit)
+        assert two == want
+        swaps += n
+    assert swaps > 0
+
+
+def test_packed_rows_of_repeated_and_null_ids(make_docs):
+    from rosterkit.llm.token_output import OutputParams, packed_sequences
+    from pyspark.sql import functions as F
+    rows = [(None, "a b"), (None, "a b"), (7, "c"), (7, "c"), (7, "d e f"), (2 ** 60 + 1, "g")]
+    docs = make_docs(rows).withColumns({"ids": F.lit(1), "piece": F.lit("clash"), "shard": F.lit(0)})
+    held = [d for s in packed_sequences(docs, OutputParams(limit=16)).collect() for d in s.doc_ids]
+    assert sorted(held, key=str) == sorted((d for d, _ in rows), key=str)
+
+
+def test_unigram_scores_equal_brute_force(make_docs):
+    from pyspark.sql import functions as F
+    from rosterkit.llm.unigram import MARK, Counter, count_tokens
+    vocab = [("<u>", 0.0), ("a", -1.0), ("b", -1.5), ("ab", -2.25), ("abc", -3.0), ("c", -1.0), ("bc", -2.5), (MARK, -1.0), (MARK + "a", -2.0), ("ca", -0.5)]
+    score = dict(vocab[1:])
+
+    def best(w):
+        if not w:
+            return 0.0
+        ways = [score[w[:k]] + best(w[k:]) for k in range(1, len(w) + 1) if w[:k] in score]
+        return max(ways + ([] if w[0] in score else [-13.0 + best(w[1:])]))
+
+    own, rng = Counter(vocab, memo=3), np.random.default_rng(1)
+    for _ in range(300):
+        t = "".join(rng.choice(list("abcx "), int(rng.integers(1, 10))))
+        words = t.replace(MARK, " ").split(" ")
+        words = words[1:] if words[0] == "" else words
+        assert own.count(t)[1] == pytest.approx(sum(best(MARK + w) for w in words)), t
+    docs = make_docs([(1, "the cat"), (None, "the cat"), (2, None), (3, "the cat " * 50_000)]).withColumns({"n_tokens": F.lit("x"), "score": F.lit("y")})
+    got = {r.doc_id: (r.n_tokens, r.score) for r in count_tokens(docs).collect()}
+    assert got[1] == got[None] and got[2] == (0, 0.0) and got[3][0] > 50_000 and got[3][1] < got[1][1]
