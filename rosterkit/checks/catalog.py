@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import inputs as I
@@ -166,12 +166,10 @@ SELECT email, row_number() OVER (ORDER BY defenseWorkExperiences DESC NULLS LAST
                                           yearsInScaleBeforeGraduation DESC NULLS LAST, _ordinal) AS place
 FROM scored WHERE meetsAllCriteria""")
 def q_candidates_order(spark: SparkSession, sf: str) -> DataFrame:
-    """The place of every candidate, from the order the job gives."""
+    """The place of every candidate, as the job gives it."""
     from ..plans.scorecard import ScorecardParams, candidates, scorecard
     p = ScorecardParams()
-    out = candidates(scorecard(*_score_inputs(spark, sf), p, keep_order=True), p)
-    placed = out.select("email", F.monotonically_increasing_id().alias("i"))
-    return placed.select("email", F.row_number().over(Window.orderBy("i")).cast("long").alias("place"))
+    return candidates(scorecard(*_score_inputs(spark, sf), p, keep_order=True), p, place="place").select("email", "place")
 
 
 @query("q_score_summary", _score_cte() + """

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import is_graduate_degree, student_defense_flag, work_defense_flag
 from ..functions.dates import flexible_date, format_mdy, years_between
 from ..functions.text import email_key, trim_u, upper_code
-from ..operators.dedupe import keep_first
+from ..operators.dedupe import keep_first, ranked
 from ..operators.schema import FieldSpec, qcol, standardize
 
 
@@ -167,11 +167,13 @@ def scorecard(students: DataFrame, degrees: DataFrame, work: DataFrame,
 
 
 def candidates(scored: DataFrame, params: ScorecardParams = ScorecardParams(),
-               sort: bool = True) -> DataFrame:
+               sort: bool = True, place: str | None = None) -> DataFrame:
     """P9 + C12 + T1: students meeting every criterion, strongest first
     (defence work, total work, years; NULLs last; ties in input order),
     internal columns removed. ``scored`` must come from
-    ``scorecard(..., keep_order=True)`` for the input-order tie-break."""
+    ``scorecard(..., keep_order=True)`` for the input-order tie-break.
+    With ``place`` each row carries its number in that order in this
+    column, which a write or a shuffle does not lose."""
     c = scored.where(F.col("meetsAllCriteria"))
     if sort:
         keys = [F.col("defenseWorkExperiences").desc_nulls_last(),
@@ -179,7 +181,7 @@ def candidates(scored: DataFrame, params: ScorecardParams = ScorecardParams(),
                 F.col("yearsInScaleBeforeGraduation").desc_nulls_last()]
         if params.order_column in c.columns:
             keys.append(qcol(params.order_column).asc())
-        c = c.orderBy(*keys)
+        c = ranked(c, keys, place) if place else c.orderBy(*keys)
     drop = [x for x in (*CANDIDATE_HIDDEN, params.order_column) if x in c.columns]
     return c.drop(*drop)
 
