@@ -20,7 +20,7 @@ null source is a source of its own, last in order; equal ids and
 repeated rows are separate documents; extra columns are ignored; an
 empty table (or one without words) takes nothing. A rerun draws the same.
 
-Scale: texts are read once, for their sizes. Offsets inside a source are
+Large inputs: texts are read once, for their sizes. Offsets inside a source are
 counted over hash buckets of bounded size, then over the buckets, so a
 source with a third of all rows is never one task's; slots are ranked
 inside shards, then over shards.
