@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep, materialize, shard_count
+from .vectors import ROWS, Best, Rows, ScoreTexts, as_long, exact_integers, gathered, rows_of, score_bound, scores, sound
 
 
 @dataclass(frozen=True)
@@ -63,16 +64,6 @@ class NegativeParams:
 
 # ------------------------------------------------------------------ the tree
 
-@dataclass
-class Rows:
-    """Rows in tree order (or a block of anchors): keys tell them apart."""
-    keys: np.ndarray
-    ids: np.ndarray
-    has_id: np.ndarray
-    labels: list
-    x: np.ndarray
-
-
 @dataclass
 class CoverTree:
     """Nodes by level. Node i covers rows lo[i]:hi[i]; its children, if any,
@@ -131,40 +122,6 @@ class CoverTree:
         return cls(place[pivot], lo, hi, first, count, radius + 1e-7 * math.sqrt(top2)), order
 
 
-def exact_integers(x: np.ndarray, factor: int, bound: int) -> np.ndarray:
-    """floor(factor * x): doubles holding integers while products of them
-    stay below 2**53 (``bound``), Python's integers beyond."""
-    if bound < 2 ** 53:
-        return np.floor(x * factor)
-    return np.array([[int(c) * factor if abs(c) >= 2 ** 53 else math.floor(c * factor) for c in row] for row in x.tolist()], object).reshape(x.shape)
-
-
-def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products, as 64-bit or Python integers."""
-    if q.dtype != object:
-        return (q @ x.T).astype(np.int64)
-    return q @ x.T if q.shape[1] else np.zeros((len(q), len(x)), object)
-
-
-class Best:
-    """The k best rows of each anchor and window so far, best first."""
-
-    def __init__(self, shape: tuple[int, int], k: int, none: int, kind: type):
-        self.none, self.k = none, k
-        self.score = np.full((*shape, k), none, kind)
-        self.row = np.full((*shape, k), -1)
-
-    def offer(self, who: np.ndarray, j: int, score: np.ndarray, rows: np.ndarray, tie: np.ndarray) -> None:
-        """score: (len(who), len(rows)), ``none`` where a row does not count;
-        tie: place of every row among equal scores."""
-        s = np.concatenate([self.score[who, j], score], axis=1)
-        r = np.concatenate([self.row[who, j], np.broadcast_to(rows, score.shape)], axis=1)
-        for by in (np.where(r < 0, len(tie), tie[r]), None):
-            order = np.argsort(-s if by is None else by, axis=1, kind="stable")
-            s, r = np.take_along_axis(s, order, 1), np.take_along_axis(r, order, 1)
-        self.score[who, j], self.row[who, j] = s[:, :self.k], np.where(s == self.none, -1, r)[:, :self.k]
-
-
 def search(tree: CoverTree, rows: Rows, anchors: Rows, low: np.ndarray, high: np.ndarray, same: bool, k: int,
            factor: int, bound: int) -> Best:
     """The k best rows for every anchor and window (low to high, both
@@ -224,31 +181,12 @@ def search(tree: CoverTree, rows: Rows, anchors: Rows, low: np.ndarray, high: np
 
 # ------------------------------------------------------------------ on Spark
 
-_ROWS = "keys binary, ids binary, has_id binary, labels array<string>, x binary"
 _TREE = ("pivot", "lo", "hi", "first", "count")
 
 
-def _gathered(t: pa.Table, order: np.ndarray | None = None) -> dict:
-    """A group's rows as the binary columns of _ROWS."""
-    t = t.sort_by("key")
-    t = t if order is None else t.take(pa.array(order))
-    ids = t.column("vec_id")
-    x = np.array(t.column("v").to_pylist(), "<f8").reshape(t.num_rows, -1)
-    return {"keys": [t.column("key").to_numpy().astype("<i8").tobytes()], "ids": [ids.fill_null(0).to_numpy().astype("<i8").tobytes()],
-            "has_id": [ids.is_valid().to_numpy().astype("u1").tobytes()], "labels": [t.column("label").to_pylist()], "x": [x.tobytes()]}
-
-
-def _rows(r: dict, end: str = "") -> Rows:
-    keys = np.frombuffer(r["keys" + end], "<i8")
-    return Rows(keys, np.frombuffer(r["ids" + end], "<i8"), np.frombuffer(r["has_id" + end], "u1").astype(bool),
-                r["labels" + end], np.frombuffer(r["x" + end], "<f8").reshape(len(keys), -1))
-
-
 def sound_rows(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    v = keep(vectors, vec_id=id_col, label=label_col, v=vector_col)
-    v = v.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("v").cast("array<double>").alias("v"))
-    finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
-    return v.where(F.col("label").isNotNull() & F.col("v").isNotNull()).where(F.coalesce(finite, F.lit(False)))
+    v = keep(vectors, vec_id=id_col, label=label_col, v=vector_col).withColumn("label", F.col("label").cast("string"))
+    return sound(v.where(F.col("label").isNotNull()))
 
 
 def hard_negatives(vectors: DataFrame, params: NegativeParams = NegativeParams(), id_col: str = "vec_id", vector_col: str = "embedding",
@@ -260,28 +198,24 @@ def hard_negatives(vectors: DataFrame, params: NegativeParams = NegativeParams()
         F.count("*"), F.sum(F.col("dim") + 1), F.sum(F.when(asked, F.col("dim") + 1)), F.max("dim"),
         F.max(F.coalesce(F.array_max(F.transform("v", F.abs)), F.lit(0.0)))).first()
     shards, blocks = shard_count(values or 0, params.shard_values), shard_count(anchor_values or 0, params.block_values)
-    peak = int(peak or 0) * params.factor + params.factor
-    bound = max(1, (dim or 0)) * peak * peak                         # of any score
-    shift = 10 ** len(str(bound))                                    # scores travel as texts that sort like them
-    wide = len(str(shift)) + 1
-    as_text = lambda s: f"{int(s) + shift:0{wide}d}"
-    as_long = lambda s: max(-2 ** 63, min(2 ** 63 - 1, int(s)))
+    bound = score_bound(dim, peak, params.factor)
+    texts = ScoreTexts(bound)
     dealt = lambda name, parts: F.pmod(F.xxhash64("key", F.lit(name)), F.lit(parts)).cast("int").alias(name)
 
     def grow(t: pa.Table) -> pa.Table:
         x = np.array(t.sort_by("key").column("v").to_pylist(), float).reshape(t.num_rows, -1)
         with np.errstate(over="ignore", invalid="ignore"):
             tree, order = CoverTree.build(np.floor(x * params.factor), params.leaf_rows, params.shrink)
-        return pa.table({"dim": t.column("dim").slice(0, 1), "shard": t.column("shard").slice(0, 1), **_gathered(t, order),
+        return pa.table({"dim": t.column("dim").slice(0, 1), "shard": t.column("shard").slice(0, 1), **gathered(t, order),
                          **{c: [getattr(tree, c).astype("<i4").tobytes()] for c in _TREE}, "radius": [tree.radius.astype("<f8").tobytes()]})
 
     def gather(t: pa.Table) -> pa.Table:
-        return pa.table({"dim": t.column("dim").slice(0, 1), "block": t.column("block").slice(0, 1), **_gathered(t)})
+        return pa.table({"dim": t.column("dim").slice(0, 1), "block": t.column("block").slice(0, 1), **gathered(t)})
 
     trees = materialize(rows.select("*", dealt("shard", shards)).groupBy("dim", "shard").applyInArrow(
-        grow, f"dim int, shard int, {_ROWS}, " + "".join(f"{c} binary, " for c in _TREE) + "radius binary"), "negatives-trees")
+        grow, f"dim int, shard int, {ROWS}, " + "".join(f"{c} binary, " for c in _TREE) + "radius binary"), "negatives-trees")
     anchors = materialize(rows.where(asked).select("*", dealt("block", blocks)).groupBy("dim", "block").applyInArrow(
-        gather, f"dim int, block int, {_ROWS}"), "negatives-anchors")
+        gather, f"dim int, block int, {ROWS}"), "negatives-anchors")
 
     def visit(asking: DataFrame, same: bool, k: int) -> DataFrame:
         """Every block of anchors against every tree. ``asking`` has the
@@ -289,7 +223,7 @@ def hard_negatives(vectors: DataFrame, params: NegativeParams = NegativeParams()
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for r in batch.to_pylist():
-                    who, found = _rows(r, "_a"), _rows(r)
+                    who, found = rows_of(r, "_a"), rows_of(r)
                     tree = CoverTree(*(np.frombuffer(r[c], "<i4") for c in _TREE), np.frombuffer(r["radius"], "<f8"))
                     kind = object if bound >= 2 ** 53 else np.int64
                     if same:
@@ -298,7 +232,7 @@ def hard_negatives(vectors: DataFrame, params: NegativeParams = NegativeParams()
                         low, high = np.full((len(who.keys), params.positives), 1, kind), np.full((len(who.keys), params.positives), 0, kind)
                         at = {key: i for i, key in enumerate(who.keys.tolist())}
                         for w in r["windows"]:
-                            s = int(w["place"]) - shift
+                            s = texts.number(w["place"])
                             low[at[w["anchor"]], w["number"] - 1] = -(-params.low_percent * s // 100)
                             high[at[w["anchor"]], w["number"] - 1] = params.high_percent * s // 100
                     best = search(tree, found, who, low, high, same, k, params.factor, bound)
@@ -307,7 +241,7 @@ def hard_negatives(vectors: DataFrame, params: NegativeParams = NegativeParams()
                     yield pa.RecordBatch.from_arrays([
                         pa.array([r["dim"]] * len(i), pa.int32()), pa.array([r["block"]] * len(i), pa.int32()), pa.array(who.keys[i]), pa.array(who.ids[i]),
                         pa.array((j + 1).astype(np.int32)), pa.array(found.keys[hit]), pa.array(found.ids[hit], mask=~found.has_id[hit]),
-                        pa.array([as_text(v) for v in s], pa.string()), pa.array([as_long(v) for v in s], pa.int64())],
+                        pa.array([texts.text(v) for v in s], pa.string()), pa.array([as_long(v) for v in s], pa.int64())],
                         names=["dim", "block", "anchor", "anchor_id", "number", "other", "other_id", "place", "score"])
 
         named = [F.col(c).alias(f"{c}_a") for c in ("keys", "ids", "has_id", "labels", "x")]

@@ -126,12 +126,12 @@ def _op5(spark, sf_dir):
 
 _OP6_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
-  SELECT q.vec_id AS query_id, c.vec_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[]) DESC, c.vec_id) AS rank,
-         list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+  SELECT q.vec_id AS query_id, c.vec_id, row_number() OVER (PARTITION BY q.r ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id) AS rank,
+         list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
 WHERE rank <= 20
 """
 

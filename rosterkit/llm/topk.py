@@ -1,212 +1,191 @@
 """Exact top-k inner-product search by ball trees (operator 6).
 
-Vectors are turned into integers, so scores are exact and ties are real.
-Rows are dealt by a hash of their id over shards of bounded size; each
-shard becomes a ball tree (one binary row). Queries are gathered into
-blocks of bounded size. Every block meets every shard:
-
-1. a probe looks into each tree's most promising leaf only; the k-th best
-   of all probes is a score that every query is sure to reach;
-2. the search then visits a tree's leaves by falling upper bound
-   (q . centre + |q| radius), leaves out those below the current k-th
-   score and raises that score as it finds rows. The k-th score that the
-   probes found is shared by all shards from the start.
-
-Defined results: vectors that are null, empty, hold null or non-finite
-components, or whose integers pass 2**31 take no part, neither as query
-nor as candidate; a null id takes no part; repeated ids count once (the
-vector that sorts first); queries only meet vectors of their own length;
-fewer candidates than k give all; ties go to the smaller id; extra
-columns are ignored; an empty table gives an empty result.
+Vectors become integers, floor(factor * x), so scores are exact and ties
+are real. Rows are dealt by a hash over shards of bounded size; each
+shard becomes a ball tree (one binary row): every node has a centre and
+the distance of its farthest row, and is split at the median along the
+direction between two far rows until a leaf is small enough. Queries are
+gathered into blocks of bounded size, and every block meets every shard.
+
+Branch and bound: of the nodes not yet entered the one with the highest
+bound is next. q . centre + |q| radius bounds all scores below a node, so
+it is left out for each query whose k-th best score so far it can't reach,
+and entered for the others together. The k-th score is shared: a block
+goes through ``chain`` shards one after the other and takes it along.
+
+Defined results: vectors that are null or hold null or non-finite
+components take no part; every other row is a candidate, whatever its id
+(a null id comes last among equal scores, and asks nothing) and however
+often its id is repeated, but a query never meets its own row; queries
+only meet vectors of their own length; fewer candidates than k give all;
+ties go to the smaller id; vectors of any size are scored with exact
+integers, and only the returned score is cut to 64 bits; extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep, materialize, shard_count
+from .vectors import ROWS, Best, Rows, ScoreTexts, as_long, exact_integers, gathered, rows_of, score_bound, scores, sound
 
 
 @dataclass(frozen=True)
 class SearchParams:
     k: int = 20
-    scale: int = 64
+    factor: int = 64
     query_every: int = 20         # queries: ids divisible by this
-    shard_rows: int = 8192
-    block_rows: int = 1024
-    leaf_rows: int = 64
+    shard_values: int = 1 << 19   # numbers in a tree
+    block_values: int = 1 << 16   # numbers in a block of queries
+    leaf_rows: int = 128
+    chain: int = 8                # shards that a block goes through in one task
 
 
 # ------------------------------------------------------------------ the tree
 
-def ball_leaves(x: np.ndarray, leaf: int) -> list[np.ndarray]:
-    """Row numbers of the leaves: split at the median along the direction
-    between two far rows, until a leaf is small enough."""
-    out, todo = [], [np.arange(len(x))]
-    while todo:
-        rows = todo.pop()
-        if len(rows) <= leaf:
-            out.append(rows)
-            continue
-        part = x[rows]
-        far = part[np.argmax(((part - part.mean(axis=0)) ** 2).sum(axis=1))]
-        other = part[np.argmax(((part - far) ** 2).sum(axis=1))]
-        order = np.argsort((part - far) @ (other - far), kind="stable")
-        half = len(rows) // 2
-        todo += [rows[order[half:]], rows[order[:half]]]
-    return out
-
-
 @dataclass
 class BallTree:
-    """Rows in leaf order; a leaf is a stretch of them inside a ball."""
-    ids: np.ndarray
-    x: np.ndarray            # float64 holding integers: products stay exact below 2**53
-    starts: np.ndarray
+    """Nodes by level. Node i covers rows lo[i]:hi[i]; its two children, if
+    any, are nodes kids[i] and kids[i] + 1 (0: a leaf)."""
     centre: np.ndarray
     radius: np.ndarray
+    lo: np.ndarray
+    hi: np.ndarray
+    kids: np.ndarray
 
     @classmethod
-    def build(cls, ids: np.ndarray, x: np.ndarray, leaf: int) -> BallTree:
-        leaves = ball_leaves(x, leaf)
-        order = np.concatenate(leaves)
-        centre = np.array([x[r].mean(axis=0) for r in leaves])
-        radius = np.array([np.sqrt(((x[r] - c) ** 2).sum(axis=1).max()) for r, c in zip(leaves, centre)])
-        return cls(ids[order], x[order], np.cumsum([0, *map(len, leaves)]), centre, radius)
-
-    def bounds(self, q: np.ndarray) -> np.ndarray:
-        """Upper bound of q . x over each leaf; a little slack for rounding."""
-        top = q @ self.centre.T + np.sqrt((q ** 2).sum(axis=1))[:, None] * self.radius[None, :]
-        return top * (1 + 1e-12) + np.abs(top).max(initial=1.0) * 1e-9 + 0.5
-
-
-def _exact(x: np.ndarray, q: np.ndarray) -> bool:
-    return float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * x.shape[1] < 2 ** 53
-
-
-def _scores(q: np.ndarray, x: np.ndarray, exact: bool) -> np.ndarray:
-    if exact:
-        return (q @ x.T).astype(np.int64)
-    return np.array([[sum(int(a) * int(b) for a, b in zip(u, v)) for v in x] for u in q], dtype=np.int64)
-
-
-class Best:
-    """The k best (score, id) of each query so far, best first."""
-
-    def __init__(self, n: int, k: int, floor: np.ndarray):
-        self.k = k
-        self.score = np.full((n, k), np.iinfo(np.int64).min)
-        self.id = np.full((n, k), np.iinfo(np.int64).max)
-        self.floor = floor            # scores below can't be among the k best
-
-    def offer(self, rows: np.ndarray, score: np.ndarray, ids: np.ndarray, own: np.ndarray) -> None:
-        """score: (len(rows), len(ids)); own: the queries' ids."""
-        score = np.where(own[:, None] == ids[None, :], np.iinfo(np.int64).min, score)
-        hit = (score >= np.maximum(self.floor[rows], self.score[rows, -1])[:, None]).any(axis=1)
-        if not hit.any():
-            return
-        rows = rows[hit]
-        s = np.concatenate([self.score[rows], score[hit]], axis=1)
-        i = np.concatenate([self.id[rows], np.broadcast_to(ids, (len(rows), len(ids)))], axis=1)
-        i = np.where(s == np.iinfo(np.int64).min, np.iinfo(np.int64).max, i)
-        order = np.lexsort((i, -s.astype(np.float64) if np.abs(s[s > np.iinfo(np.int64).min]).max(initial=0) < 2 ** 53 else ~s), axis=1)[:, :self.k]
-        self.score[rows], self.id[rows] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
-
-    def kth(self) -> np.ndarray:
-        return np.maximum(self.floor, self.score[:, -1])
-
-
-def search(tree: BallTree, qids: np.ndarray, q: np.ndarray, k: int, floor: np.ndarray, leaves: int | None = None) -> Best:
-    """The k best rows of the tree for each query, among those that reach
-    ``floor``. ``leaves``: stop after so many of the most promising."""
-    best = Best(len(q), k, floor)
-    bounds, exact = tree.bounds(q), _exact(tree.x, q)
-    order = np.argsort(-bounds, axis=1, kind="stable")
-    for rank in range(order.shape[1] if leaves is None else min(leaves, order.shape[1])):
-        at = order[:, rank]
-        live = np.flatnonzero(bounds[np.arange(len(q)), at] >= best.kth())
-        if len(live) == 0:
-            break
-        for leaf in np.unique(at[live]):
-            rows = live[at[live] == leaf]
-            lo, hi = tree.starts[leaf], tree.starts[leaf + 1]
-            best.offer(rows, _scores(q[rows], tree.x[lo:hi], exact), tree.ids[lo:hi], qids[rows])
+    def build(cls, x: np.ndarray, leaf: int) -> tuple[BallTree, np.ndarray]:
+        """The tree, and the order of rows that it is over."""
+        order, nodes, todo = np.empty(len(x), np.int64), [], [(0, np.arange(len(x)))]
+        while todo:
+            below, nth = [], len(nodes) + len(todo)
+            for lo, rows in todo:
+                part = x[rows]
+                centre = part.mean(axis=0)
+                apart = np.sqrt(((part - centre) ** 2).sum(axis=1))
+                radius, kids = apart.max(), 0
+                if len(rows) <= leaf or not np.isfinite(radius) or radius == 0:
+                    order[lo:lo + len(rows)] = rows
+                else:
+                    kids, half, far = nth + len(below), len(rows) // 2, part[np.argmax(apart)]
+                    other = part[np.argmax(((part - far) ** 2).sum(axis=1))]
+                    along = np.argsort((part - far) @ (other - far), kind="stable")
+                    below += [(lo, rows[along[:half]]), (lo + half, rows[along[half:]])]
+                nodes.append((centre, radius, lo, lo + len(rows), kids))
+            todo = below
+        return cls(*(np.array(c) for c in zip(*nodes))), order
+
+    def bounds(self, q: np.ndarray, length: np.ndarray, nodes: slice) -> np.ndarray:
+        """No q . x below a node is above; a little slack for rounding."""
+        top = q @ self.centre[nodes].T
+        off = length[:, None] * self.radius[nodes][None, :]
+        return top + off + 0.5 + 1e-9 * (np.abs(top) + off)
+
+
+def search(tree: BallTree, rows: Rows, queries: Rows, floor: np.ndarray, k: int, factor: int, bound: int) -> Best:
+    """The k best rows of the tree for each query, among those that reach ``floor``."""
+    x, q = exact_integers(rows.x, factor, bound), exact_integers(queries.x, factor, bound)
+    tie = np.empty(len(x), np.int64)
+    tie[np.lexsort((rows.keys, rows.ids, ~rows.has_id))] = np.arange(len(x))
+    none = -(2 * bound + 2) if q.dtype == object else -(2 ** 62)
+    best = Best((len(q), 1), k, none, object if q.dtype == object else np.int64)
+    blind = bound >= 10 ** 200                                       # bounds would leave the range of doubles
+    qf = None if blind else q.astype(float)
+    length = None if blind else np.sqrt((qf ** 2).sum(axis=1))
+    sure = lambda who: np.maximum(best.score[who, 0, -1], floor[who])
+    everyone = np.arange(len(q))
+    bounds = lambda nodes, who: np.zeros((len(who), nodes.stop - nodes.start)) if blind else tree.bounds(qf[who], length[who], nodes)
+    heap = [(0.0, 0, everyone, bounds(slice(0, 1), everyone)[:, 0])]
+    while heap:
+        _, node, who, top = heapq.heappop(heap)
+        if not blind:
+            who = who[top >= sure(who).astype(float)]
+        if len(who) == 0:
+            continue
+        if kids := tree.kids[node]:
+            tops = bounds(slice(kids, kids + 2), who)
+            for c in (0, 1):
+                heapq.heappush(heap, (-float(tops[:, c].max()), int(kids) + c, who, tops[:, c]))
+            continue
+        lo, hi = tree.lo[node], tree.hi[node]
+        s = scores(q[who], x[lo:hi])
+        ok = (s >= sure(who)[:, None]) & (rows.keys[None, lo:hi] != queries.keys[who][:, None])
+        hit = np.flatnonzero(ok.any(axis=1))
+        if len(hit):
+            best.offer(who[hit], 0, np.where(ok[hit], s[hit], none), np.arange(lo, hi), tie)
     return best
 
 
 # ------------------------------------------------------------------ on Spark
 
-def integer_vectors(vectors: DataFrame, params: SearchParams, id_col: str, vector_col: str) -> DataFrame:
-    v = keep(vectors, vec_id=id_col, v=vector_col).select("vec_id", F.col("v").cast("array<double>").alias("v"))
-    sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(F.floor(x * params.scale)) <= 2 ** 31))
-    sound = sound & ~F.exists("v", lambda x: F.abs(x) == float("inf"))
-    return (v.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).where(F.coalesce(sound, F.lit(False)))
-            .select("vec_id", F.transform("v", lambda x: F.floor(x * params.scale).cast("long")).alias("v"))
-            .groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v")))
-
-
-def _blobs(rows: DataFrame, key: str, leaf: int | None) -> DataFrame:
-    """One row per (dim, key): a ball tree, or a block of queries."""
-    def run(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id")
-        ids, x = pdf["vec_id"].to_numpy(np.int64), np.stack(pdf["v"].to_numpy()).astype(np.float64)
-        t = BallTree.build(ids, x, leaf) if leaf else BallTree(ids, x, np.zeros(0, np.int64), np.zeros((0, x.shape[1])), np.zeros(0))
-        return pd.DataFrame({"dim": [k[0]], key: [k[1]], "ids": [t.ids.astype("<i8").tobytes()], "x": [t.x.astype("<i8").tobytes()],
-                             "starts": [t.starts.astype("<i8").tobytes()], "centre": [t.centre.tobytes()], "radius": [t.radius.tobytes()]})
-
-    return rows.groupBy("dim", key).applyInPandas(run, f"dim int, {key} int, ids binary, x binary, starts binary, centre binary, radius binary")
+_TREE = "centre binary, radius binary, lo binary, hi binary, kids binary"
 
 
-def _tree(row, suffix: str = "") -> BallTree:
-    get = lambda name, kind: np.frombuffer(getattr(row, name + suffix), kind)
-    return BallTree(get("ids", "<i8"), get("x", "<i8").reshape(-1, row.dim).astype(np.float64), get("starts", "<i8"),
-                    get("centre", "f8").reshape(-1, row.dim), get("radius", "f8"))
+def _tree(r: dict, dim: int) -> BallTree:
+    ints = lambda c: np.frombuffer(r[c], "<i4")
+    radius = np.frombuffer(r["radius"], "<f8")
+    return BallTree(np.frombuffer(r["centre"], "<f8").reshape(len(radius), dim), radius, ints("lo"), ints("hi"), ints("kids"))
 
 
 def top_k(vectors: DataFrame, params: SearchParams = SearchParams(), id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score for every query id."""
-    k, spark = params.k, vectors.sparkSession
-    rows = materialize(integer_vectors(vectors, params, id_col, vector_col), "topk-vectors")
-    n = rows.count()
-    shards = shard_count(n, params.shard_rows)
-    asked = rows.where(F.col("vec_id") % params.query_every == 0)
-    blocks = shard_count(asked.count(), params.block_rows)
-    dealt = lambda name, parts: F.pmod(F.xxhash64("vec_id", F.lit(name)), F.lit(parts)).cast("int")
-    trees = materialize(_blobs(rows.withColumn("shard", dealt("shard", shards)), "shard", params.leaf_rows), "topk-trees")
-    queries = materialize(_blobs(asked.withColumn("block", dealt("block", blocks)), "block", None)
-                          .select("dim", "block", F.col("ids").alias("ids_q"), F.col("x").alias("x_q")), "topk-queries")
-
-    def visit(floors: DataFrame | None, leaves: int | None) -> DataFrame:
-        """All blocks against all shards; floors: the score each block's queries reach anyhow."""
-        left = queries if floors is None else queries.join(floors, ["dim", "block"], "left")
-        left = left.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for row in pdf.itertuples():
-                    qids = np.frombuffer(row.ids_q, "<i8")
-                    q = np.frombuffer(row.x_q, "<i8").reshape(-1, row.dim).astype(np.float64)
-                    floor = np.full(len(qids), np.iinfo(np.int64).min)
-                    if getattr(row, "floor_ids", None) is not None:
-                        at = {int(i): int(s) for i, s in zip(row.floor_ids, row.floor_scores)}
-                        floor = np.array([at.get(int(i), np.iinfo(np.int64).min) for i in qids], dtype=np.int64)
-                    best = search(_tree(row), qids, q, k, floor, leaves)
-                    keep_ = best.id < np.iinfo(np.int64).max
-                    qi, kk = np.nonzero(keep_)
-                    yield pd.DataFrame({"dim": row.dim, "block": row.block, "query_id": qids[qi], "vec_id": best.id[qi, kk], "score": best.score[qi, kk]})
-
-        pairs = left.join(trees, ["dim", "shard"]).repartition(max(1, shards * blocks), "block", "shard")
-        return pairs.mapInPandas(run, "dim int, block int, query_id long, vec_id long, score long")
-
-    ranked = lambda df: df.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    sure = (ranked(visit(None, 1)).where(F.col("rank") == k)
-            .groupBy("dim", "block").agg(F.collect_list(F.struct("query_id", "score")).alias("f"))
-            .select("dim", "block", F.col("f.query_id").alias("floor_ids"), F.col("f.score").alias("floor_scores")))
-    found = visit(materialize(sure, "topk-floors"), None)
-    return ranked(found).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    """query_id, rank, vec_id, score for every query row."""
+    k = params.k
+    rows = sound(keep(vectors, vec_id=id_col, v=vector_col)).withColumn("label", F.lit(None).cast("string"))
+    rows = materialize(rows.withColumns({"key": F.monotonically_increasing_id(), "dim": F.size("v")}), "topk-rows")
+    asks = (F.col("vec_id") % params.query_every) == 0
+    values, asked, dim, peak = rows.agg(F.sum(F.col("dim") + 1), F.sum(F.when(asks, F.col("dim") + 1)), F.max("dim"),
+                                        F.max(F.coalesce(F.array_max(F.transform("v", F.abs)), F.lit(0.0)))).first()
+    shards, blocks = shard_count(values or 0, params.shard_values), shard_count(asked or 0, params.block_values)
+    bound = score_bound(dim, peak, params.factor)
+    texts = ScoreTexts(bound)
+    dealt = lambda name, parts: F.pmod(F.xxhash64("key", F.lit(name)), F.lit(parts)).cast("int").alias(name)
+
+    def grow(t: pa.Table) -> pa.Table:
+        x = np.array(t.sort_by("key").column("v").to_pylist(), float).reshape(t.num_rows, -1)
+        with np.errstate(over="ignore", invalid="ignore"):
+            tree, order = BallTree.build(np.floor(x * params.factor), params.leaf_rows)
+        ints = {c: [getattr(tree, c).astype("<i4").tobytes()] for c in ("lo", "hi", "kids")}
+        return pa.table({"dim": t.column("dim").slice(0, 1), "shard": t.column("shard").slice(0, 1), **gathered(t, order),
+                         "centre": [tree.centre.astype("<f8").tobytes()], "radius": [tree.radius.astype("<f8").tobytes()], **ints})
+
+    def gather(t: pa.Table) -> pa.Table:
+        return pa.table({"dim": t.column("dim").slice(0, 1), "block": t.column("block").slice(0, 1), **gathered(t)})
+
+    trees = materialize(rows.select("*", dealt("shard", shards)).groupBy("dim", "shard").applyInArrow(grow, f"dim int, shard int, {ROWS}, {_TREE}"), "topk-trees")
+    queries = materialize(rows.where(asks).select("*", dealt("block", blocks)).groupBy("dim", "block").applyInArrow(gather, f"dim int, block int, {ROWS}"), "topk-queries")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = object if bound >= 2 ** 53 else np.int64
+        at, known = None, None                                       # the block at hand, its k best scores so far
+        for batch in batches:
+            for i in range(batch.num_rows):
+                [r] = batch.slice(i, 1).to_pylist()
+                asking, found = rows_of(r, "_q"), rows_of(r)
+                if at != (r["dim"], r["block"], r["link"]):
+                    at, known = (r["dim"], r["block"], r["link"]), np.full((len(asking.keys), k), -(2 * bound + 2) if kind is object else -(2 ** 62), kind)
+                best = search(_tree(r, asking.x.shape[1]), found, asking, known[:, -1], k, params.factor, bound)
+                known = -np.sort(-np.concatenate([known, best.score[:, 0]], axis=1), axis=1)[:, :k]
+                q, _, m = np.nonzero(best.row >= 0)
+                hit, s = best.row[q, 0, m], best.score[q, 0, m].tolist()
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(asking.keys[q]), pa.array(asking.ids[q]), pa.array(found.keys[hit]), pa.array(found.ids[hit], mask=~found.has_id[hit]),
+                    pa.array([texts.text(v) for v in s], pa.string()), pa.array([as_long(v) for v in s], pa.int64())],
+                    names=["query", "query_id", "other", "vec_id", "place", "score"])
+
+    named = [F.col(c).alias(f"{c}_q") for c in ("keys", "ids", "has_id", "labels", "x")]
+    each = queries.select("dim", "block", *named, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    link = (F.col("shard") / params.chain).cast("int")
+    pairs = each.join(trees, ["dim", "shard"]).withColumn("link", link)
+    pairs = pairs.repartition(blocks * shard_count(shards, params.chain), "dim", "block", "link").sortWithinPartitions("dim", "block", "link", "shard")
+    found = pairs.mapInArrow(run, "query long, query_id long, other long, vec_id long, place string, score long")
+    order = Window.partitionBy("query").orderBy(F.desc("place"), F.asc_nulls_last("vec_id"), "other")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")

@@ -134,26 +134,61 @@ def test_line_dedup_equals_brute_force(llm, make_docs):
     assert dedup_lines(make_docs([])).collect() == []
 
 
-def test_top_k_equals_brute_force(llm):
+@pytest.mark.parametrize("size", [1.0, 2.0 ** 26, 2.0 ** 31, 1e30])
+def test_top_k_equals_brute_force(llm, size):
     from rosterkit.llm.topk import SearchParams, top_k
     rng = np.random.default_rng(7)
-    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(400)]
+    rows = [(i, [float(x) for x in rng.normal(size=6) * (size if i % 2 else 1)]) for i in range(300)]
     rows += [(400 + i, [0.25, 0.5, 0.0, 0.0, 0.0, -0.1]) for i in range(60)]                 # ties
-    bad = [(1000, None), (1001, []), (1002, [1.0, None, 0, 0, 0, 0]), (1003, [float("nan")] * 6), (1020, [float("inf")] * 6), (None, [1.0] * 6)]
-    other = [(2000, [1.0, 2.0]), (2001, [3.0, -1.0]), (2002, [1.0, 1.0])]
-    df = llm.createDataFrame([(a, None if b is None else [None if x is None else float(x) for x in b]) for a, b in rows + bad + other + rows[:1]],
-                             "vec_id long, embedding array<double>").withColumn("score", F.lit("clash"))
-    ints = {a: np.floor(64 * np.array(b)).astype(np.int64) for a, b in rows + other}
-    want = set()
-    for q in ints:
-        if q % 20 == 0:
-            best = sorted(((-int(ints[q] @ v), i) for i, v in ints.items() if i != q and len(v) == len(ints[q])))[:5]
-            want |= {(q, r, i, -s) for r, (s, i) in enumerate(best, 1)}
-    for params in (SearchParams(k=5), SearchParams(k=5, shard_rows=50, block_rows=7, leaf_rows=8)):
-        assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(df, params).collect()} == want
+    rows += [(None, rows[20][1]), (None, [1.0] * 6), (20, rows[21][1]), (20, rows[20][1]), rows[0], (2 ** 60 + 1, rows[40][1]), (2 ** 60 + 3, rows[40][1])]
+    rows += [(2000, [1.0, 2.0]), (2001, [3.0, -1.0]), (2002, [1.0, 1.0]), (2020, []), (2021, []), (2040, [0.0] * 6)]
+    bad = [(1000, None), (1002, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (1003, [float("nan")] * 6), (1020, [float("inf")] * 6)]
+    df = llm.createDataFrame(rows + bad, "vec_id long, embedding array<double>").repartition(3).withColumn("score", F.lit("clash"))
+    ints = [(i, [int(x) * 64 if abs(x) >= 2 ** 53 else int(np.floor(64 * x)) for x in v]) for i, v in rows]
+    cut, want = lambda s: max(-2 ** 63, min(2 ** 63 - 1, s)), []
+    for n, (q, u) in enumerate(ints):
+        if q is not None and q % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(u, v)), i is None, i or 0) for m, (i, v) in enumerate(ints) if m != n and len(v) == len(u))[:5]
+            want += [(q, r, None if none else i, cut(-s)) for r, (s, none, i) in enumerate(best, 1)]
+    for params in (SearchParams(k=5), SearchParams(k=5, shard_values=350, block_values=49, leaf_rows=8, chain=3)):
+        assert sorted(map(repr, ((r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(df, params).collect()))) == sorted(map(repr, want))
     assert top_k(df.limit(0)).collect() == []
 
 
+def test_balls_hold_their_rows():
+    from rosterkit.llm.topk import BallTree
+    x = np.floor(64 * np.random.default_rng(3).normal(size=(500, 7)))
+    x[100:260] = x[100]
+    tree, order = BallTree.build(x, 16)
+    assert sorted(order.tolist()) == list(range(500)) and (tree.lo[0], tree.hi[0]) == (0, 500)
+    x = x[order]
+    for i, kid in enumerate(tree.kids):
+        far = np.linalg.norm(x[tree.lo[i]:tree.hi[i]] - tree.centre[i], axis=1).max()
+        assert far <= tree.radius[i] + 1e-9
+        if kid:
+            assert (tree.lo[i], tree.hi[kid], tree.hi[i]) == (tree.lo[kid], tree.lo[kid + 1], tree.hi[kid + 1])
+        else:
+            assert tree.hi[i] - tree.lo[i] <= 16 or tree.radius[i] == 0
+
+
+def test_few_nodes_are_entered_where_vectors_cluster():
+    from rosterkit.llm import topk as T
+    from rosterkit.llm.vectors import Rows
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(40, 8)) * 5
+    x = centres[np.arange(4000) % 40] + rng.normal(size=(4000, 8)) * 0.05
+    tree, order = T.BallTree.build(np.floor(64 * x), 32)
+    rows = Rows(order, order, np.ones(4000, bool), [None] * 4000, x[order])
+    one = Rows(np.array([7]), np.array([7]), np.array([True]), [None], x[7:8])
+    seen, whole = [], T.scores
+    T.scores = lambda q, y: seen.append(len(y)) or whole(q, y)
+    try:
+        T.search(tree, rows, one, np.array([-(2 ** 62)]), 5, 64, 10 ** 9)
+    finally:
+        T.scores = whole
+    assert sum(seen) < 800
+
+
 def test_top_k_query_equals_its_sql(llm):
     import duckdb
     from rosterkit.llm.queries import ORACLES, QUERIES
