@@ -408,3 +408,22 @@ def q_date_text(spark: SparkSession, sf: str) -> DataFrame:
     from ..functions.dates import parse_date_text
     src = derive(spark, sf, _DATE_TEXT_IN.format(shapes=_DATE_SHAPES_SPARK), ("orders",))
     return src.select("o_orderkey", parse_date_text("text").alias("day"))
+
+
+_DATE_WORDS_SPARK = """CASE o_orderkey % 12
+  WHEN 0 THEN replace(date_format(o_orderdate, 'MMM d, yyyy'), 'Sep', 'Sept') WHEN 1 THEN date_format(o_orderdate, 'MM.dd.yyyy')
+  WHEN 2 THEN date_format(o_orderdate, 'MMM-yyyy') WHEN 3 THEN date_format(o_orderdate, 'MMM. d, yyyy')
+  WHEN 4 THEN date_format(o_orderdate, 'E, d MMM yyyy') WHEN 5 THEN date_format(o_orderdate, 'EEEE MMMM d yyyy')
+  WHEN 6 THEN date_format(o_orderdate, 'yyyy.MM.dd') WHEN 7 THEN date_format(o_orderdate, 'MMMM-yyyy')
+  WHEN 8 THEN regexp_replace(date_format(o_orderdate, 'MMMM d, yyyy'), ',', 'th,') WHEN 9 THEN date_format(o_orderdate, 'M.d.yy')
+  WHEN 10 THEN upper(date_format(o_orderdate, 'MMM, yyyy')) ELSE date_format(o_orderdate, 'd.M.yyyy') || ' or so' END"""
+
+
+@query("q_date_words", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 12 = 11 THEN NULL WHEN o_orderkey % 12 IN (2, 7, 10) THEN date_trunc('month', o_orderdate)::DATE
+                        ELSE CAST(o_orderdate AS DATE) END AS day FROM orders""")
+def q_date_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Month names in other spellings, dotted dates, weekdays, months alone."""
+    from ..functions.dates import parse_date_text
+    src = derive(spark, sf, _DATE_TEXT_IN.format(shapes=_DATE_WORDS_SPARK), ("orders",))
+    return src.select("o_orderkey", parse_date_text("text").alias("day"))

@@ -46,6 +46,15 @@ SHORT_YEAR_FORMATS = ("M/d/yy", "d-MMM-yy", "d-MMMM-yy")
 # Text that a list may fit: parsing what cannot fit is costly, a test is one regex.
 DATE_SHAPE = r"^([0-9]{1,4}[-/][0-9A-Za-z]+[-/][0-9]{1,4}|[0-9]{8}|[A-Za-z]+ ([0-9]{1,2},? )?[0-9]{4}|[0-9]{1,2} [A-Za-z]+ [0-9]{4})$"
 SHORT_YEAR_SHAPE = r"[-/][0-9]{2}$"
+# Other ways to write those formats, each with its usual form.
+DATE_SPELLINGS = (
+    (r"(?i)^(mon|tues?|wed(nes)?|thu(rs)?|fri|sat(ur)?|sun)(day)?,? ", ""),
+    (r"(?i)\bsept\b", "Sep"),
+    (r"([A-Za-z]{3,})\.", "$1"),
+    (r"([0-9])(st|nd|rd|th)\b", "$1"),
+    (r"^([0-9]{1,4})\.([0-9]{1,2})\.([0-9]{1,4})$", "$1/$2/$3"),
+    (r"^([A-Za-z]+)[-,] ?([0-9]{4})$", "$1 $2"),
+)
 # A time of day after the date is dropped.
 TIME_OF_DAY = r"[ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?( ?[AaPp][Mm])?$"
 
@@ -110,6 +119,10 @@ def parse_date_text(x: ColumnOrName) -> Column:
     c = _c(x)
     s = F.nullif(trim_u(c.cast("string")), F.lit(""))
     day = F.regexp_replace(s, TIME_OF_DAY, "")
+    usual = day
+    for other, form in DATE_SPELLINGS:
+        usual = F.regexp_replace(usual, other, form)
+    day = F.when(day.rlike("[A-Za-z.]"), usual).otherwise(day)
     # A first number above 12 is the day: put the month first.
     day = F.regexp_replace(day, "^(1[3-9]|[23][0-9])([-/])([0-9]{1,2})([-/])", "$3$2$1$4")
     parse = lambda fmts: F.try_to_date(day, "".join(f"[{f}]" for f in fmts))
