@@ -257,6 +257,16 @@ def q_new_rows(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile(*_recon_inputs(spark, sf), _recon_params()).new_rows
 
 
+@query("q_new_rows_stored", _RECON_CTE + f"\nSELECT {_MASTER_OUT} FROM new_rows")
+def q_new_rows_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """JN2 JN3 X4: the same against the export's keys, kept as bucketed tables."""
+    import uuid
+    from ..plans.reconcile import reconcile, stored_system_keys
+    master, system = _recon_inputs(spark, sf)
+    keys = stored_system_keys(system, f"export_{uuid.uuid4().hex[:12]}", 16, _recon_params())
+    return reconcile(master, keys, _recon_params()).new_rows
+
+
 @query("q_recent_suppressed", _RECON_CTE + f"""
 SELECT trim(trim(coalesce(first_name, '')) || ' ' || trim(coalesce(last_name, ''))) AS "Name",
        trim(email) AS "Email", {X.mdy('app')} AS "Application Date",

@@ -59,6 +59,19 @@ def flag_membership(df: DataFrame, key: Column, keys: DataFrame, flag: str) -> D
             .drop("__mk_real", "__mk", "__k", "__hit"))
 
 
+def store_keys(keys: DataFrame, table: str, buckets: int, path: str | None = None) -> DataFrame:
+    """A key set kept as a table, bucketed and sorted by its key ``k``, for
+    keys that are asked again and again: joins of :func:`flag_membership`
+    with it deal out the other side only. ``path``: a folder that all
+    executors share (default: the session's warehouse); ``buckets`` should
+    follow the number of keys, some millions to a bucket."""
+    kcol = keys.columns[0]
+    rows = keys.select(qcol(kcol).alias("k")).where(F.col("k").isNotNull()).distinct()
+    writer = rows.repartition(buckets, "k").write.mode("overwrite").format("parquet").bucketBy(buckets, "k").sortBy("k")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return keys.sparkSession.table(table)
+
+
 def anti_join(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
     """Rows of ``df`` whose key is not in ``keys`` (bag semantics,
     NULL keys are kept -- unlike ``NOT IN`` or ``EXCEPT``)."""

@@ -26,8 +26,9 @@ from ..functions.dates import days_before, format_mdy, graduation_date, parse_da
     start_from_graduation
 from ..functions.text import display_name, email_key, normalize_status, translate_gender, \
     translate_vertical, trim_u, truncate_text, yes_no_flag
-from ..operators.match import flag_membership, match_reason, name_key, stack_columns
+from ..operators.match import flag_membership, match_reason, name_key, stack_columns, store_keys
 from ..operators.schema import columns_containing, detect_columns, empty_frame, first_containing, qcol
+from ..session import shared_path
 
 
 @dataclass(frozen=True)
@@ -59,33 +60,63 @@ def application_date_column(columns: Sequence[str]) -> str | None:
                             exact_first="application date")
 
 
-def reconcile(master: DataFrame, system: DataFrame,
+@dataclass(frozen=True)
+class SystemKeys:
+    """What :func:`reconcile` asks of a system export: its name keys (with
+    or without the date of birth) and its email keys, one column each."""
+    columns: Mapping[str, str]
+    names: DataFrame
+    names_with_dob: DataFrame | None
+    emails: DataFrame | None
+
+
+def _name_key(m: Mapping[str, str], use_dob: bool, params: ReconcileParams) -> Column:
+    dob = parse_date_text(qcol(m["dob"])) if use_dob else None
+    return name_key(qcol(m["first_name"]), qcol(m["last_name"]), dob, blank_names_match=params.blank_names_match)
+
+
+def _named(columns: Mapping[str, str], side: str) -> Mapping[str, str]:
+    if "first_name" not in columns or "last_name" not in columns:
+        raise ValueError(f"Could not detect first/last name columns in the {side}")
+    return columns
+
+
+def system_keys(system: DataFrame, params: ReconcileParams = ReconcileParams()) -> SystemKeys:
+    """JN2/JN3/X3: the key sets of a system export."""
+    sm = _named(detect_columns(system.columns, overrides=params.system_overrides), "system export")
+    cols = list(params.system_email_columns) if params.system_email_columns is not None else columns_containing(system.columns, "email")
+    emails = stack_columns(system, cols, "e").select(email_key(F.col("e")).alias("k")) if cols else None
+    keys = lambda dob: system.select(_name_key(sm, dob, params).alias("k"))
+    return SystemKeys(sm, keys(False), keys(True) if "dob" in sm else None, emails)
+
+
+def stored_system_keys(system: DataFrame, name: str, buckets: int, params: ReconcileParams = ReconcileParams()) -> SystemKeys:
+    """:func:`system_keys` kept as bucketed tables ``<name>_names`` ... in the
+    shared folder: an export is read once, however many lists are held
+    against it, and its keys are never shuffled again."""
+    keys = system_keys(system, params)
+
+    def kept(df: DataFrame | None, what: str) -> DataFrame | None:
+        return None if df is None else store_keys(df, f"{name}_{what}", buckets, shared_path(system.sparkSession, f"{name}_{what}"))
+
+    return SystemKeys(keys.columns, kept(keys.names, "names"), kept(keys.names_with_dob, "names_with_dob"), kept(keys.emails, "emails"))
+
+
+def reconcile(master: DataFrame, system: DataFrame | SystemKeys,
               params: ReconcileParams = ReconcileParams()) -> ReconcileResult:
-    """M3: new master rows and the recent-suppression report."""
-    mm = detect_columns(master.columns, overrides=params.master_overrides)
-    sm = detect_columns(system.columns, overrides=params.system_overrides)
-    for side, m in (("master list", mm), ("system export", sm)):
-        if "first_name" not in m or "last_name" not in m:
-            raise ValueError(f"Could not detect first/last name columns in the {side}")
-    use_dob = "dob" in mm and "dob" in sm
-
-    def key_of(m: Mapping[str, str]) -> Column:
-        dob = parse_date_text(qcol(m["dob"])) if use_dob else None
-        return name_key(qcol(m["first_name"]), qcol(m["last_name"]), dob,
-                        blank_names_match=params.blank_names_match)
-
-    sys_names = system.select(key_of(sm).alias("k"))
-    flagged = flag_membership(master, key_of(mm), sys_names, "_in_name")
+    """M3: new master rows and the recent-suppression report, against a
+    system export or the keys kept of one."""
+    keys = system if isinstance(system, SystemKeys) else system_keys(system, params)
+    mm, sm = _named(detect_columns(master.columns, overrides=params.master_overrides), "master list"), keys.columns
+    use_dob = "dob" in mm and keys.names_with_dob is not None
+    flagged = flag_membership(master, _name_key(mm, use_dob, params), keys.names_with_dob if use_dob else keys.names, "_in_name")
 
     master_email = mm.get("email")
     if master_email is None:
         found = columns_containing(master.columns, "email")
         master_email = found[0] if found else None
-    sys_email_cols = list(params.system_email_columns) if params.system_email_columns is not None \
-        else columns_containing(system.columns, "email")
-    if master_email and sys_email_cols:
-        sys_emails = stack_columns(system, sys_email_cols, "e").select(email_key(F.col("e")).alias("e"))
-        flagged = flag_membership(flagged, email_key(qcol(master_email)), sys_emails, "_in_email")
+    if master_email and keys.emails is not None:
+        flagged = flag_membership(flagged, email_key(qcol(master_email)), keys.emails, "_in_email")
     else:
         flagged = flagged.withColumn("_in_email", F.lit(False))
 

@@ -103,10 +103,14 @@ def degrees_summary(degrees: DataFrame) -> DataFrame:
         is_graduate_degree(F.col("degreeType")).alias("_grad"),
         flexible_date(F.col("graduationDate"), mode="end", grammar="strict").alias("_gdate"),
     ).where(F.col("_email_key").isNotNull())
-    return d.groupBy("_email_key").agg(
-        F.count(F.lit(1)).alias("totalDegrees"),
-        F.count_if(F.col("_grad")).alias("graduateDegreeCount"),
-        F.array_join(F.array_sort(F.collect_set(F.nullif(F.col("_type"), F.lit("")))), ", ")
+    # Types are counted before they are listed: a key with many rows is
+    # summed on the way, and no task holds more than its distinct types.
+    by_type = d.groupBy("_email_key", "_type").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_grad")).alias("_graduate"), F.max("_gdate").alias("_gdate"))
+    return by_type.groupBy("_email_key").agg(
+        F.sum("_n").alias("totalDegrees"),
+        F.sum("_graduate").alias("graduateDegreeCount"),
+        F.array_join(F.array_sort(F.collect_list(F.nullif(F.col("_type"), F.lit("")))), ", ")
         .alias("degreeTypes"),
         F.max("_gdate").alias("_latest_grad"),
     )

@@ -186,3 +186,36 @@ def test_places_outlive_a_write(spark, tmp_path, parts):
     want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
     assert [r.place for r in back] == list(range(1, 701)) and [r.i for r in back] == [r[0] for r in want]
     assert D.ranked(df.limit(0), [F.col("a")], parts=parts).collect() == []
+
+
+# ------------------------------------------------------------------ stored keys, hot lists
+
+def test_stored_keys_are_not_shuffled_again(spark, tmp_path):
+    from rosterkit.operators import match as M
+    keys = spark.range(5000).select(F.concat(F.lit("k"), (F.col("id") % 900).cast("string")).alias("key")).union(spark.sql("SELECT CAST(NULL AS STRING)"))
+    stored = M.store_keys(keys, "kept_keys", 4, str(tmp_path / "keys"))
+    rows = spark.range(1200).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit("k"), F.col("id").cast("string"))).alias("r"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = M.flag_membership(rows, F.col("r"), stored, "hit")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan and "Bucketed: true" in plan
+        assert {r.id for r in found.where("hit").collect()} == {i for i in range(900) if i % 7}
+        assert stored.count() == 900 and found.count() == 1200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.sql("DROP TABLE kept_keys")
+
+
+def test_lists_of_a_hot_key_are_distinct_first(spark):
+    from rosterkit.plans.scorecard import degrees_summary
+    rows = [("a@x.org", t, "2024-05-01") for t in ("bs", "MS", " ms ", "PhD", None, "") for _ in range(50)] + [("b@x.org", None, None)]
+    df = spark.createDataFrame(rows, "email string, degreeType string, graduationDate string")
+    out = degrees_summary(df)
+    assert "ObjectHashAggregate(keys=[_email_key#" in out._jdf.queryExecution().executedPlan().toString()
+    got = {r._email_key: (r.totalDegrees, r.degreeTypes) for r in out.collect()}
+    assert got["a@x.org"] == (300, "BS, MS, PHD") and got["b@x.org"] == (1, "")
+    below = out._jdf.queryExecution().executedPlan().toString().split("ObjectHashAggregate")[-1]
+    assert "HashAggregate(keys=[_email_key#" in below and "_type#" in below          # the lists are made of counted types
