@@ -326,4 +326,4 @@ def test_large_ids_beside_a_null_stay_exact(make_docs):
     labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
     assert ids(judge_quality(docs, labels)) == want
     got = {r.doc_id: (r.component_id, r.n_links) for r in ngram_jaccard_join(docs, JoinParams(percent=70)).documents.collect()}
-    assert got == {2 ** 60 + 1: (2 ** 60 + 1, 2), None: (2 ** 60 + 1, 2), 2 ** 60 + 3: (2 ** 60 + 1, 2), 2 ** 60 + 5: (2 ** 60 + 5, 0)}
+    assert got == {2 ** 60 + 1: (2 ** 60 + 1, 2), None: (2 ** 60 + 1, 1), 2 ** 60 + 3: (2 ** 60 + 1, 1), 2 ** 60 + 5: (2 ** 60 + 5, 0)}
