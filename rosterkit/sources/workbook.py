@@ -54,7 +54,7 @@ def read_workbook_cells(spark: SparkSession, source: str | DataFrame, *, sheet:
     # (spark.sql.execution.arrow.maxBytesPerBatch).
     resolve = functools.partial(resolve_name) if candidates else None
     fn = functools.partial(xlsx_rows.decode_files, sheet=sheet, candidates=candidates, resolve=resolve)
-    return workbook_files(spark, source, glob).select("path", "content").mapInPandas(fn, CELLS_SCHEMA)
+    return workbook_files(spark, source, glob).select("path", "content").mapInArrow(fn, CELLS_SCHEMA)
 
 
 def unreadable_files(cells: DataFrame) -> DataFrame:
