@@ -1,0 +1,14 @@
+"""The tables of one report set are cut from one stored scorecard."""
+
+import pytest
+
+
+@pytest.mark.parametrize("name", ["q_multi_write", "q_multi_contents"])
+def test_scorecard_runs_once_for_a_report_set(spark, monkeypatch, name):
+    from rosterkit.checks.registry import QUERIES
+    from rosterkit.sources import sinks
+    seen = []
+    real = sinks.write_tables
+    monkeypatch.setattr(sinks, "write_tables", lambda tables, *a, **b: (seen.extend(tables.values()), real(tables, *a, **b))[1])
+    QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    assert seen and all("/scored-" in f for df in seen for f in df.inputFiles())
