@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from rosterkit.checks.mailbox import spread, write_xlsx
 
 SF = "/root/testdata/sf0.001"
@@ -41,3 +43,16 @@ def test_drifting_mailbox_is_stored_once(spark):
     from rosterkit.checks import q_files, q_reports
     assert q_reports._drift_mailbox(spark, SF).inputFiles()[0].count("/mailbox-") == 1
     assert "MapInPandas" not in q_files._files_mailbox(spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["q_employer_report", "q_employer_report_global", "q_resume_manifest", "q_resume_counts", "q_partition_write"])
+def test_report_shuffles_follow_the_rows(spark, monkeypatch, name):
+    from rosterkit.checks import q_reports
+    from rosterkit.checks.registry import QUERIES
+    from rosterkit.session import materialize, shuffles_for
+    seen, key = [], "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    monkeypatch.setattr(q_reports, "shuffles_for", lambda s, rows: shuffles_for(s, rows, rows // 40))
+    monkeypatch.setattr(q_reports, "materialize", lambda *a: (seen.append(int(spark.conf.get(key))), materialize(*a))[1])
+    QUERIES[name](spark, SF)
+    assert len(seen) > 1 and min(seen) >= 40 and spark.conf.get(key) == before
