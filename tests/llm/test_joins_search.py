@@ -327,3 +327,40 @@ def test_large_ids_beside_a_null_stay_exact(make_docs):
     assert ids(judge_quality(docs, labels)) == want
     got = {r.doc_id: (r.component_id, r.n_links) for r in ngram_jaccard_join(docs, JoinParams(percent=70)).documents.collect()}
     assert got == {2 ** 60 + 1: (2 ** 60 + 1, 2), None: (2 ** 60 + 1, 1), 2 ** 60 + 3: (2 ** 60 + 1, 1), 2 ** 60 + 5: (2 ** 60 + 5, 0)}
+
+
+def test_join_shuffles_only_texts_of_classes(make_docs):
+    from rosterkit.llm.ngram_join import _near_places, _of_classes
+    rows = [(i, f"text {i}") for i in range(300)] + [(None, "text"), (None, None), (7, "text 7"), (7, "other")]
+    docs = make_docs(rows).select("doc_id", "text").withColumn("text_md5", F.md5("text"))
+    spark = docs.sparkSession
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    classes = spark.createDataFrame([(1, 7, md5("text 7")), (2, None, md5("text"))], "cls long, rep long, md5 string")
+    near = _near_places(docs, classes, 25)
+    assert sorted(((r.doc_id, r.text) for r in near.collect()), key=repr) == [(7, "text 7"), (7, "text 7"), (None, "text")]
+    full = spark.createDataFrame([(i, i, md5(f"text {i}")) for i in range(300)], classes.schema)
+    assert _near_places(docs, full, 6).count() >= 301                                             # a full filter loses nothing
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = _of_classes(near, classes)
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+        assert sorted((r.cls, r.text) for r in found.collect()) == [(1, "text 7"), (2, "text")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_shingle_hashes_tell_shingles_apart():
+    from rosterkit.llm.ngram_join import shingle_hashes, shingle_sets
+    rng = np.random.default_rng(4)
+    pool = [b"a", b"b", b"a\0", b"a" * 8, b"a" * 9, b"b" + b"a" * 8, b"a" * 64, b"a" * 65, b"a" * 64 + b"b", b"A" * 70, "é z".encode()]
+    texts = [b"".join(pool[j] + [b" ", b"\t\n", b"\x0b \x0c\r"][j % 3] for j in rng.integers(0, len(pool), n)) for n in [*range(12), *range(12)]]
+    texts += [None, b"", b" \n", *(b"w%d " % i * 40_000 for i in range(3))]
+    seen, back = {}, {}
+    for text, got, held in zip(texts, shingle_hashes(texts, 5), shingle_sets(texts, 5), strict=True):
+        words = (text or b"").lower().split()
+        width = min(5, len(words))
+        grams = [tuple(words[i:i + width]) for i in range(len(words) - width + 1)] if words else []
+        assert len(got) == len(grams) and held.tolist() == sorted(set(got.tolist()))
+        for g, h in zip(grams, got.tolist()):
+            assert seen.setdefault(g, h) == h and back.setdefault(h, g) == g
