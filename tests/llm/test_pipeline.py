@@ -95,3 +95,14 @@ def test_join_stage_drops_copies_with_null_ids(llm, make_docs):
     assert len(left) == 6 and {(1, words("a")), (7, words("c")), (None, ""), (8, None)} <= set(left)
     assert sum(x in left for x in ((None, words("b")), (None, near("b")))) == 1
     assert sum(x in left for x in ((7, words("d")), (7, near("d")))) == 1
+
+
+def test_join_stage_shuffles_texts_once(llm, make_docs, monkeypatch):
+    import re
+    from types import SimpleNamespace
+
+    import corpus_pipeline as cp
+    found = llm.createDataFrame([(1, "x", 1, "k"), (2, "x", 1, "k")], "doc_id long, text_md5 string, n_shingles long, component_key string")
+    monkeypatch.setattr(cp, "ngram_jaccard_join", lambda *a, **b: SimpleNamespace(documents=found))
+    plan = cp.near_duplicates(llm, make_docs([(1, "a"), (2, "a")]), "")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\([^)]*\btext#", plan), plan
