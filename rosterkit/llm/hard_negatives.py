@@ -212,7 +212,8 @@ def hard_negatives(vectors: DataFrame, params: NegativeParams = NegativeParams()
     def gather(t: pa.Table) -> pa.Table:
         return pa.table({"dim": t.column("dim").slice(0, 1), "block": t.column("block").slice(0, 1), **gathered(t)})
 
-    trees = materialize(rows.select("*", dealt("shard", shards)).groupBy("dim", "shard").applyInArrow(
+    # As many tasks as trees: adaptive execution would merge them by their bytes.
+    trees = materialize(rows.select("*", dealt("shard", shards)).repartition(shards, "dim", "shard").groupBy("dim", "shard").applyInArrow(
         grow, f"dim int, shard int, {ROWS}, " + "".join(f"{c} binary, " for c in _TREE) + "radius binary"), "negatives-trees")
     anchors = materialize(rows.where(asked).select("*", dealt("block", blocks)).groupBy("dim", "block").applyInArrow(
         gather, f"dim int, block int, {ROWS}"), "negatives-anchors")
@@ -246,8 +247,10 @@ def hard_negatives(vectors: DataFrame, params: NegativeParams = NegativeParams()
 
         named = [F.col(c).alias(f"{c}_a") for c in ("keys", "ids", "has_id", "labels", "x")]
         left = asking.select("dim", "block", *named, *(["windows"] if not same else []), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-        found = (left.join(trees, ["dim", "shard"]).repartition(shards * blocks, "dim", "block", "shard")
-                 .mapInArrow(run, "dim int, block int, anchor long, anchor_id long, number int, other long, other_id long, place string, score long"))
+        # Both sides are dealt by shard: the blocks times the shards are far more than
+        # Spark's estimate of them and would be broadcast, then shuffled with the trees.
+        pairs = left.repartition(shards, "dim", "shard").hint("merge").join(trees.repartition(shards, "dim", "shard"), ["dim", "shard"])
+        found = (pairs.mapInArrow(run, "dim int, block int, anchor long, anchor_id long, number int, other long, other_id long, place string, score long"))
         order = Window.partitionBy("anchor", "number").orderBy(F.desc("place"), F.asc_nulls_last("other_id"), "other")
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

@@ -226,3 +226,13 @@ def test_other_tokenizers_are_refused(tmp_path):
     from rosterkit.llm.bpe import Codec, CodecParams
     with pytest.raises(ValueError, match="byte-level"):
         Codec(CodecParams(tokenizer=public_tokenizers.path("word_bpe_49k.json")))
+
+
+def test_blocks_of_anchors_are_not_broadcast(llm):
+    import re
+
+    from rosterkit.llm.hard_negatives import NegativeParams, hard_negatives
+    rng = np.random.default_rng(2)
+    rows = llm.createDataFrame([(k, rng.normal(size=4).tolist(), k % 3, "x") for k in range(60)], VECTORS)
+    plan = hard_negatives(rows, NegativeParams(anchor_every=10, shard_values=100))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[dim#\d+, shard#\d+\]", plan) and not re.search(r"BroadcastHashJoin \[dim#\d+, shard#\d+\]", plan), plan
