@@ -56,3 +56,29 @@ def test_report_shuffles_follow_the_rows(spark, monkeypatch, name):
     monkeypatch.setattr(q_reports, "materialize", lambda *a: (seen.append(int(spark.conf.get(key))), materialize(*a))[1])
     QUERIES[name](spark, SF)
     assert len(seen) > 1 and min(seen) >= 40 and spark.conf.get(key) == before
+
+
+def test_stored_rows_are_asked_without_their_cells(spark):
+    """Filters and keys read plain columns: over unwritten rows each mention
+    of a cell built the row's map again. Odd cells give the same rows."""
+    from pyspark.sql import functions as F
+
+    from rosterkit.plans import reports as P
+    heads = ("First Name", "Last Name", "Email", "Resume File Name", "Note")
+    cells = [("Ann", " B ", " A@X.org ", "a.PDF", "1"), (None, " ", "", "b.pdf", "2"), (" ", "Lee", None, " B.pdf", None),
+             (None, None, "a@x.ORG", None, "3"), ("İda", "", "\t", "c.docx ", ""), ("Ann", "B", "A@x.org", "A.pdf", "4"), (None, None, None, " ", "5")]
+    wide = spark.createDataFrame([(f"m{i % 2}", 0, i, dt.datetime(2024, 1, 1 + i % 2), "E") + c for i, c in enumerate(cells * 2)],
+                                 "message_id string, att_pos int, _ordinal int, received timestamp, employer string, " + ", ".join(f"`{h}` string" for h in heads))
+    rows = P.pack_rows(wide, heads)
+    atts = spark.createDataFrame([(m, 100 + i, dt.datetime(2024, 1, 1 + int(m[1])), n, "." + n.strip().lower().split(".")[1])
+                                  for m in ("m0", "m1") for i, n in enumerate(("A.pdf", "b.PDF", "C.docx", "x.pdf"))],
+                                 "message_id string, att_pos int, received timestamp, att_name string, ext string")
+    stored = P.stored_rows(rows)
+    plan = P.resume_events(stored, atts)[0]._jdf.queryExecution().executedPlan().toString()
+    assert "cells" not in plan and "map_from_arrays" not in plan
+    got, want = (P.resume_events(r, atts)[0] for r in (stored, rows))
+    assert want.count() > 4 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    people = [r._person for r in stored.orderBy("_ordinal").limit(7).collect()]
+    assert people == ["email:a@x.org", None, "name:lee", "email:a@x.org", "name:" + "İda".lower(), "email:a@x.org", None]
+    reports = [P.employer_reports(r, want).withColumn("cells", F.to_json("cells")).collect() for r in (stored, rows)]
+    assert reports[0] and sorted(map(str, reports[0])) == sorted(map(str, reports[1]))
