@@ -54,27 +54,47 @@ def _with_words(lines: DataFrame) -> DataFrame:
     for c in "\t\x0b\x0c\r":
         odd = odd | line.contains(c)
     line = F.when(odd, F.translate(line, "\t\x0b\x0c\r", "    ")).otherwise(line)
-    lines = lines.withColumn("line", line).where(F.trim("line") != "")
+    # Blank lines go before the clean-up, which a filter after it would repeat.
+    lines = lines.where(F.ltrim("line", F.lit(" \t\x0b\x0c\r")) != "").withColumn("line", line)
     words = F.split("line", " ")
     runs = F.col("line").contains("  ") | F.col("line").startswith(" ") | F.col("line").endswith(" ")
     return lines.withColumn("w", F.when(runs, F.array_remove(words, "")).otherwise(words)).drop("line")
 
 
+def _word_hashes(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("h", F.transform("w", lambda x: F.xxhash64(x))).drop("w")
+
+
+def _places(k: int) -> Column:
+    """Where in ``h`` a k-gram begins; a shorter line has one, all of it."""
+    return F.sequence(F.lit(0), F.greatest(F.size("h") - k, F.lit(0)))
+
+
+def _gram(i: Column, k: int) -> Column:
+    """Hash of the k words from place i; words beyond a short line's end are NULL, which the hash passes over."""
+    return F.xxhash64(*[F.get("h", i + j) for j in range(k)])
+
+
 def _tokens(lines: DataFrame, k: int) -> DataFrame:
     """Adds ``t``: distinct 64-bit hashes of the line's k-grams."""
-    out = lines.withColumn("h", F.transform("w", lambda x: F.xxhash64(x))).drop("w")
-    gram = lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(k)])
-    grams = F.when(F.size("h") >= k, F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size("h") - k, F.lit(0))), gram)))
-    return out.withColumn("t", F.coalesce(grams, F.array(F.xxhash64("h", F.lit(k))))).drop("h")
+    return _word_hashes(lines).withColumn("t", F.array_distinct(F.transform(_places(k), lambda i: _gram(i, k)))).drop("h")
+
 
+def _bucket_counts(lines: DataFrame, params: LineParams) -> DataFrame:
+    """(b, n): the tokens of all lines by bucket. A row for each place
+    instead of an array for the line: counting needs no arrays, and rows
+    are hashed in compiled code, lambdas are not. A line's repeats count
+    too; they only move a bucket in the order of rarity."""
+    # Not explode(): the filter that Spark infers for it is pushed below the
+    # projections and would split and hash the words anew.
+    places = _word_hashes(lines).select("h", F.explode_outer(_places(params.words)).alias("i"))
+    return places.groupBy(F.pmod(_gram(F.col("i"), params.words), F.lit(params.buckets)).cast("int").alias("b")).agg(F.count("*").alias("n"))
 
-def _rarity(tokens: DataFrame, params: LineParams) -> Column:
+
+def _rarity(lines: DataFrame, params: LineParams) -> Column:
     """Bucket -> step of rarity, an array of fixed length made from counts
     over all lines: steps of equal numbers of buckets, the fullest last."""
-    # Not explode(): the filter that Spark infers for it is pushed below the
-    # projections and would compute the hashes anew for every gram.
-    rows = (tokens.select(F.explode_outer("t").alias("t")).groupBy(F.pmod("t", F.lit(params.buckets)).cast("int").alias("b"))
-            .agg(F.count("*").alias("n")).collect())
+    rows = _bucket_counts(lines, params).collect()
     order = [0] * params.buckets
     for place, row in enumerate(sorted(rows, key=lambda r: (r["n"], r["b"]))):
         order[row["b"]] = place * params.classes // params.buckets
@@ -92,8 +112,8 @@ def _keys(tokens: DataFrame, rarity: Column, params: LineParams) -> DataFrame:
 def later_matches(docs: DataFrame, params: LineParams = LineParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The lines that go: doc, text_hash, places (array of line numbers from 0)."""
     p = params.percent
-    tokens = _tokens(_lines(docs, id_col, text_col), params.words)
-    rarity = _rarity(tokens, params)
+    split = _lines(docs, id_col, text_col)
+    rarity, tokens = _rarity(split, params), _tokens(split, params.words)
     n = F.size("key")
     prefix = F.slice("key", 1, n - F.ceil(n * p / 100).cast("int") + 1)
     lines = materialize(_keys(tokens, rarity, params).select(

@@ -134,6 +134,23 @@ def test_line_dedup_equals_brute_force(llm, make_docs):
     assert dedup_lines(make_docs([])).collect() == []
 
 
+def test_line_tokens_are_counted_without_arrays(llm, make_docs):
+    """The rarity table counts the very tokens that the sets hold, hashed a
+    row at a time: one lambda (the words) instead of two and no sets."""
+    from collections import Counter
+
+    from rosterkit.llm.line_dedup import LineParams, _bucket_counts, _lines, _tokens
+    texts = ["a b c d e f g\nA\n\n \t \x0b\na  b\tc\r", "one two three four\none two three four five\n\x0c", None, "", "x y z x1 y1 z1 a b c d e f g\n\u00e4 \u00a0 \u4e2d"]
+    params = LineParams()
+    lines = _lines(make_docs(list(enumerate(texts))), "doc_id", "text")
+    sets = [r.t for r in _tokens(lines, params.words).collect()]
+    assert sorted(map(len, sets)) == [1, 1, 1, 1, 1, 3, 9] and len({t for s in sets for t in s}) == 14
+    counts = _bucket_counts(lines, params)
+    assert {r.b: r.n for r in counts.collect()} == Counter(t % params.buckets for s in sets for t in s)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "array_distinct" not in plan and plan.count("lambdafunction(") == 1
+
+
 @pytest.mark.parametrize("size", [1.0, 2.0 ** 26, 2.0 ** 31, 1e30])
 def test_top_k_equals_brute_force(llm, size):
     from rosterkit.llm.topk import SearchParams, top_k
