@@ -381,3 +381,27 @@ def test_shingle_hashes_tell_shingles_apart():
         assert len(got) == len(grams) and held.tolist() == sorted(set(got.tolist()))
         for g, h in zip(grams, got.tolist()):
             assert seen.setdefault(g, h) == h and back.setdefault(h, g) == g
+
+
+def test_prefix_entries_are_shuffled_once(llm):
+    from rosterkit.llm.ngram_join import _token_lists
+    firsts = llm.createDataFrame([(1, 10, [5, 6]), (2, 11, [6]), (3, 12, [7, 6]), (4, 13, [8])], "cls long, n long, prefix array<long>")
+    lists = _token_lists(firsts)
+    assert lists._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, lists.collect())) == [(6, 1, 10, 1, 1, 3), (6, 2, 11, 0, 1, 3), (6, 3, 12, 1, 1, 3)]
+
+
+def test_pairs_are_verified_in_passes(llm, monkeypatch):
+    from rosterkit.llm import ngram_join as J
+    rng = np.random.default_rng(2)
+    held = {c: np.unique(rng.integers(0, 40, 20).astype(np.uint64)) for c in range(60)}
+    sets = llm.createDataFrame([(c, bytearray(s.tobytes())) for c, s in held.items()], "cls long, s binary")
+    want = {(a, b): (len(np.intersect1d(held[a], held[b])), len(np.union1d(held[a], held[b]))) for a in range(60) for b in range(0, a, 7)}
+    pairs = llm.createDataFrame(list(want), "a long, b long")
+    names, real = [], J.materialize
+    monkeypatch.setattr(J, "materialize", lambda df, name: (names.append(name), real(df, name))[1])
+    for params, passes in ((J.JoinParams(pass_pairs=50, passes=3), 3), (J.JoinParams(), 1)):
+        names.clear()
+        got = J._verify(pairs, sets, params, "checked")
+        assert {(r.a, r.b): (r.both, r.either) for r in got.collect()} == want and got.count() == len(want) and names == ["checked"] * passes
+    assert J._verify(pairs.limit(0), sets, J.JoinParams(), "checked").count() == 0
