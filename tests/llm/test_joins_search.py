@@ -405,3 +405,14 @@ def test_pairs_are_verified_in_passes(llm, monkeypatch):
         got = J._verify(pairs, sets, params, "checked")
         assert {(r.a, r.b): (r.both, r.either) for r in got.collect()} == want and got.count() == len(want) and names == ["checked"] * passes
     assert J._verify(pairs.limit(0), sets, J.JoinParams(), "checked").count() == 0
+
+
+def test_blocks_shuffle_only_sets_of_their_classes(llm, monkeypatch):
+    from rosterkit.llm import ngram_join as J
+    seen, real = [], J._may_match
+    monkeypatch.setattr(J, "_may_match", lambda *a: (seen.append(real(*a)), seen[-1])[1])
+    sets = llm.createDataFrame([(c, bytearray(np.arange(c % 3, 30, dtype=np.uint64).tobytes())) for c in range(200)], "cls long, s binary")
+    large = llm.createDataFrame([(c, 30 - c % 3, 1, 0) for c in range(4)], "cls long, n long, copies long, component long")
+    links = J._inner_links(large, sets, J.JoinParams(), "counts")
+    assert {r.id: r.n for r in links.groupBy("id").agg(F.sum("n_links").alias("n")).collect()} == {c: 3 for c in range(4)}
+    assert len(seen) == 1 and sorted(r.cls for r in seen[0].collect()) == [0, 1, 2, 3]
