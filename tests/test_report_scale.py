@@ -82,3 +82,14 @@ def test_stored_rows_are_asked_without_their_cells(spark):
     assert people == ["email:a@x.org", None, "name:lee", "email:a@x.org", "name:" + "İda".lower(), "email:a@x.org", None]
     reports = [P.employer_reports(r, want).withColumn("cells", F.to_json("cells")).collect() for r in (stored, rows)]
     assert reports[0] and sorted(map(str, reports[0])) == sorted(map(str, reports[1]))
+
+
+def test_written_tables_leave_no_shuffles(spark):
+    from rosterkit.session import materialize
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f.getName() for f in (disk.getAllFiles().apply(i) for i in range(disk.getAllFiles().size()))}
+    before, was = files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    out = materialize(spark.range(1000).repartition(5).groupBy("id").count(), "grouped")
+    assert not [f for f in files() - before if f.startswith("shuffle_") and f.endswith(".data")]
+    assert out.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == was
