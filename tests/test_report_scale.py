@@ -93,3 +93,18 @@ def test_written_tables_leave_no_shuffles(spark):
     assert not [f for f in files() - before if f.startswith("shuffle_") and f.endswith(".data")]
     assert out.count() == 1000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == was
+
+
+def test_base_in_passes_has_the_rows_of_its_sql(spark, monkeypatch):
+    from rosterkit.checks import inputs as I
+    from rosterkit.checks import q_reports
+    from rosterkit.checks.catalog import derive
+    want = derive(spark, SF, I.REPORT_BASE, I.REPORT_TABLES)
+    monkeypatch.setattr(q_reports, "_PASS_ROWS", -(-spark.table("lineitem").count() // 3))
+    names = []
+    real = q_reports.materialize
+    monkeypatch.setattr(q_reports, "materialize", lambda df, name, *a: (names.append(name), real(df, name, *a))[1])
+    got = q_reports._report_base(spark, SF, "base")
+    assert names == ["base_orders"] + ["base_lines"] * 3 + ["base"] * 3
+    assert got.dtypes == want.dtypes
+    assert want.count() > 1000 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
