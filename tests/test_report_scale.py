@@ -108,3 +108,14 @@ def test_base_in_passes_has_the_rows_of_its_sql(spark, monkeypatch):
     assert names == ["base_orders"] + ["base_lines"] * 3 + ["base"] * 3
     assert got.dtypes == want.dtypes
     assert want.count() > 1000 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("name", ["q_employer_report", "q_report_files_links"])
+def test_base_goes_when_the_events_are_written(spark, name):
+    import os
+
+    from rosterkit.checks.registry import QUERIES
+    df = QUERIES[name](spark, SF)
+    base = spark.table("report_base").inputFiles()
+    assert base and not any(os.path.exists(f.removeprefix("file://").removeprefix("file:")) for f in base)
+    assert df.count() > 0
