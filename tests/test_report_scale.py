@@ -84,6 +84,39 @@ def test_stored_rows_are_asked_without_their_cells(spark):
     assert reports[0] and sorted(map(str, reports[0])) == sorted(map(str, reports[1]))
 
 
+def test_books_of_messages_that_span_batches(spark):
+    """Workbooks are built from Arrow batches; their bytes never pass an
+    aggregate with the other attachments."""
+    import pyarrow as pa
+
+    from rosterkit.checks.mailbox import books_of, build_messages_from_rows
+    from rosterkit.sources.xlsx_rows import Workbook
+    batch = lambda ids, vals: pa.RecordBatch.from_pydict({"message_id": ids, "First Name": vals})
+    out = list(books_of(["First Name"])([batch(["a", "a"], ["1", None]), batch(["a", "b"], ["3", "4"]), batch([], []), batch(["b"], ["5"]), batch(["c"], ["6"])]))
+    got = {r["message_id"]: Workbook(r["content"]).rows() for b in out for r in b.to_pylist()}
+    assert got == {"a": [["First Name"], ["1"], ["3"]], "b": [["First Name"], ["4"], ["5"]], "c": [["First Name"], ["6"]]}
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 0, "y")], "message_id string, _ordinal int, `First Name` string")
+    atts = spark.createDataFrame([("a", 2, "q.pdf", b"2"), ("a", 1, "p.pdf", b"1"), ("b", 1, "r.pdf", b"3")], "message_id string, att_pos int, att_name string, content binary")
+    msgs = spark.createDataFrame([(m, "f", "s", dt.datetime(2024, 1, 1), "t") for m in "abc"], "message_id string, folder string, sender string, received timestamp, body string")
+    made = build_messages_from_rows(rows, atts, msgs)
+    assert "MapInArrow" in made._jdf.queryExecution().executedPlan().toString()
+    found = {r.message_id: [(a.name, bytes(a.content)) for a in r.attachments] for r in made.collect()}
+    assert Workbook(found["a"][0][1]).rows() == [["First Name"], ["y"], ["x"]]
+    assert [n for n, _ in found["a"]] == ["student_data.xlsx", "p.pdf", "q.pdf"] and found["b"] == [("r.pdf", b"3")] and found["c"] == []
+
+
+@pytest.mark.parametrize("name", ["q_mailbox_reports"])
+def test_mailbox_shuffles_follow_the_rows(spark, monkeypatch, name):
+    from rosterkit.checks import q_reports
+    from rosterkit.checks.registry import QUERIES
+    from rosterkit.session import materialize, shuffles_for
+    seen, key = [], "spark.sql.shuffle.partitions"
+    monkeypatch.setattr(q_reports, "shuffles_for", lambda s, rows: shuffles_for(s, rows, rows // 10))
+    monkeypatch.setattr(q_reports, "materialize", lambda *a: (seen.append(int(spark.conf.get(key))), materialize(*a))[1])
+    QUERIES[name](spark, SF)
+    assert seen and min(seen) >= 10
+
+
 def test_written_tables_leave_no_shuffles(spark):
     from rosterkit.session import materialize
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
