@@ -105,6 +105,27 @@ def test_books_of_messages_that_span_batches(spark):
     assert [n for n, _ in found["a"]] == ["student_data.xlsx", "p.pdf", "q.pdf"] and found["b"] == [("r.pdf", b"3")] and found["c"] == []
 
 
+def test_parts_are_read_without_reader_objects(monkeypatch):
+    import io
+    import zipfile
+
+    from rosterkit.sources.xlsx_rows import Workbook
+    book = write_xlsx({"S": [["a", "b"], ["x", 1]]})
+    with zipfile.ZipFile(io.BytesIO(book)) as z:
+        assert z.testzip() is None and len(z.namelist()) == 4
+        at = z.getinfo("xl/worksheets/sheet1.xml")
+    spoiled = bytearray(book)
+    spoiled[at.header_offset + 14] ^= 1                                                           # in the header: not looked at
+    spoiled[at.header_offset + 30 + len(at.filename) + at.compress_size // 2] ^= 255
+    with pytest.raises(Exception) as old:
+        zipfile.ZipFile(io.BytesIO(bytes(spoiled))).read(at.filename)
+    with pytest.raises(type(old.value)) as new:
+        Workbook(bytes(spoiled)).rows()
+    assert str(new.value) == str(old.value)                                                       # what is wrong is told as before
+    monkeypatch.setattr(zipfile.ZipFile, "open", None)
+    assert Workbook(book).rows() == Workbook(b"before" + book).rows() == [["a", "b"], ["x", "1"]]
+
+
 @pytest.mark.parametrize("name", ["q_mailbox_reports"])
 def test_mailbox_shuffles_follow_the_rows(spark, monkeypatch, name):
     from rosterkit.checks import q_reports
