@@ -138,6 +138,22 @@ def test_mailbox_shuffles_follow_the_rows(spark, monkeypatch, name):
     assert seen and min(seen) >= 10
 
 
+def test_only_repeated_messages_are_sorted(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from rosterkit.streaming import incremental as S
+    batch = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4), (None, 5), ("c", 6)], "message_id string, v int")
+    single, again = S._once(batch, batch.groupBy("message_id").count().where("count > 1"))
+    assert sorted(r.v for r in single.collect()) == [1, 6]
+    assert sorted((r.message_id or "", r.v in (2, 3, 4, 5)) for r in again.collect()) == [("", True), ("b", True)]
+    rows = [(0, "a", 1), (0, "a", 2), (1, "a", 3), (1, "b", 4), (2, None, 5), (3, None, 6), (10, "b", 7), (2, "c", 8)]
+    store = spark.createDataFrame(rows, "batch int, message_id string, v int")
+    first = S.first_delivery(store)
+    assert first.columns == ["message_id", "v"] and sorted(r.v for r in first.collect()) == [1, 2, 4, 5, 8]
+    assert "Window" not in first._jdf.queryExecution().executedPlan().toString()
+    assert S.first_delivery(store.where("batch = 0")).agg(F.count("*")).first()[0] == 2
+
+
 def test_written_tables_leave_no_shuffles(spark):
     from rosterkit.session import materialize
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
