@@ -126,7 +126,7 @@ def test_parts_are_read_without_reader_objects(monkeypatch):
     assert Workbook(book).rows() == Workbook(b"before" + book).rows() == [["a", "b"], ["x", "1"]]
 
 
-@pytest.mark.parametrize("name", ["q_mailbox_reports", "q_report_counts"])
+@pytest.mark.parametrize("name", ["q_mailbox_reports", "q_report_counts", "q_unmatched_names"])
 def test_mailbox_shuffles_follow_the_rows(spark, monkeypatch, name):
     from rosterkit.checks import q_reports
     from rosterkit.checks.registry import QUERIES
